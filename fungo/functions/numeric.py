@@ -37,25 +37,24 @@ def to_number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def _doubles(df: DataFrame) -> list[str]:
+    return [field.name for field in df.schema if isinstance(field.dataType, DoubleType)]
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by null in every double column."""
-    return df.select(
-        *(
-            F.when(~F.isnan(field.name), F.col(field.name)).alias(field.name)
-            if isinstance(field.dataType, DoubleType)
-            else F.col(field.name)
-            for field in df.schema
-        )
-    )
+    return df.withColumns({name: F.when(~F.isnan(name), F.col(name)) for name in _doubles(df)})
+
+
+def settled(value: Column, places: int) -> Column:
+    """Round to ``places``, by way of ten places.
+
+    A sum of doubles depends on the order of its rows in the last bits. The first rounding
+    removes those, so they do not decide a value that lies halfway between two results.
+    """
+    return F.round(F.round(value, 10), places)
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every double column for display or comparison."""
-    return df.select(
-        *(
-            F.round(field.name, places).alias(field.name)
-            if isinstance(field.dataType, DoubleType)
-            else F.col(field.name)
-            for field in df.schema
-        )
-    )
+    return df.withColumns({name: settled(F.col(name), places) for name in _doubles(df)})

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fungo.functions.numeric import safe_divide
+from fungo.functions.numeric import safe_divide, settled
 
 
 @dataclass(frozen=True)
@@ -20,7 +20,7 @@ class Measure:
 
     @property
     def shown(self) -> Column:
-        return self.value if self.places is None else F.round(self.value, self.places)
+        return self.value if self.places is None else settled(self.value, self.places)
 
 
 def total(column: str) -> Measure:

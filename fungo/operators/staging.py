@@ -14,23 +14,20 @@ from fungo.schemas import PITCH_COLUMNS, ROSTERS, TEAMS
 _HALF = ("inning_topbot", "home_team", "away_team")
 
 
-def _staged_column(raw: str, staged: str) -> Column:
-    if raw == "game_date":
-        return ns_to_date(F.col(raw)).alias(staged)
-    if raw == "launch_angle":
-        return to_number(F.col(raw)).alias(staged)
-    return F.col(raw).alias(staged)
-
-
 def stage_pitches(raw: DataFrame) -> DataFrame:
     """One row per pitch of known type: renamed, typed, with both clubs of record."""
-    projection: list[Column] = []
+    derived = {
+        "game_date": ns_to_date(F.col("game_date")),
+        "launch_angle": to_number(F.col("launch_angle")),
+        "batter_team": club_batting(*_HALF),
+        "pitching_team": club_pitching(*_HALF),
+    }
+    projection: list[str] = []
     for name, staged, _ in PITCH_COLUMNS:
-        projection.append(_staged_column(name, staged))
+        projection.append(f"{name} as {staged}")
         if name == "away_team":
-            projection.append(club_batting(*_HALF).alias("batter_team"))
-            projection.append(club_pitching(*_HALF).alias("pitching_team"))
-    return raw.where(F.col("pitch_type").isNotNull()).select(*projection)
+            projection += ["batter_team", "pitching_team"]
+    return raw.where("pitch_type is not null").withColumns(derived).selectExpr(*projection)
 
 
 def stage_teams(raw: DataFrame) -> DataFrame:

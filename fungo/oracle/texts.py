@@ -41,7 +41,7 @@ _PITCH_DOUBLES = " ".join(
 def _out(sql: str, doubles: str = "") -> str:
     """Round the named double columns and add the tables the text needs."""
     if doubles:
-        changed = ", ".join(f"round({name}, 6) as {name}" for name in doubles.split())
+        changed = ", ".join(f"round(round({name}, 10), 6) as {name}" for name in doubles.split())
         sql = f"select * replace ({changed}) from ({sql})"
     return with_tables(sql)
 
@@ -192,12 +192,12 @@ TEXTS["chunk_union"] = _out(
 )
 _until = f"date '{ingestion.FIRST_BATCH_UNTIL}'"
 TEXTS["ingest_append_vs_refresh"] = _out(
-    f"""select 'append' as mode, {DAY} as game_date,
-        count(*) * if({DAY} > {_until}, 2, 1) as n_rows from raw_pitches group by all
-    union all
-    select 'append-once', {DAY}, count(*) from raw_pitches group by all
-    union all
-    select 'full-refresh', {DAY}, count(*) from raw_pitches where {DAY} > {_until} group by all"""
+    f"""select mode, game_date, sum(copies)::bigint as n_rows
+    from (select {DAY} as game_date from raw_pitches),
+        (values ('append', 2, 1), ('append-once', 1, 1), ('full-refresh', 1, 0))
+            as loads(mode, late_copies, early_copies),
+        lateral (select if(game_date > {_until}, late_copies, early_copies) as copies)
+    where copies > 0 group by all"""
 )
 TEXTS["ingest_reference_refresh"] = TEXTS["stg_teams"]
 TEXTS["ingest_partitioned_landing"] = _out(
@@ -262,10 +262,10 @@ _BATTING_MEASURES = """count(*) as game_count,
     cast(sum(batted_balls) as bigint) as total_batted_balls,
     cast(sum(hard_hit_count) as bigint) as total_hard_hit,
     cast(sum(barrel_count) as bigint) as total_barrels,
-    round(avg(avg_exit_velocity_mph), 1) as avg_exit_velocity,
-    round(avg(avg_xwoba), 3) as avg_xwoba,
-    round(sum(hits) / nullif(sum(at_bats), 0), 3) as batting_average,
-    round(sum(hard_hit_count) / nullif(sum(batted_balls), 0), 3) as hard_hit_rate"""
+    round(round(avg(avg_exit_velocity_mph), 10), 1) as avg_exit_velocity,
+    round(round(avg(avg_xwoba), 10), 3) as avg_xwoba,
+    round(round(sum(hits) / nullif(sum(at_bats), 0), 10), 3) as batting_average,
+    round(round(sum(hard_hit_count) / nullif(sum(batted_balls), 0), 10), 3) as hard_hit_rate"""
 _PITCHING_MEASURES = """count(*) as game_count,
     cast(sum(total_pitches) as bigint) as total_pitches,
     cast(sum(batters_faced) as bigint) as total_batters_faced,
@@ -275,11 +275,11 @@ _PITCHING_MEASURES = """count(*) as game_count,
     cast(sum(home_runs_allowed) as bigint) as total_home_runs_allowed,
     cast(sum(hard_hit_allowed_count) as bigint) as total_hard_hit_allowed,
     cast(sum(batted_balls_allowed) as bigint) as total_batted_balls_allowed,
-    round(avg(avg_pitch_velocity_mph), 1) as avg_pitch_velocity,
-    round(avg(avg_spin_rate_rpm), 0) as avg_spin_rate,
-    round(sum(strikeouts) / nullif(sum(walks), 0), 2) as k_per_bb,
-    round(sum(strikeouts) / nullif(sum(batters_faced), 0), 3) as strikeout_rate,
-    round(sum(hard_hit_allowed_count) / nullif(sum(batted_balls_allowed), 0), 3)
+    round(round(avg(avg_pitch_velocity_mph), 10), 1) as avg_pitch_velocity,
+    round(round(avg(avg_spin_rate_rpm), 10), 0) as avg_spin_rate,
+    round(round(sum(strikeouts) / nullif(sum(walks), 0), 10), 2) as k_per_bb,
+    round(round(sum(strikeouts) / nullif(sum(batters_faced), 0), 10), 3) as strikeout_rate,
+    round(round(sum(hard_hit_allowed_count) / nullif(sum(batted_balls_allowed), 0), 10), 3)
         as hard_hit_allowed_rate"""
 _MONTH = "cast(date_trunc('month', game_date) as date) as game_month"
 TEXTS["sem_batting_by_month"] = _out(
@@ -290,23 +290,23 @@ TEXTS["sem_pitching_by_month"] = _out(
 )
 TEXTS["sem_batting_explore"] = _out(
     """select batter_id || '-' || game_id as pk, batter_id, game_date,
-        round(avg_exit_velocity_mph, 1) as avg_exit_velocity_mph,
-        round(max_exit_velocity_mph, 1) as max_exit_velocity_mph,
-        round(hard_hit_rate, 3) as hard_hit_rate_row,
+        round(round(avg_exit_velocity_mph, 10), 1) as avg_exit_velocity_mph,
+        round(round(max_exit_velocity_mph, 10), 1) as max_exit_velocity_mph,
+        round(round(hard_hit_rate, 10), 3) as hard_hit_rate_row,
         name_first as first_name, name_last as last_name, display_name as full_name
     from batter_games left join named on mlbam_id = batter_id"""
 )
 TEXTS["sem_pitching_explore"] = _out(
     """select pitcher_id || '-' || game_id as pk, pitcher_id, game_date,
-        round(avg_pitch_velocity_mph, 1) as avg_pitch_velocity_mph,
-        round(hard_hit_allowed_rate, 3) as hard_hit_allowed_rate_row,
+        round(round(avg_pitch_velocity_mph, 10), 1) as avg_pitch_velocity_mph,
+        round(round(hard_hit_allowed_rate, 10), 3) as hard_hit_allowed_rate_row,
         name_first as first_name, name_last as last_name, display_name as full_name
     from pitcher_games left join named on mlbam_id = pitcher_id"""
 )
 TEXTS["sem_batting_by_player"] = _out(
     """select display_name as full_name, count(*) as game_count,
         cast(sum(hits) as bigint) as total_hits, cast(sum(at_bats) as bigint) as total_at_bats,
-        round(sum(hits) / nullif(sum(at_bats), 0), 3) as batting_average
+        round(round(sum(hits) / nullif(sum(at_bats), 0), 10), 3) as batting_average
     from batter_games left join named on mlbam_id = batter_id group by 1"""
 )
 TEXTS["sem_fact_pk"] = _out(
@@ -349,7 +349,7 @@ TEXTS["sem_metric_tier"] = _out(
 )
 TEXTS["sem_fanout_safe"] = _out(
     """select batter_id, display_name as full_name, count(*) as game_count,
-        cast(sum(hits) as bigint) as total_hits, round(avg(avg_xwoba), 3) as avg_xwoba
+        cast(sum(hits) as bigint) as total_hits, round(round(avg(avg_xwoba), 10), 3) as avg_xwoba
     from batter_games left join named on mlbam_id = batter_id group by 1, 2"""
 )
 

@@ -20,7 +20,7 @@ LATE_AT_BATS = 20
 
 
 def _pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_zone.landed_pitches(spark, sf_dir).select(*PITCHES.names)
+    return raw_zone.RawZone(spark, sf_dir)["statcast_pitches"]
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +65,7 @@ def _rows_per_date(stored: DataFrame, mode: str) -> DataFrame:
 
 def ingest_reference_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The club table loaded twice by full refresh: the second load replaces the first."""
-    teams = raw_zone.raw_tables(spark, sf_dir)["mlb_teams"]
+    teams = raw_zone.RawZone(spark, sf_dir)["mlb_teams"]
     path = fresh_folder(spark, "reference")
     for _ in range(2):
         landing.land_table(teams, path)
@@ -120,7 +120,7 @@ def _registry_shards(spark: SparkSession, sf_dir: str) -> list[str]:
     Every third person also appears without an id, and every seventh with one that is no
     number; both must be dropped on the way in. Ids are written as floats, as delivered.
     """
-    players = raw_zone.raw_tables(spark, sf_dir)["player_lookup"]
+    players = raw_zone.RawZone(spark, sf_dir)["player_lookup"]
     known = players.select(
         F.lower(F.hex(F.col("mlbam_id") % 16)).alias("shard"),
         F.col("mlbam_id").cast("double").cast("string").alias("key_mlbam"),
@@ -164,7 +164,7 @@ def registry_id_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def teams_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clubs written as nested documents and flattened; half lack the whole division object."""
-    teams = raw_zone.raw_tables(spark, sf_dir)["mlb_teams"]
+    teams = raw_zone.RawZone(spark, sf_dir)["mlb_teams"]
     division = F.struct(F.col("division_id").alias("id"), F.col("division_name").alias("name"))
     club = F.struct(
         F.col("team_id").alias("id"),
@@ -185,7 +185,7 @@ def rosters_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every club also has an empty document, which gives no row, and one spot without a person.
     """
-    raw = raw_zone.raw_tables(spark, sf_dir)
+    raw = raw_zone.RawZone(spark, sf_dir)
     spot = F.struct(
         F.when(
             F.col("mlbam_id").isNotNull(),

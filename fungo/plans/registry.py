@@ -41,7 +41,7 @@ def query(build: Query) -> Query:
 
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(raw_zone.raw_tables(spark, sf_dir))
+    return Warehouse(raw_zone.RawZone(spark, sf_dir))
 
 
 def _with_facts(spark: SparkSession, sf_dir: str, *names: str) -> Warehouse:
@@ -171,12 +171,12 @@ def safe_cast_launch_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def status_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.label_status(raw_zone.raw_tables(spark, sf_dir)["mlb_roster_status"])
+    return staging.label_status(raw_zone.RawZone(spark, sf_dir)["mlb_roster_status"])
 
 
 @query
 def batter_display_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    players = raw_zone.raw_tables(spark, sf_dir)["player_lookup"]
+    players = raw_zone.RawZone(spark, sf_dir)["player_lookup"]
     name = labels.full_name(F.col("first_name"), F.col("last_name"))
     return players.select("mlbam_id", name.alias("display_name"))
 
@@ -281,12 +281,12 @@ def sem_time_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sem_player_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explores.player_dimension(raw_zone.raw_tables(spark, sf_dir)["player_lookup"])
+    return explores.player_dimension(raw_zone.RawZone(spark, sf_dir)["player_lookup"])
 
 
 @query
 def sem_player_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explores.player_count(raw_zone.raw_tables(spark, sf_dir)["player_lookup"])
+    return explores.player_count(raw_zone.RawZone(spark, sf_dir)["player_lookup"])
 
 
 @query

@@ -38,9 +38,13 @@ class Warehouse:
         missing = set(RAW_SCHEMAS) - set(raw)
         if missing:
             raise KeyError(f"raw tables missing: {sorted(missing)}")
-        self.raw = {name: conform(raw[name], RAW_SCHEMAS[name]) for name in RAW_SCHEMAS}
+        self._raw = raw
         self._stored = dict(stored or {})
 
+    def raw(self, name: str) -> DataFrame:
+        """A raw table, checked against its declared columns and types."""
+        return conform(self._raw[name], RAW_SCHEMAS[name])
+
     def table(self, name: str) -> DataFrame:
         """A table of any layer by its full name."""
         if name not in (*STAGING, *MARTS, *REPORTING, "player_lookup"):
@@ -50,29 +54,33 @@ class Warehouse:
     def with_stored_marts(self, *names: str) -> Warehouse:
         """Write the named marts once and return a warehouse that reads them."""
         written = {name: materialize(self.table(name), name) for name in names or MARTS}
-        return Warehouse(self.raw, {**self._stored, **written})
+        return self.with_stored(written)
+
+    def with_stored(self, written: Mapping[str, DataFrame]) -> Warehouse:
+        """A warehouse that reads the given marts instead of building them."""
+        return Warehouse(self._raw, {**self._stored, **written})
 
-    @property
+    @cached_property
     def player_lookup(self) -> DataFrame:
-        return self.raw["player_lookup"]
+        return self.raw("player_lookup")
 
     # staging
 
     @cached_property
     def stg_statcast_pitches(self) -> DataFrame:
-        return staging.stage_pitches(self.raw["statcast_pitches"])
+        return staging.stage_pitches(self.raw("statcast_pitches"))
 
     @cached_property
     def stg_mlb_teams(self) -> DataFrame:
-        return staging.stage_teams(self.raw["mlb_teams"])
+        return staging.stage_teams(self.raw("mlb_teams"))
 
     @cached_property
     def stg_mlb_rosters(self) -> DataFrame:
-        return staging.stage_rosters(self.raw["mlb_rosters"])
+        return staging.stage_rosters(self.raw("mlb_rosters"))
 
     @cached_property
     def stg_mlb_roster_status(self) -> DataFrame:
-        return staging.stage_roster_status(self.raw["mlb_roster_status"])
+        return staging.stage_roster_status(self.raw("mlb_roster_status"))
 
     # marts
 
@@ -147,7 +155,7 @@ def register(
     returned warehouse reads the stored marts.
     """
     for name in config.source_names:
-        warehouse.raw[name].createOrReplaceTempView(f"{config.raw_database}_{name}")
+        warehouse.raw(name).createOrReplaceTempView(f"{config.raw_database}_{name}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {config.marts_database} LOCATION '{location}'")
     stored = {}
     for name in MARTS:
@@ -157,7 +165,7 @@ def register(
             writer = writer.partitionBy("game_year")
         writer.option("path", f"{location}/{name}").saveAsTable(table)
         stored[name] = spark.table(table).select(*warehouse.table(name).columns)
-    built = Warehouse(warehouse.raw, stored)
+    built = warehouse.with_stored(stored)
     for name in (*STAGING, *REPORTING):
         built.table(name).createOrReplaceTempView(name)
     return built

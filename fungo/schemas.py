@@ -270,4 +270,4 @@ def conform(df: DataFrame, declared: StructType) -> DataFrame:
     ]
     if wrong:
         raise SchemaDrift("; ".join(wrong))
-    return df.select(*declared.names)
+    return df if df.columns == declared.names else df.selectExpr(*declared.names)

@@ -43,27 +43,33 @@ def with_partition_columns(raw_pitches: DataFrame) -> DataFrame:
     return raw_pitches.withColumns({"year": F.year(day), "month": F.month(day)})
 
 
-def land_pitches(raw_pitches: DataFrame, path: str, mode: str = "append") -> LoadAudit:
+def write_months(raw_pitches: DataFrame, path: str, mode: str = "append") -> None:
     """Write pitches below ``path`` as ``year=YYYY/month=M`` parquet.
 
     The rebalance hint lets adaptive execution cut a large month into several files of even
-    size and join small ones, so neither a hot month nor many tiny files come out. An empty
-    extract adds no file, and under full refresh it leaves the stored rows alone.
+    size and join small ones, so neither a hot month nor many tiny files come out.
     """
-    spark = raw_pitches.sparkSession
-    extract = conform(raw_pitches, PITCHES)
-    if mode == "full-refresh" and extract.isEmpty():
-        return LoadAudit(path, mode, 0, 0)
-    before = stored_rows(spark, path, LANDED_PITCHES) if mode == "append" else 0
-    seen = Observation()
     (
-        with_partition_columns(nan_to_null(extract))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        with_partition_columns(nan_to_null(raw_pitches))
         .hint("rebalance", "year", "month")
         .write.mode(LOAD_MODES[mode])
         .partitionBy("year", "month")
         .parquet(path)
     )
+
+
+def land_pitches(raw_pitches: DataFrame, path: str, mode: str = "append") -> LoadAudit:
+    """Check the columns, write the months and report the rows.
+
+    An empty extract stops the load: nothing is written, also under full refresh.
+    """
+    spark = raw_pitches.sparkSession
+    extract = conform(raw_pitches, PITCHES)
+    if extract.isEmpty():
+        return LoadAudit(path, mode, 0, 0)
+    before = stored_rows(spark, path, LANDED_PITCHES) if mode == "append" else 0
+    seen = Observation()
+    write_months(extract.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
     loaded = stored_rows(spark, path, LANDED_PITCHES) - before
     return LoadAudit(path, mode, seen.get["rows"], loaded)
 
@@ -71,6 +77,8 @@ def land_pitches(raw_pitches: DataFrame, path: str, mode: str = "append") -> Loa
 def land_table(df: DataFrame, path: str, mode: str = "full-refresh") -> LoadAudit:
     """Write one reference table; the default replaces what was there."""
     spark = df.sparkSession
+    if df.isEmpty():
+        return LoadAudit(path, mode, 0, 0)
     before = stored_rows(spark, path, df.schema) if mode == "append" else 0
     seen = Observation()
     (

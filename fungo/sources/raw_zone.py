@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from fungo.schemas import PITCHES
+from fungo.schemas import RAW_SCHEMAS
 from fungo.session import fresh_folder
 from fungo.sources import derived, landing
 
@@ -15,10 +17,10 @@ def land(spark: SparkSession, sf_dir: str) -> str:
     """Derive the raw tables from ``sf_dir`` and write them to a new folder; returns it."""
     zone = fresh_folder(spark, "raw")
     pitches = derived.pitches(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-    landing.land_pitches(pitches, f"{zone}/statcast_pitches")
+    landing.write_months(pitches, f"{zone}/statcast_pitches")
     landed = landing.read_landed(spark, f"{zone}/statcast_pitches")
     for name, table in derived.reference_tables(spark, sf_dir, landed).items():
-        landing.land_table(table, f"{zone}/{name}")
+        table.write.parquet(f"{zone}/{name}")
     return zone
 
 
@@ -35,11 +37,23 @@ def landed_pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_landed(spark, f"{zone_of(spark, sf_dir)}/statcast_pitches")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five raw tables by source name."""
-    zone = zone_of(spark, sf_dir)
-    names = ("player_lookup", "mlb_teams", "mlb_rosters", "mlb_roster_status")
-    return {
-        "statcast_pitches": landed_pitches(spark, sf_dir).select(*PITCHES.names),
-        **{name: landing.read_reference(spark, f"{zone}/{name}", name) for name in names},
-    }
+class RawZone(Mapping):
+    """The landed raw tables by source name, each opened when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark = spark
+        self._sf_dir = sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in RAW_SCHEMAS:
+            raise KeyError(name)
+        if name == "statcast_pitches":
+            return landed_pitches(self._spark, self._sf_dir).drop("year", "month")
+        path = f"{zone_of(self._spark, self._sf_dir)}/{name}"
+        return landing.read_reference(self._spark, path, name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(RAW_SCHEMAS)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fungo.operators.staging import stage_pitches
-from fungo.schemas import LANDED_PITCHES, PITCHES
+from fungo.schemas import LANDED_PITCHES
 from fungo.sources.landing import read_landed
 
 def _month() -> Column:
@@ -35,7 +35,7 @@ def refresh_touched_dates(
         .where(_month().isin(months))
         .join(touched, "game_date", "left_semi")
     )
-    rebuilt = build(stage_pitches(reopened.select(*PITCHES.names)))
+    rebuilt = build(stage_pitches(reopened.drop("year", "month")))
     (
         rebuilt.hint("rebalance", "game_date")
         .write.mode("overwrite")
