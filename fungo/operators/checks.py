@@ -80,19 +80,23 @@ def several_values(rule: str, df: DataFrame, keys: Sequence[str], column: str) -
 
 
 def totals_differ(
-    left: DataFrame, right: DataFrame, key: str, names: Sequence[str], how: str = "inner"
+    left: DataFrame, right: DataFrame, key: str, names: Sequence[str]
 ) -> DataFrame:
     """Keys whose totals are not equal on both sides.
 
-    The inner join does not see a key that one side lacks; ``how="full"`` reports it too.
+    ``both_sides`` tells a key with two unequal totals from one that a side lacks altogether,
+    which an inner join would not see.
     """
-    other = right.select(key, *(F.col(name).alias(f"{name}_right") for name in names))
-    joined = left.join(other, key, how)
-    if how == "inner":
-        differs = [F.col(name) != F.col(f"{name}_right") for name in names]
-    else:
-        differs = [~F.col(name).eqNullSafe(F.col(f"{name}_right")) for name in names]
-    return joined.where(reduce(Column.__or__, differs)).select(key)
+    ours = left.select(key, *names, F.lit(True).alias("in_left"))
+    theirs = right.select(
+        key, *(F.col(name).alias(f"{name}_right") for name in names), F.lit(True).alias("in_right")
+    )
+    joined = ours.join(theirs, key, "full")
+    both = F.col("in_left").isNotNull() & F.col("in_right").isNotNull()
+    unequal = [~F.col(name).eqNullSafe(F.col(f"{name}_right")) for name in names]
+    return joined.where(~both | reduce(Column.__or__, unequal)).select(
+        key, both.alias("both_sides")
+    )
 
 
 def none_found(df: DataFrame, label: str, name: str, count: str) -> DataFrame:

@@ -321,7 +321,7 @@ def long_injured_without_stats(status: DataFrame, batter_games: DataFrame, top:
     and skips the season roll-up.
     """
     listed = status.where(F.col("availability") == labels.AVAILABILITY["D60"])
-    played = batter_games.select(F.col("batter_id").alias("mlbam_id"))
+    played = batter_games.select(F.col("batter_id").alias("mlbam_id")).distinct()
     return (
         listed.join(played, "mlbam_id", "left_anti")
         .orderBy("player_full_name", "mlbam_id")
@@ -333,19 +333,18 @@ def long_injured_without_stats(status: DataFrame, batter_games: DataFrame, top:
 def date_chunks(pitches: DataFrame, days: int) -> DataFrame:
     """The stored date range cut into ``days``-long chunks, with the pitches of each.
 
-    A pitch finds its chunk by arithmetic, so only one row per date meets the chunk list.
+    Pitches are counted per date first. The range and the chunk of a date, found by
+    arithmetic, both come from those few rows.
     """
-    span = pitches.agg(F.min("game_date").alias("first"), F.max("game_date").alias("last"))
+    per_date = pitches.groupBy("game_date").agg(_rows().alias("n"))
+    span = per_date.agg(F.min("game_date").alias("first"), F.max("game_date").alias("last"))
     chunks = span.select(
         "last", F.explode(chunk_starts(F.col("first"), F.col("last"), days)).alias("chunk_start")
     ).select("chunk_start", chunk_end(F.col("chunk_start"), F.col("last"), days).alias("chunk_end"))
     first = span.select("first").scalar()
     offset = F.floor(F.datediff("game_date", first) / F.lit(days)).cast("int") * days
-    filled = (
-        pitches.groupBy("game_date")
-        .agg(_rows().alias("n"))
-        .groupBy(F.date_add(first, offset).alias("chunk_start"))
-        .agg(F.sum("n").alias("n"))
+    filled = per_date.groupBy(F.date_add(first, offset).alias("chunk_start")).agg(
+        F.sum("n").alias("n")
     )
     return chunks.join(filled, "chunk_start", "left").select(
         "chunk_start", "chunk_end", F.coalesce("n", F.lit(0)).alias("pitches")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fungo.functions.pitch import MIX_LABELS
 from fungo.operators import checks
-from fungo.operators.profile import coverage
+from fungo.operators.profile import by_column, coverage
 from fungo.plans.warehouse import Warehouse
 
 # Required, unique and closed-list columns, and references to a parent.
@@ -177,26 +177,25 @@ def _totals(df: DataFrame, key: str, names: tuple[str, ...], games: Column) -> D
 
 
 def recoverable(
-    stints: DataFrame, games: DataFrame, key: str, names: tuple[str, ...], how: str = "inner"
+    stints: DataFrame, games: DataFrame, key: str, names: tuple[str, ...]
 ) -> DataFrame:
     """Players whose stint rows do not add up to the season total of the game facts."""
     from_stints = _totals(stints, key, names, F.sum("games"))
     from_games = _totals(games, key, names, F.count_distinct("game_id"))
-    return checks.totals_differ(from_stints, from_games, key, (*names, "games"), how)
+    return checks.totals_differ(from_stints, from_games, key, (*names, "games"))
 
 
 def _recoverable_rules(
     role: str, stints: DataFrame, games: DataFrame, key: str, names: tuple[str, ...]
 ) -> DataFrame:
-    """The inner comparison, and a full outer one that also sees a player one side lacks."""
-    measure = {"failing_rows": F.count(F.lit(1))}
-    return checks.stack(
-        [
-            coverage(
-                recoverable(stints, games, key, names, how), "rule", f"{role}_{how}", measure
-            )
-            for how in ("inner", "full")
-        ]
+    """Unequal totals of players on both sides, and of all players, from one comparison."""
+    return by_column(
+        recoverable(stints, games, key, names),
+        {
+            f"{role}_inner": {"failing_rows": F.count_if("both_sides")},
+            f"{role}_full": {"failing_rows": F.count(F.lit(1))},
+        },
+        "rule",
     )
 
 

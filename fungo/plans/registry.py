@@ -374,7 +374,7 @@ def profile_pitch_mix_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def all_player_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = _with_facts(spark, sf_dir)
+    warehouse = _warehouse(spark, sf_dir)
     return profiles.all_player_ids(
         warehouse.mart_batter_game_stats, warehouse.mart_pitcher_game_stats, warehouse.player_lookup
     )
@@ -382,7 +382,7 @@ def all_player_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_team_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.team_coverage(_with_facts(spark, sf_dir))
+    return profiles.team_coverage(_warehouse(spark, sf_dir))
 
 
 @query
@@ -413,7 +413,7 @@ def profile_status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_status_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.status_attach(_with_facts(spark, sf_dir, *FACTS, *STATUS))
+    return profiles.status_attach(_warehouse(spark, sf_dir))
 
 
 @query
@@ -454,7 +454,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.references(_with_facts(spark, sf_dir))
+    return quality.references(_warehouse(spark, sf_dir))
 
 
 @query
@@ -469,7 +469,7 @@ def dq_pitcher_team_per_game(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_composite_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.composite_grains(_with_facts(spark, sf_dir))
+    return quality.composite_grains(_warehouse(spark, sf_dir))
 
 
 @query

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,14 +27,31 @@ class LoadAudit:
     rows_loaded: int
 
 
-def stored_rows(spark: SparkSession, path: str, schema: StructType) -> int:
-    """Rows at ``path``, counted from parquet footers; zero when nothing was written there yet."""
+def stored_rows(
+    spark: SparkSession, path: str, schema: StructType, within: Column | None = None
+) -> int:
+    """Rows at ``path``; zero when nothing was written there yet.
+
+    Without a column to read, the count comes from the parquet footers. ``within`` is a test
+    on partition columns and limits it to their folders.
+    """
     try:
-        return spark.read.schema(schema).parquet(path).count()
+        stored = spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return 0
         raise
+    return (stored if within is None else stored.where(within)).count()
+
+
+def month_number() -> Column:
+    """Calendar month of a landed row as one number."""
+    return F.col("year") * 12 + F.col("month")
+
+
+def months_of(landed: DataFrame) -> list[int]:
+    """Distinct calendar months, a dozen a season."""
+    return [row.n for row in landed.select(month_number().alias("n")).distinct().collect()]
 
 
 def with_partition_columns(raw_pitches: DataFrame) -> DataFrame:
@@ -61,16 +78,19 @@ def write_months(raw_pitches: DataFrame, path: str, mode: str = "append") -> Non
 def land_pitches(raw_pitches: DataFrame, path: str, mode: str = "append") -> LoadAudit:
     """Check the columns, write the months and report the rows.
 
-    An empty extract stops the load: nothing is written, also under full refresh.
+    An empty extract stops the load: nothing is written, also under full refresh. The audit of
+    an append reads only the months it touched, however large the table has grown.
     """
     spark = raw_pitches.sparkSession
     extract = conform(raw_pitches, PITCHES)
-    if extract.isEmpty():
+    months = months_of(with_partition_columns(extract))
+    if not months:
         return LoadAudit(path, mode, 0, 0)
-    before = stored_rows(spark, path, LANDED_PITCHES) if mode == "append" else 0
+    touched = month_number().isin(months)
+    before = stored_rows(spark, path, LANDED_PITCHES, touched) if mode == "append" else 0
     seen = Observation()
     write_months(extract.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
-    loaded = stored_rows(spark, path, LANDED_PITCHES) - before
+    loaded = stored_rows(spark, path, LANDED_PITCHES, touched) - before
     return LoadAudit(path, mode, seen.get["rows"], loaded)
 
 
@@ -105,9 +125,8 @@ def in_date_range(landed: DataFrame, first: date, last: date) -> DataFrame:
     The month test prunes folders and the integer bounds are pushed to the scan; the test on
     the date itself decides.
     """
-    months = F.col("year") * 12 + F.col("month")
     return landed.where(
-        months.between(first.year * 12 + first.month, last.year * 12 + last.month)
+        month_number().between(first.year * 12 + first.month, last.year * 12 + last.month)
         & ns_between(F.col("game_date"), first, last)
         & ns_to_date(F.col("game_date")).between(F.lit(first), F.lit(last))
     )

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fungo.operators.staging import stage_pitches
 from fungo.schemas import LANDED_PITCHES
-from fungo.sources.landing import read_landed
-
-def _month() -> Column:
-    return F.col("year") * 12 + F.col("month")
-
+from fungo.sources.landing import month_number, months_of, read_landed
 
 def refresh_touched_dates(
     batch: DataFrame, landing: str, mart: str, build: Callable[[DataFrame], DataFrame]
@@ -26,13 +21,13 @@ def refresh_touched_dates(
     are read; the dates stay in a semi-join.
     """
     spark = batch.sparkSession
-    months = [row.month for row in batch.select(_month().alias("month")).distinct().collect()]
+    months = months_of(batch)
     if not months:
         return
     touched = batch.select("game_date").distinct()
     reopened = (
         read_landed(spark, landing)
-        .where(_month().isin(months))
+        .where(month_number().isin(months))
         .join(touched, "game_date", "left_semi")
     )
     rebuilt = build(stage_pitches(reopened.drop("year", "month")))

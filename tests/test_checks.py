@@ -97,17 +97,17 @@ def test_two_clubs_in_one_game(spark):
 
 
 def test_lost_stint_and_lost_player(sound):
+    def found(season, games, key, names):
+        return [r.both_sides for r in quality.recoverable(season, games, key, names).collect()]
+
     season, games = sound.rpt_batter_season, sound.mart_batter_game_stats
-    names = quality.BATTER_TOTALS
-    lost_stint = season.where("batter_team <> 'HOM'")
-    assert quality.recoverable(lost_stint, games, "batter_id", names).count() == 1
+    batting = ("batter_id", quality.BATTER_TOTALS)
+    assert found(season.where("batter_team <> 'HOM'"), games, *batting) == [True]
     lost_player = season.where(F.col("batter_id") != small.OTHER_BATTER)
-    assert quality.recoverable(lost_player, games, "batter_id", names).count() == 0
-    assert quality.recoverable(lost_player, games, "batter_id", names, "full").count() == 1
-    pitchers, pitcher_games = sound.rpt_pitcher_season, sound.mart_pitcher_game_stats
-    lost = pitchers.where("pitching_team <> 'HOM'")
-    found = quality.recoverable(lost, pitcher_games, "pitcher_id", quality.PITCHER_TOTALS)
-    assert found.count() == 1
+    assert found(lost_player, games, *batting) == [False]
+    lost = sound.rpt_pitcher_season.where("pitching_team <> 'HOM'")
+    pitching = ("pitcher_id", quality.PITCHER_TOTALS)
+    assert found(lost, sound.mart_pitcher_game_stats, *pitching) == [True]
 
 
 def test_nobody_traded(spark):
