@@ -13,6 +13,7 @@ from fungo.operators import attach
 from fungo.operators.checks import stack
 from fungo.operators.profile import coverage, null_rates, numeric_profile, shares
 from fungo.plans.warehouse import Warehouse
+from fungo.session import materialize
 
 # Profiled pitch columns.
 NUMERIC_COLUMNS = (
@@ -333,10 +334,12 @@ def long_injured_without_stats(status: DataFrame, batter_games: DataFrame, top:
 def date_chunks(pitches: DataFrame, days: int) -> DataFrame:
     """The stored date range cut into ``days``-long chunks, with the pitches of each.
 
-    Pitches are counted per date first. The range and the chunk of a date, found by
-    arithmetic, both come from those few rows.
+    Pitches are counted per date in one scan and the few counts written down. The range and
+    the chunk of a date, found by arithmetic, both come from them.
     """
-    per_date = pitches.groupBy("game_date").agg(_rows().alias("n"))
+    per_date = materialize(
+        pitches.groupBy("game_date").agg(_rows().alias("n")), "pitches-per-date"
+    )
     span = per_date.agg(F.min("game_date").alias("first"), F.max("game_date").alias("last"))
     chunks = span.select(
         "last", F.explode(chunk_starts(F.col("first"), F.col("last"), days)).alias("chunk_start")

@@ -1,7 +1,7 @@
 """Every query by name: ``(spark, sf_dir) -> DataFrame``.
 
-Reports with one consumer of a fact table stay one lazy plan from the raw pitches on. Where
-several tables are built on the same fact, the fact is written once and read back.
+A query is one lazy plan from the raw pitches on, so that only the columns it needs are read
+and aggregated. Only where whole fact rows are needed twice is the fact written and read back.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from fungo.functions import labels
 from fungo.functions.numeric import rounded
 from fungo.functions.pitch import club_batting, club_pitching
 from fungo.operators import rollups, staging
+from fungo.operators.checks import stack
+from fungo.operators.profile import coverage
 from fungo.plans import explores, ingestion, profiles, quality, reports
-from fungo.plans.warehouse import Warehouse, register
+from fungo.plans.warehouse import MARTS, Warehouse, register
 from fungo.session import fresh_folder
 from fungo.sources import landing, raw_zone
 
@@ -26,8 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BATTER_MART, PITCHER_MART = "mart_batter_game_stats", "mart_pitcher_game_stats"
-FACTS = (BATTER_MART, PITCHER_MART)
-STATUS = ("dim_roster_status",)
 
 
 def query(build: Query) -> Query:
@@ -44,8 +44,8 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(raw_zone.RawZone(spark, sf_dir))
 
 
-def _with_facts(spark: SparkSession, sf_dir: str, *names: str) -> Warehouse:
-    return _warehouse(spark, sf_dir).with_stored_marts(*(names or FACTS))
+def _with_stored(spark: SparkSession, sf_dir: str, name: str) -> Warehouse:
+    return _warehouse(spark, sf_dir).with_stored_marts(name)
 
 
 def _table(name: str) -> None:
@@ -130,17 +130,11 @@ for _build in (
 
 @query
 def mart_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = register(spark, _warehouse(spark, sf_dir), fresh_folder(spark, "marts"))
-    tables = [
-        built.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(f"marts.{name}").alias("table_name"), "n_rows"
-        )
-        for name in (*FACTS, "dim_team", "dim_roster_status")
-    ]
-    first, *others = tables
-    for other in others:
-        first = first.unionAll(other)
-    return first
+    built = register(spark, _warehouse(spark, sf_dir), fresh_folder(spark, "layers"))
+    rows = {"n_rows": F.count(F.lit(1))}
+    return stack(
+        [coverage(built.table(name), "table_name", f"marts.{name}", rows) for name in MARTS]
+    )
 
 
 # staging operators
@@ -434,7 +428,7 @@ def il60_without_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.required_columns(_with_facts(spark, sf_dir, *FACTS, *STATUS))
+    return quality.required_columns(_warehouse(spark, sf_dir))
 
 
 @query
@@ -474,12 +468,12 @@ def dq_composite_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_batter_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.batter_recoverable(_with_facts(spark, sf_dir, BATTER_MART))
+    return quality.batter_recoverable(_with_stored(spark, sf_dir, BATTER_MART))
 
 
 @query
 def dq_pitcher_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.pitcher_recoverable(_with_facts(spark, sf_dir, PITCHER_MART))
+    return quality.pitcher_recoverable(_with_stored(spark, sf_dir, PITCHER_MART))
 
 
 @query

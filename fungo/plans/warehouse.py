@@ -14,7 +14,8 @@ from fungo.session import materialize
 from fungo.schemas import RAW_SCHEMAS, conform
 
 STAGING = ("stg_statcast_pitches", "stg_mlb_teams", "stg_mlb_rosters", "stg_mlb_roster_status")
-MARTS = ("mart_batter_game_stats", "mart_pitcher_game_stats", "dim_team", "dim_roster_status")
+FACTS = ("mart_batter_game_stats", "mart_pitcher_game_stats")
+MARTS = (*FACTS, "dim_team", "dim_roster_status")
 REPORTING = (
     "rpt_league_batting_kpis",
     "rpt_batter_season",
@@ -145,27 +146,44 @@ class Warehouse:
         )
 
 
+def _save(df: DataFrame, database: str, name: str, location: str) -> DataFrame:
+    table = f"{database}.{name}"
+    writer = df.write.mode("overwrite").option("path", f"{location}/{database}/{name}")
+    if name in FACTS:
+        writer = writer.partitionBy("game_year")
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table).selectExpr(*df.columns)
+
+
 def register(
-    spark: SparkSession, warehouse: Warehouse, location: str, config: Config = Config()
+    spark: SparkSession,
+    warehouse: Warehouse,
+    location: str,
+    config: Config = Config(),
+    save_reports: bool = False,
 ) -> Warehouse:
     """Store the marts as tables and expose every layer to ``spark.sql``.
 
-    Raw, staging and reporting tables become temporary views under their own names; the marts
-    become tables ``marts.*`` below ``location``, fact tables partitioned by game year. The
-    returned warehouse reads the stored marts.
+    Raw, staging and reporting tables become temporary views: ``raw_<source>`` and their own
+    names. The marts become tables ``marts.<name>`` below ``location``, the facts partitioned
+    by game year. A temporary view can not be qualified by a database, so ``save_reports``
+    also stores the reports as tables ``reporting.<name>``. The returned warehouse reads the
+    stored marts.
     """
     for name in config.source_names:
         warehouse.raw(name).createOrReplaceTempView(f"{config.raw_database}_{name}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {config.marts_database} LOCATION '{location}'")
-    stored = {}
-    for name in MARTS:
-        table = f"{config.marts_database}.{name}"
-        writer = warehouse.table(name).write.mode("overwrite")
-        if name.startswith("mart_"):
-            writer = writer.partitionBy("game_year")
-        writer.option("path", f"{location}/{name}").saveAsTable(table)
-        stored[name] = spark.table(table).select(*warehouse.table(name).columns)
-    built = warehouse.with_stored(stored)
+    databases = [config.marts_database] + [config.reporting_database] * save_reports
+    for database in databases:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}/{database}'")
+    built = warehouse.with_stored(
+        {
+            name: _save(warehouse.table(name), config.marts_database, name, location)
+            for name in MARTS
+        }
+    )
     for name in (*STAGING, *REPORTING):
         built.table(name).createOrReplaceTempView(name)
+    if save_reports:
+        for name in REPORTING:
+            _save(built.table(name), config.reporting_database, name, location)
     return built

@@ -164,7 +164,9 @@ def test_one_club_and_one_status_per_player(spark):
 
 def test_layers_answer_sql(spark):
     warehouse = Warehouse(small.raw_tables(spark))
-    register(spark, warehouse, fresh_folder(spark, "layers"), Config(marts_database="marts_test"))
+    config = Config(marts_database="marts_test", reporting_database="reporting_test")
+    register(spark, warehouse, fresh_folder(spark, "layers"), config, save_reports=True)
+    assert spark.sql("select count(*) n from reporting_test.rpt_pitcher_pitch_mix").first().n == 9
     assert spark.sql("select count(*) n from marts_test.mart_batter_game_stats").first().n == 2
     row = spark.sql(
         "select batter_name, hits from rpt_batter_season where batter_id = 10"
