@@ -60,3 +60,10 @@ def test_top_k_does_not_sort_everything(spark, sf_dir):
 def test_count_by_date_reads_two_columns(spark, sf_dir):
     text = plan(QUERIES["profile_pitches_by_date"](spark, sf_dir))
     assert "ReadSchema: struct<game_date:bigint,pitch_type:string>" in text
+
+
+def test_season_line_reads_seventeen_pitch_columns(spark, sf_dir):
+    text = plan(QUERIES["rpt_batter_season"](spark, sf_dir))
+    scans = [len(columns.split(",")) for columns in re.findall(r"ReadSchema: struct<(.*?)>", text)]
+    assert max(scans) == 17
+    assert "SortAggregate" not in text
