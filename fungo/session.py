@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def build_session(
     app: str = "fungo",
@@ -41,20 +38,11 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors are one process, falls back to a
-    temporary folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the context's own setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _LOCAL_FOLDERS.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="fungo-")
-    )
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

@@ -13,8 +13,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("fungo-tests", master="local[8]", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+    session = build_session("fungo-tests", master="local[8]", shuffle_partitions=4, **shared)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from fungo.oracle import oracle_texts
+from fungo.plans import registry
 from tests.compare import connect, differences
 
-QUERIES = contract.queries()
-TEXTS = contract.oracle_sql()
+QUERIES = registry.QUERIES
+TEXTS = oracle_texts()
 
 
 @pytest.fixture(scope="module")
