@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fungo.llm import host_rules, sharding, simhash_dedup, token_counts
+from fungo.llm import host_rules, sharding, simhash_dedup, substring_dedup, token_counts
 from fungo.llm.common import table
 from fungo.llm.texts import ORACLE  # noqa: F401
 
@@ -48,3 +48,9 @@ def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_dedup.group(table(spark, sf_dir, "documents"))
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
