@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fungo.llm import host_rules, sharding, simhash_dedup, substring_dedup, token_counts
+from fungo.llm import host_rules, pseudonyms, sharding, simhash_dedup, substring_dedup, token_counts
 from fungo.llm.common import table
 from fungo.llm.texts import ORACLE  # noqa: F401
 
@@ -54,3 +54,8 @@ def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(table(spark, sf_dir, "documents"), pseudonyms.DEMO_KEY)
