@@ -193,7 +193,7 @@ _WRITE = dict(zip(KINDS, (_iban, _card, _ssn, _phone, _ipv4, _date, _email)))
 
 # One scan finds every kind. The sides keep out longer numbers, versions and identifiers.
 _FIND = re.compile(
-    r"(?<![0-9A-Za-z_])(?:"
+    r"(?<![0-9A-Za-z_])(?<![0-9][-/.])(?:"
     r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![0-9A-Za-z_])"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z_]|-[0-9])"
     r"|(?P<phone>(?P<country>\+?1[ .-]?)?(?P<number>(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}))"
