@@ -23,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -272,7 +273,7 @@ def pseudonymize_column(docs: DataFrame, key: bytes, text: str = "text") -> Data
     """``docs`` with the values in ``text`` replaced; every other column as it is."""
 
     @F.pandas_udf("string")
-    def turned(texts: "pd.Series") -> "pd.Series":  # noqa: F821, UP037
+    def turned(texts: pd.Series) -> pd.Series:
         turner = Turner(key)
         return texts.map(lambda value: rewrite(value, turner, {}) if value else value)
 
