@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fungo.llm import host_rules, pseudonyms, sharding, simhash_dedup, substring_dedup, token_counts
+from fungo.llm import (
+    hamming_search,
+    host_rules,
+    language_id,
+    mixing,
+    packing,
+    pseudonyms,
+    sharding,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+)
 from fungo.llm.common import table
 from fungo.llm.texts import ORACLE  # noqa: F401
 
@@ -59,3 +70,24 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymize(table(spark, sf_dir, "documents"), pseudonyms.DEMO_KEY)
+
+
+@query
+def op3_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = hamming_search.coded(table(spark, sf_dir, "embeddings"))
+    return hamming_search.nearest(codes, codes.where(F.col("id") % 20 == 0))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("order")
+
+
+@query
+def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
