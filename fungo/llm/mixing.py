@@ -25,6 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fungo.llm.common import LAST_ID
 from fungo.session import materialize
 
 PERIOD = 1000
@@ -173,3 +174,17 @@ def mix(
         "start", "order",
     )
     return placed.where(F.col("slot") < end)
+
+
+def in_order(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``docs`` as the mix uses them: repeated by epoch and sorted by their place in it.
+
+    A row is found by its id and a hash of its id and text. Rows alike in both are joined as one and come
+    out as often as the mix has places for them.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    uses = mixed.select(key.alias("_key"), F.col("order").alias("_order"), "slot", "start")
+    uses = uses.withColumnsRenamed({"slot": "_slot", "start": "_start"})
+    rows = docs.withColumns({"_key": key, "_order": F.xxhash64("doc_id", "text")})
+    placed = rows.dropDuplicates(["_key", "_order"]).join(uses, ["_key", "_order"])
+    return placed.orderBy("_slot", "_start", "_order").select(*docs.columns)
