@@ -16,7 +16,6 @@ vectors gives them all. The query itself is not its own neighbour.
 
 from __future__ import annotations
 
-import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,8 +26,11 @@ from fungo.session import materialize
 CODE_BITS = 64
 K = 10
 SEGMENTS = 5
-# Radii searched in all segments before a round ends; beyond the last, a round adds one segment.
-ROUND_RADII = (1, 2, 3)
+LEAST_SEGMENTS = 4
+# Radii searched in all segments before a round ends. Then a radius is added segment by segment, as most
+# codes have their neighbours there and each step of distance doubles what is covered; then whole radii
+# again, for the few outliers.
+FIRST_RADII, STEPWISE_RADIUS = (1, 2, 3), 4
 
 
 def sign_code(embedding: Column) -> Column:
@@ -51,13 +53,10 @@ def _segment(code: Column, start: int, width: int) -> Column:
     return F.shiftrightunsigned(code, start).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _masks(width: int, radius: int) -> list[int]:
-    """All patterns of at most ``radius`` of ``width`` bits."""
-    return [
-        sum(1 << bit for bit in places)
-        for weight in range(min(radius, width) + 1)
-        for places in itertools.combinations(range(width), weight)
-    ]
+def _masks(width: int, radius: int) -> Column:
+    """All patterns of at most ``radius`` of ``width`` bits: a constant of the plan."""
+    patterns = F.sequence(F.lit(0).cast("long"), F.lit((1 << width) - 1).cast("long"))
+    return F.filter(patterns, lambda pattern: F.bit_count(pattern) <= radius)
 
 
 def coded(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -86,10 +85,9 @@ def _probes(queries: DataFrame, radii: list[int]) -> DataFrame:
     for s, ((a, w), radius) in enumerate(zip(_segment_bounds(len(radii)), radii)):
         if radius >= 0:
             own = _segment(F.col("query"), a, w)
-            masks = F.array(*[F.lit(mask).cast("long") for mask in _masks(w, radius)])
             parts.append(
                 queries.select("query", F.lit(s).alias("q_segment"), own.alias("own"))
-                .withColumn("mask", F.explode(masks))
+                .withColumn("mask", F.explode(_masks(w, radius)))
                 .select("query", "q_segment", F.col("own").bitwiseXOR(F.col("mask")).alias("q_value"))
             )
     return reduce(DataFrame.unionAll, parts)
@@ -97,13 +95,13 @@ def _probes(queries: DataFrame, radii: list[int]) -> DataFrame:
 
 def _rounds(segments: int) -> list[tuple[list[int], int]]:
     """Radii by segment and the distance that is covered then, until every code is."""
-    rounds = [([r] * segments, r * segments + segments - 1) for r in ROUND_RADII]
-    radii, covered = list(rounds[-1][0]), rounds[-1][1]
-    while covered < CODE_BITS:
-        covered += 1
-        radii = list(radii)
-        radii[(covered - 0) % segments] += 1
-        rounds.append((radii, covered))
+    rounds = [([r] * segments, r * segments + segments - 1) for r in FIRST_RADII]
+    for j in range(segments):
+        radii = [STEPWISE_RADIUS - (place > j) for place in range(segments)]
+        rounds.append((radii, STEPWISE_RADIUS * segments + j))
+    while rounds[-1][1] < CODE_BITS:
+        radius = rounds[-1][0][0] + 1
+        rounds.append(([radius] * segments, radius * segments + segments - 1))
     return rounds
 
 
@@ -115,8 +113,11 @@ def nearest(
     Both tables have ``id`` and ``code``, as ``coded`` gives them; a query finds every other id.
     ``segments`` is best near 64 / log2 of the number of codes.
     """
+    if segments < LEAST_SEGMENTS:
+        raise ValueError(f"at least {LEAST_SEGMENTS} segments")
     members = materialize(_members(vectors, k + 1), "codes")
-    asked = materialize(queries.select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct(), "queries")
+    asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct()
+    asked = materialize(asked, "queries")
     index = materialize(_index(members.select("code").distinct(), segments), "segments")
     active = asked.select("query").distinct()
     # With no more than this many ids in all, a query can not find k + 1.
