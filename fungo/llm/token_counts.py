@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fungo.llm.tokens import PIECES_FILE, RANKS_FILE, encoder
+from fungo.session import materialize
 
 BLOCK = 1024
 
@@ -37,8 +38,12 @@ def encoded_lengths(
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
-    """``length``, ``n_docs``: the documents of each length."""
-    return lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    """``length``, ``n_docs``: the documents of each length.
+
+    Written to the shared folder, as the sums read it twice and encoding is the work.
+    """
+    counted = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    return materialize(counted, "length-histogram")
 
 
 def suffix_sums(histogram: DataFrame, block: int = BLOCK) -> DataFrame:
