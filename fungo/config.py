@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 class Config:
     """Layer names, raw table names and the ingestion chunk length.
 
-    Marts are stored as tables; raw, staging and reporting are views unless reports are saved too.
+    Marts are stored as tables; raw, staging and reporting are views unless they are saved too.
     """
 
     raw_database: str = "raw"
+    staging_database: str = "staging"
     marts_database: str = "marts"
     reporting_database: str = "reporting"
     pitch_table: str = "statcast_pitches"

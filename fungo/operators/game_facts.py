@@ -20,14 +20,16 @@ class GameMetrics:
 
     ``appearances``: distinct plate appearances with at least one pitch that meets the test.
     ``counts``: pitches that meet the test. ``means`` and ``peaks``: average and maximum of a
-    value, nulls left out. ``labels``: attributes that do not vary within a game, by maximum.
+    value, nulls left out. ``codes``: single letters, by maximum. ``names``: text that does not vary
+    within a plate appearance, by maximum over the game.
     """
 
     appearances: Mapping[str, Column]
     counts: Mapping[str, Column]
     means: Mapping[str, Column]
     peaks: Mapping[str, Column]
-    labels: Mapping[str, Column] = field(default_factory=dict)
+    codes: Mapping[str, Column] = field(default_factory=dict)
+    names: Mapping[str, Column] = field(default_factory=dict)
 
 
 def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) -> DataFrame:
@@ -36,29 +38,47 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
     A plate appearance is one row after the first step, so counting distinct ones in the
     second is a plain conditional count: no row is copied per distinct expression. Both steps
     combine on the map side before they shuffle. Averages travel as sum and count.
+
+    The maximum of a text can not be kept in a hash table and would have every pitch sorted. Letters
+    are therefore compared by their code, and names are grouping keys until a game is a few rows.
     """
-    per_appearance = pitches.groupBy(*keys, "at_bat_number").agg(
+    named = pitches.withColumns(dict(metrics.names))
+    per_appearance = named.groupBy(*keys, *metrics.names, "at_bat_number").agg(
         F.count(F.lit(1)).alias("total_pitches"),
         *(F.max(test).alias(name) for name, test in metrics.appearances.items()),
         *(F.count_if(test).alias(name) for name, test in metrics.counts.items()),
         *(F.sum(value).alias(f"{name}_sum") for name, value in metrics.means.items()),
         *(F.count(value).alias(f"{name}_n") for name, value in metrics.means.items()),
         *(F.max(value).alias(name) for name, value in metrics.peaks.items()),
-        *(F.max(value).alias(name) for name, value in metrics.labels.items()),
+        *(F.max(F.ascii(value)).alias(name) for name, value in metrics.codes.items()),
     )
     numbered = F.col("at_bat_number").isNotNull()
-    return per_appearance.groupBy(*keys).agg(
-        F.sum("total_pitches").alias("total_pitches"),
+    parts = [f"{name}_{part}" for name in metrics.means for part in ("sum", "n")]
+    sums = ("total_pitches", *metrics.counts, *parts)
+    peaks = (*metrics.peaks, *metrics.codes)
+    games = per_appearance.groupBy(*keys, *metrics.names).agg(
         *(F.count_if(numbered & F.col(name)).alias(name) for name in metrics.appearances),
-        *(F.sum(name).alias(name) for name in metrics.counts),
-        *(
-            safe_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(name)
-            for name in metrics.means
-        ),
-        *(F.max(name).alias(name) for name in (*metrics.peaks, *metrics.labels)),
+        *(F.sum(name).alias(name) for name in sums),
+        *(F.max(name).alias(name) for name in peaks),
+    )
+    if metrics.names:
+        games = games.groupBy(*keys).agg(
+            *(F.sum(name).alias(name) for name in (*metrics.appearances, *sums)),
+            *(F.max(name).alias(name) for name in (*peaks, *metrics.names)),
+        )
+    return games.withColumns(
+        {
+            **{name: safe_divide(F.col(f"{name}_sum"), F.col(f"{name}_n")) for name in metrics.means},
+            **{name: _letter(F.col(name)) for name in metrics.codes},
+        }
     )
 
 
+def _letter(code: Column) -> Column:
+    """The letter of a code; the empty text has code 0."""
+    return F.when(code == 0, F.lit("")).otherwise(F.char(code))
+
+
 def _when_in_play(value: str) -> Column:
     return F.when(pitch.in_play(), F.col(value))
 
@@ -93,7 +113,7 @@ def batter_metrics() -> GameMetrics:
             "avg_swing_length": F.col("swing_length"),
         },
         peaks={"max_exit_velocity_mph": _when_in_play("exit_velocity_mph")},
-        labels={"batter_side": F.col("batter_side")},
+        codes={"batter_side": F.col("batter_side")},
     )
 
 
@@ -126,10 +146,8 @@ def pitcher_metrics() -> GameMetrics:
             "avg_xwoba_against": F.col("xwoba"),
         },
         peaks={"max_pitch_velocity_mph": F.col("pitch_velocity_mph")},
-        labels={
-            "pitcher_name": F.col("pitcher_name"),
-            "pitcher_throws": F.col("pitcher_throws"),
-        },
+        codes={"pitcher_throws": F.col("pitcher_throws")},
+        names={"pitcher_name": F.col("pitcher_name")},
     )
 
 

@@ -134,8 +134,7 @@ def combined_pitching(games: DataFrame) -> DataFrame:
 
     The stint rows do not carry swings and whiffs, so their rates can not be recombined.
     """
-    return games.groupBy("pitcher_id").agg(
-        F.count_distinct("pitching_team").alias("stints"),
+    line = games.groupBy("pitcher_id").agg(
         F.count_distinct("game_id").alias("games"),
         *_sums(*PITCHER_SUMS),
         _ratio("whiffs", "swings").alias("whiff_rate"),
@@ -145,6 +144,13 @@ def combined_pitching(games: DataFrame) -> DataFrame:
         _mean("avg_spin_rate_rpm", "total_pitches").alias("avg_spin_rate"),
         _mean("avg_extension_ft", "total_pitches").alias("avg_extension"),
     )
+    # Counted apart: two distinct counts in one aggregate would copy every row.
+    clubs = games.groupBy(F.col("pitcher_id").alias("of_pitcher")).agg(
+        F.count_distinct("pitching_team").alias("stints")
+    )
+    joined = line.join(clubs, F.col("pitcher_id").eqNullSafe(F.col("of_pitcher")))
+    figures = [name for name in line.columns if name != "pitcher_id"]
+    return joined.select("pitcher_id", "stints", *figures)
 
 
 def league_batting_measured(games: DataFrame) -> DataFrame:

@@ -63,6 +63,7 @@ TABLES["raw_players"] = (
 )
 TABLES["raw_teams"] = (
     f"select {_columns(derived.TEAM_STEP)} from nation join region on n_regionkey = r_regionkey"
+    f" where {derived.TEAM_KEPT}"
 )
 TABLES["raw_status"] = (
     f"select {_columns(derived.STATUS_HOME)} from ids where {derived.ON_ROSTER}"

@@ -31,6 +31,7 @@ _BATTER_SEASON_DOUBLES = (
 _PITCHER_SEASON_DOUBLES = (
     "whiff_rate strike_pct avg_velocity max_velocity avg_spin_rate avg_extension"
 )
+_RAW_PITCH_DOUBLES = " ".join(raw for raw, _, kind in PITCH_COLUMNS if kind == "double")
 _PITCH_DOUBLES = " ".join(
     staged
     for _, staged, kind in PITCH_COLUMNS
@@ -117,15 +118,13 @@ TEXTS["weighted_mean_drop_nulls"] = _out(
 TEXTS["leaderboard_batters"] = _out(
     """select batter_id, batter_name, batter_team, plate_appearances, batted_balls,
         avg_exit_velocity, hard_hit_rate, barrel_rate, xwoba
-    from batter_season where batted_balls >= 50
-    order by xwoba desc nulls last, batter_id, batter_team limit 20""",
+    from batter_season where batted_balls >= 50""",
     "avg_exit_velocity hard_hit_rate barrel_rate xwoba",
 )
 TEXTS["leaderboard_pitchers"] = _out(
     """select pitcher_id, pitcher_name, pitching_team, total_pitches, whiff_rate, strike_pct,
         avg_velocity
-    from pitcher_season where total_pitches >= 250
-    order by whiff_rate desc nulls last, pitcher_id, pitching_team limit 20""",
+    from pitcher_season where total_pitches >= 250""",
     "whiff_rate strike_pct avg_velocity",
 )
 _best, _fair = labels.XWOBA_BOUNDS
@@ -160,14 +159,13 @@ TEXTS["season_combined_pitching"] = _out(
 # ingestion
 
 TEXTS["src_parquet_scan"] = _out(
-    """select game_pk, at_bat_number, pitch_number, game_date, batter, pitcher, release_speed,
-        pitch_type
-    from raw_pitches""",
-    "release_speed",
+    "select * from raw_pitches", _RAW_PITCH_DOUBLES
 )
 TEXTS["preview_table"] = _out(
-    """select game_pk, at_bat_number, pitch_number, batter, pitcher, pitch_type, events
-    from raw_pitches order by game_pk, at_bat_number, pitch_number limit 5"""
+    f"""select game_pk, at_bat_number, pitch_number, batter, pitcher, pitch_type, events
+    from raw_pitches where {DAY} between date '{ingestion.PREVIEWED_DATES[0]}'
+        and date '{ingestion.PREVIEWED_DATES[1]}'
+    order by game_pk, at_bat_number, pitch_number limit 5"""
 )
 _first, _last = (f"date '{day}'" for day in ingestion.SELECTED_DATES)
 TEXTS["date_range_select"] = _out(
@@ -188,7 +186,7 @@ TEXTS["date_chunks"] = _out(
     group by all"""
 )
 TEXTS["chunk_union"] = _out(
-    "select game_pk, at_bat_number, pitch_number, game_date, fielder_2 from raw_pitches"
+    "select * from raw_pitches", _RAW_PITCH_DOUBLES
 )
 _until = f"date '{ingestion.FIRST_BATCH_UNTIL}'"
 TEXTS["ingest_append_vs_refresh"] = _out(
@@ -214,20 +212,21 @@ TEXTS["ingest_row_audit"] = _out(
     )"""
 )
 TEXTS["ingest_incremental_files"] = TEXTS["mart_batter_game"]
-_REGISTRY = """
-    select printf('%.1f', cast(mlbam_id as double)) as key_mlbam, first_name as name_first,
-        last_name as name_last, printf('%.1f', mlb_debut_year) as pro_played_first
-    from raw_players
+_PERSON = """printf('%.1f', fangraphs_id) as key_fangraphs, bbref_id as key_bbref,
+    last_name as name_last, first_name as name_first, given_name as name_given,
+    printf('%.1f', mlb_debut_year) as pro_played_first,
+    printf('%.1f', mlb_last_year) as pro_played_last, printf('%.1f', birth_year) as birth_year"""
+_REGISTRY = f"""
+    select printf('%.1f', cast(mlbam_id as double)) as key_mlbam, {_PERSON} from raw_players
     union all
-    select null, first_name, last_name, printf('%.1f', mlb_debut_year) from raw_players
-    where mlbam_id % 3 = 0
+    select null, {_PERSON} from raw_players where mlbam_id % 3 = 0
     union all
-    select 'unknown', first_name, last_name, printf('%.1f', mlb_debut_year) from raw_players
-    where mlbam_id % 7 = 0"""
+    select 'unknown', {_PERSON} from raw_players where mlbam_id % 7 = 0"""
 TEXTS["registry_shard_scan"] = _out(_REGISTRY)
 TEXTS["registry_shape"] = _out(
-    f"""select key_mlbam as mlbam_id, name_first as first_name, name_last as last_name,
-        pro_played_first as mlb_debut_year
+    f"""select key_mlbam as mlbam_id, key_fangraphs as fangraphs_id, key_bbref as bbref_id,
+        name_last as last_name, name_first as first_name, name_given as given_name,
+        pro_played_first as mlb_debut_year, pro_played_last as mlb_last_year, birth_year
     from ({_REGISTRY}) where key_mlbam is not null"""
 )
 TEXTS["registry_id_coerce"] = _out(f"select {', '.join(PLAYER_LOOKUP.names)} from raw_players")
@@ -244,10 +243,27 @@ TEXTS["rosters_json_flatten"] = _out(
     " union all select 'fullRoster', * from raw_status"
 )
 TEXTS["mart_materialize"] = _out(
-    """select 'marts.mart_batter_game_stats' as table_name, count(*) as n_rows from batter_games
-    union all select 'marts.mart_pitcher_game_stats', count(*) from pitcher_games
-    union all select 'marts.dim_team', count(*) from raw_teams
-    union all select 'marts.dim_roster_status', count(*) from status_dim"""
+    """select 'marts.mart_batter_game_stats' as table_name, count(*) as n_rows,
+        cast(sum(batter_id * game_id + total_pitches) as bigint) as numbers,
+        cast(sum(length(batter_team) + length(batter_side)) as bigint) as letters
+    from batter_games
+    union all select 'marts.mart_pitcher_game_stats', count(*),
+        cast(sum(pitcher_id * game_id + total_pitches) as bigint),
+        cast(sum(length(pitching_team) + length(pitcher_name)) as bigint)
+    from pitcher_games
+    union all select 'marts.dim_team', count(*), cast(sum(team_id) as bigint),
+        cast(sum(length(team_abbrev) + length(team_name)) as bigint) from raw_teams
+    union all select 'marts.dim_roster_status', count(*), cast(sum(mlbam_id) as bigint),
+        cast(sum(length(player_full_name) + length(availability)) as bigint)
+    from status_dim"""
+)
+TEXTS["sql_over_layers"] = _out(
+    """select t.division_name, count(distinct b.batter_id) as batters,
+        cast(sum(b.home_runs) as bigint) as home_runs, cast(max(s.games) as bigint) as most_games
+    from batter_games b
+    join raw_teams t on t.team_abbrev = b.batter_team
+    join batter_season s on s.batter_id = b.batter_id and s.batter_team = b.batter_team
+    group by 1"""
 )
 
 # semantic layer
@@ -262,10 +278,10 @@ _BATTING_MEASURES = """count(*) as game_count,
     cast(sum(batted_balls) as bigint) as total_batted_balls,
     cast(sum(hard_hit_count) as bigint) as total_hard_hit,
     cast(sum(barrel_count) as bigint) as total_barrels,
-    round(round(avg(avg_exit_velocity_mph), 10), 1) as avg_exit_velocity,
-    round(round(avg(avg_xwoba), 10), 3) as avg_xwoba,
-    round(round(sum(hits) / nullif(sum(at_bats), 0), 10), 3) as batting_average,
-    round(round(sum(hard_hit_count) / nullif(sum(batted_balls), 0), 10), 3) as hard_hit_rate"""
+    round(avg(avg_exit_velocity_mph), 1) as avg_exit_velocity,
+    round(avg(avg_xwoba), 3) as avg_xwoba,
+    round(sum(hits) / nullif(sum(at_bats), 0), 3) as batting_average,
+    round(sum(hard_hit_count) / nullif(sum(batted_balls), 0), 3) as hard_hit_rate"""
 _PITCHING_MEASURES = """count(*) as game_count,
     cast(sum(total_pitches) as bigint) as total_pitches,
     cast(sum(batters_faced) as bigint) as total_batters_faced,
@@ -275,11 +291,11 @@ _PITCHING_MEASURES = """count(*) as game_count,
     cast(sum(home_runs_allowed) as bigint) as total_home_runs_allowed,
     cast(sum(hard_hit_allowed_count) as bigint) as total_hard_hit_allowed,
     cast(sum(batted_balls_allowed) as bigint) as total_batted_balls_allowed,
-    round(round(avg(avg_pitch_velocity_mph), 10), 1) as avg_pitch_velocity,
-    round(round(avg(avg_spin_rate_rpm), 10), 0) as avg_spin_rate,
-    round(round(sum(strikeouts) / nullif(sum(walks), 0), 10), 2) as k_per_bb,
-    round(round(sum(strikeouts) / nullif(sum(batters_faced), 0), 10), 3) as strikeout_rate,
-    round(round(sum(hard_hit_allowed_count) / nullif(sum(batted_balls_allowed), 0), 10), 3)
+    round(avg(avg_pitch_velocity_mph), 1) as avg_pitch_velocity,
+    round(avg(avg_spin_rate_rpm), 0) as avg_spin_rate,
+    round(sum(strikeouts) / nullif(sum(walks), 0), 2) as k_per_bb,
+    round(sum(strikeouts) / nullif(sum(batters_faced), 0), 3) as strikeout_rate,
+    round(sum(hard_hit_allowed_count) / nullif(sum(batted_balls_allowed), 0), 3)
         as hard_hit_allowed_rate"""
 _MONTH = "cast(date_trunc('month', game_date) as date) as game_month"
 TEXTS["sem_batting_by_month"] = _out(
@@ -290,23 +306,23 @@ TEXTS["sem_pitching_by_month"] = _out(
 )
 TEXTS["sem_batting_explore"] = _out(
     """select batter_id || '-' || game_id as pk, batter_id, game_date,
-        round(round(avg_exit_velocity_mph, 10), 1) as avg_exit_velocity_mph,
-        round(round(max_exit_velocity_mph, 10), 1) as max_exit_velocity_mph,
-        round(round(hard_hit_rate, 10), 3) as hard_hit_rate_row,
+        round(avg_exit_velocity_mph, 1) as avg_exit_velocity_mph,
+        round(max_exit_velocity_mph, 1) as max_exit_velocity_mph,
+        round(hard_hit_rate, 3) as hard_hit_rate_row,
         name_first as first_name, name_last as last_name, display_name as full_name
     from batter_games left join named on mlbam_id = batter_id"""
 )
 TEXTS["sem_pitching_explore"] = _out(
     """select pitcher_id || '-' || game_id as pk, pitcher_id, game_date,
-        round(round(avg_pitch_velocity_mph, 10), 1) as avg_pitch_velocity_mph,
-        round(round(hard_hit_allowed_rate, 10), 3) as hard_hit_allowed_rate_row,
+        round(avg_pitch_velocity_mph, 1) as avg_pitch_velocity_mph,
+        round(hard_hit_allowed_rate, 3) as hard_hit_allowed_rate_row,
         name_first as first_name, name_last as last_name, display_name as full_name
     from pitcher_games left join named on mlbam_id = pitcher_id"""
 )
 TEXTS["sem_batting_by_player"] = _out(
     """select display_name as full_name, count(*) as game_count,
         cast(sum(hits) as bigint) as total_hits, cast(sum(at_bats) as bigint) as total_at_bats,
-        round(round(sum(hits) / nullif(sum(at_bats), 0), 10), 3) as batting_average
+        round(sum(hits) / nullif(sum(at_bats), 0), 3) as batting_average
     from batter_games left join named on mlbam_id = batter_id group by 1"""
 )
 TEXTS["sem_fact_pk"] = _out(
@@ -349,8 +365,9 @@ TEXTS["sem_metric_tier"] = _out(
 )
 TEXTS["sem_fanout_safe"] = _out(
     """select batter_id, display_name as full_name, count(*) as game_count,
-        cast(sum(hits) as bigint) as total_hits, round(round(avg(avg_xwoba), 10), 3) as avg_xwoba
-    from batter_games left join named on mlbam_id = batter_id group by 1, 2"""
+        cast(sum(hits) as bigint) as total_hits, avg(avg_xwoba) as avg_xwoba
+    from batter_games left join named on mlbam_id = batter_id group by 1, 2""",
+    "avg_xwoba",
 )
 
 # profiles

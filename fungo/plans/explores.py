@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fungo.functions import labels
 from fungo.functions.dates import TIME_GRAINS, time_grain
 from fungo.functions.numeric import to_whole
-from fungo.operators.measures import Explore, Measure, mean_of_games, ratio, total
+from fungo.operators.measures import Explore, Measure, mean_of_games, ratio, rows_counted, total
 
 PLAYER_NAMES = ("first_name", "last_name", "full_name", "given_name")
 
@@ -59,7 +59,7 @@ def batting(games: DataFrame, players: DataFrame) -> Explore:
             "hard_hit_rate_row": Measure(F.col("hard_hit_rate"), 3),
         },
         measures={
-            "game_count": Measure(F.count(F.lit(1))),
+            "game_count": rows_counted(),
             "total_plate_appearances": total("plate_appearances"),
             "total_at_bats": total("at_bats"),
             "total_hits": total("hits"),
@@ -92,7 +92,7 @@ def pitching(games: DataFrame, players: DataFrame) -> Explore:
             "hard_hit_allowed_rate_row": Measure(F.col("hard_hit_allowed_rate"), 3),
         },
         measures={
-            "game_count": Measure(F.count(F.lit(1))),
+            "game_count": rows_counted(),
             "total_pitches": total("total_pitches"),
             "total_batters_faced": total("batters_faced"),
             "total_strikeouts": total("strikeouts"),

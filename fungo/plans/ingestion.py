@@ -15,6 +15,7 @@ from fungo.sources import feeds, landing, raw_zone
 from fungo.streaming.incremental import ingest_new_files
 
 SELECTED_DATES = (date(2026, 4, 15), date(2026, 6, 10))
+PREVIEWED_DATES = (date(2026, 4, 1), date(2026, 4, 30))
 FIRST_BATCH_UNTIL = date(2026, 6, 30)
 LATE_AT_BATS = 20
 
@@ -35,8 +36,7 @@ def chunk_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     early, late = _batches(spark, sf_dir)
     fielders = [name for name in PITCHES.names if name.startswith("fielder_")]
     none = early.where(F.col("game_date") < 0)
-    stacked = landing.union_chunks([early, none, late.drop(*fielders)])
-    return stacked.select("game_pk", "at_bat_number", "pitch_number", "game_date", "fielder_2")
+    return landing.union_chunks([early, none, late.drop(*fielders)])
 
 
 def ingest_append_vs_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,12 +118,16 @@ def _registry_shards(spark: SparkSession, sf_dir: str) -> list[str]:
     """The registry written as sixteen CSV shards by the last hex digit of the id.
 
     Every third person also appears without an id, and every seventh with one that is no
-    number; both must be dropped on the way in. Ids are written as floats, as delivered.
+    number; both must be dropped on the way in. Ids are written as floats, and the shards carry
+    further columns between those that are read, as delivered.
     """
     players = raw_zone.RawZone(spark, sf_dir)["player_lookup"]
     known = players.select(
         F.lower(F.hex(F.col("mlbam_id") % 16)).alias("shard"),
+        F.col("bbref_id").alias("key_person"),
+        F.col("birth_year").cast("string").alias("birth_year"),
         F.col("mlbam_id").cast("double").cast("string").alias("key_mlbam"),
+        F.lit("x").alias("key_uuid"),
         F.col("fangraphs_id").cast("string").alias("key_fangraphs"),
         F.col("bbref_id").alias("key_bbref"),
         F.col("last_name").alias("name_last"),
@@ -131,7 +135,7 @@ def _registry_shards(spark: SparkSession, sf_dir: str) -> list[str]:
         F.col("given_name").alias("name_given"),
         F.col("mlb_debut_year").cast("string").alias("pro_played_first"),
         F.col("mlb_last_year").cast("string").alias("pro_played_last"),
-        F.col("birth_year").cast("string").alias("birth_year"),
+        F.lit(1).alias("birth_month"),
     )
     bare_id = F.col("key_mlbam").cast("double").cast("bigint")
     without_id = known.where(bare_id % 3 == 0).withColumn("key_mlbam", F.lit(None).cast("string"))
@@ -148,13 +152,11 @@ def _registry_shards(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def registry_shard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    registry = feeds.read_registry(spark, _registry_shards(spark, sf_dir))
-    return registry.select("key_mlbam", "name_first", "name_last", "pro_played_first")
+    return feeds.read_registry(spark, _registry_shards(spark, sf_dir))
 
 
 def registry_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shaped = feeds.shape_registry(feeds.read_registry(spark, _registry_shards(spark, sf_dir)))
-    return shaped.select("mlbam_id", "first_name", "last_name", "mlb_debut_year")
+    return feeds.shape_registry(feeds.read_registry(spark, _registry_shards(spark, sf_dir)))
 
 
 def registry_id_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +165,7 @@ def registry_id_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def teams_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clubs written as nested documents and flattened; half lack the whole division object."""
+    """Clubs of a league in one nested document, flattened; half lack the whole division object."""
     teams = raw_zone.RawZone(spark, sf_dir)["mlb_teams"]
     division = F.struct(F.col("division_id").alias("id"), F.col("division_name").alias("name"))
     club = F.struct(
@@ -176,12 +178,13 @@ def teams_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("team_id") % 2 == 0, division).alias("division"),
     )
     path = fresh_folder(spark, "teams-feed")
-    teams.select(F.array(club).alias("teams")).write.json(path)
+    documents = teams.groupBy("league_name").agg(F.collect_list(club).alias("teams"))
+    documents.select("teams").write.json(path)
     return feeds.flatten_teams(feeds.read_teams_feed(spark, path, lines=True))
 
 
 def rosters_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both roster types written per club as nested documents and flattened again.
+    """Both roster types, a nested document for each club, flattened again.
 
     Every club also has an empty document, which gives no row, and one spot without a person.
     """
@@ -212,7 +215,8 @@ def rosters_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
                 for field in spots.schema
             )
         )
-        documents = spots.unionAll(nameless).select("team_id", F.array(spot).alias("roster"))
+        listed = spots.unionAll(nameless).select("team_id", spot.alias("spot"))
+        documents = listed.groupBy("team_id").agg(F.collect_list("spot").alias("roster"))
         empty = clubs.select(
             "team_id", F.array().cast(documents.schema["roster"].dataType).alias("roster")
         )

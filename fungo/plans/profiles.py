@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,15 +44,31 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def preview(table: DataFrame, n: int, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """``n`` rows, whichever come first."""
+    return table.select(*columns).limit(n)
+
+
+def _distinct(df: DataFrame, column: str) -> Column:
+    """How many values a column has, as a scalar: one count apart from the others copies no rows."""
+    return df.select(column).distinct().agg(F.count(column)).scalar()
+
+
 def raw_summary(raw_pitches: DataFrame) -> DataFrame:
-    day = ns_to_date(F.col("game_date"))
-    return raw_pitches.select(day.alias("day"), "pitcher", "batter").agg(
-        _rows().alias("total_rows"),
+    """One scan of the pitches; the counts come from its written match-ups by day."""
+    day = ns_to_date(F.col("game_date")).alias("day")
+    matchups = materialize(
+        raw_pitches.groupBy(day, "pitcher", "batter").agg(_rows().alias("n")), "match-ups"
+    )
+    return matchups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.count_distinct("day").alias("distinct_game_dates"),
         F.min("day").alias("min_game_date"),
         F.max("day").alias("max_game_date"),
-        F.count_distinct("pitcher").alias("distinct_pitchers"),
-        F.count_distinct("batter").alias("distinct_batters"),
+    ).select(
+        "*",
+        _distinct(matchups, "pitcher").alias("distinct_pitchers"),
+        _distinct(matchups, "batter").alias("distinct_batters"),
     )
 
 
@@ -99,23 +117,21 @@ def batter_overview(games: DataFrame) -> DataFrame:
     return games.agg(
         _rows().alias("total_rows"),
         F.count_distinct("batter_id").alias("distinct_batters"),
-        F.count_distinct("game_id").alias("distinct_games"),
         F.avg("hard_hit_rate").alias("avg_hard_hit_rate"),
         F.avg("barrel_rate").alias("avg_barrel_rate"),
         F.avg("avg_xwoba").alias("avg_avg_xwoba"),
         F.avg("avg_bat_speed").alias("avg_avg_bat_speed"),
-    )
+    ).select("*", _distinct(games, "game_id").alias("distinct_games"))
 
 
 def pitcher_overview(games: DataFrame) -> DataFrame:
     return games.agg(
         _rows().alias("total_rows"),
         F.count_distinct("pitcher_id").alias("distinct_pitchers"),
-        F.count_distinct("game_id").alias("distinct_games"),
         F.avg("whiff_rate").alias("avg_whiff_rate"),
         F.avg("strike_pct").alias("avg_strike_pct"),
         F.avg("avg_pitch_velocity_mph").alias("avg_avg_pitch_velocity_mph"),
-    )
+    ).select("*", _distinct(games, "game_id").alias("distinct_games"))
 
 
 def top_batters(games: DataFrame, min_batted_balls: int = 5, top: int = 20) -> DataFrame:

@@ -1,7 +1,8 @@
 """Every query by name: ``(spark, sf_dir) -> DataFrame``.
 
-A query is one lazy plan from the raw pitches on, so that only the columns it needs are read
-and aggregated. Only where whole fact rows are needed twice is the fact written and read back.
+The raw tables and the two facts are written once per application and folder, on the first request;
+every report, profile, explore and rule reads those. Only the queries of the facts themselves build them
+from the pitches.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from fungo.operators import rollups, staging
 from fungo.operators.checks import stack
 from fungo.operators.profile import coverage
 from fungo.plans import explores, ingestion, profiles, quality, reports
-from fungo.plans.warehouse import MARTS, Warehouse, register
+from fungo.plans.stored import StoredFacts
+from fungo.plans.warehouse import FACTS, MARTS, Warehouse, register
 from fungo.session import fresh_folder
 from fungo.sources import landing, raw_zone
 
@@ -27,8 +29,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-BATTER_MART, PITCHER_MART = "mart_batter_game_stats", "mart_pitcher_game_stats"
-
 
 def query(build: Query) -> Query:
     """Register ``build`` under its own name; doubles are rounded to six places."""
@@ -40,17 +40,19 @@ def query(build: Query) -> Query:
     return build
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def _from_pitches(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(raw_zone.RawZone(spark, sf_dir))
 
 
-def _with_stored(spark: SparkSession, sf_dir: str, name: str) -> Warehouse:
-    return _warehouse(spark, sf_dir).with_stored_marts(name)
+def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return _from_pitches(spark, sf_dir).with_stored(StoredFacts(spark, sf_dir))
 
 
 def _table(name: str) -> None:
+    source = _from_pitches if name in FACTS else _warehouse
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _warehouse(spark, sf_dir).table(name)
+        return source(spark, sf_dir).table(name)
 
     run.__name__ = _QUERY_NAMES.get(name, name)
     query(run)
@@ -83,17 +85,18 @@ for _name in (
 
 @query
 def src_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_zone.landed_pitches(spark, sf_dir).select(
-        "game_pk", "at_bat_number", "pitch_number", "game_date", "batter", "pitcher",
-        "release_speed", "pitch_type",
-    )
+    return raw_zone.RawZone(spark, sf_dir)["statcast_pitches"]
 
 
 @query
 def preview_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preview takes any rows; ordered within one month so that it can be compared."""
     key = ("game_pk", "at_bat_number", "pitch_number")
-    rows = raw_zone.landed_pitches(spark, sf_dir)
-    return rows.orderBy(*key).select(*key, "batter", "pitcher", "pitch_type", "events").limit(5)
+    month = landing.in_date_range(
+        raw_zone.landed_pitches(spark, sf_dir), *ingestion.PREVIEWED_DATES
+    )
+    columns = (*key, "batter", "pitcher", "pitch_type", "events")
+    return profiles.preview(month.orderBy(*key), 5, columns)
 
 
 @query
@@ -131,9 +134,41 @@ for _build in (
 @query
 def mart_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = register(spark, _warehouse(spark, sf_dir), fresh_folder(spark, "layers"))
-    rows = {"n_rows": F.count(F.lit(1))}
-    return stack(
-        [coverage(built.table(name), "table_name", f"marts.{name}", rows) for name in MARTS]
+    checked = {
+        "mart_batter_game_stats": ("batter_id * game_id + total_pitches", "batter_team", "batter_side"),
+        "mart_pitcher_game_stats": (
+            "pitcher_id * game_id + total_pitches", "pitching_team", "pitcher_name",
+        ),
+        "dim_team": ("team_id", "team_abbrev", "team_name"),
+        "dim_roster_status": ("mlbam_id", "player_full_name", "availability"),
+    }
+
+    def content(name: str) -> DataFrame:
+        numbers, *texts = checked[name]
+        letters = F.length(texts[0]) + F.length(texts[1])
+        measures = {
+            "n_rows": F.count(F.lit(1)),
+            "numbers": F.sum(F.expr(numbers)),
+            "letters": F.sum(letters.cast("bigint")),
+        }
+        return coverage(built.table(name), "table_name", f"marts.{name}", measures)
+
+    return stack([content(name) for name in MARTS])
+
+
+@query
+def sql_over_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the stored layers, each by its database name, in a session that did not build them."""
+    folder = fresh_folder(spark, "layers")
+    register(spark, _warehouse(spark, sf_dir), folder, saved=("staging", "reporting"))
+    return spark.newSession().sql(
+        """select t.division_name, count(distinct b.batter_id) as batters,
+            sum(b.home_runs) as home_runs, max(s.games) as most_games
+        from marts.mart_batter_game_stats b
+        join staging.stg_mlb_teams t on t.team_abbrev = b.batter_team
+        join reporting.rpt_batter_season s
+            on s.batter_id = b.batter_id and s.batter_team = b.batter_team
+        group by t.division_name"""
     )
 
 
@@ -297,7 +332,8 @@ def sem_fanout_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, sf_dir)
     doubled = warehouse.player_lookup.unionAll(warehouse.player_lookup)
     explore = explores.batting(warehouse.mart_batter_game_stats, doubled)
-    return explore.summarize(["batter_id", "full_name"], ["game_count", "total_hits", "avg_xwoba"])
+    measures = ["game_count", "total_hits", "avg_xwoba"]
+    return explore.summarize(["batter_id", "full_name"], measures, rounded=False)
 
 
 # profiles
@@ -468,12 +504,12 @@ def dq_composite_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_batter_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.batter_recoverable(_with_stored(spark, sf_dir, BATTER_MART))
+    return quality.batter_recoverable(_warehouse(spark, sf_dir))
 
 
 @query
 def dq_pitcher_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.pitcher_recoverable(_with_stored(spark, sf_dir, PITCHER_MART))
+    return quality.pitcher_recoverable(_warehouse(spark, sf_dir))
 
 
 @query

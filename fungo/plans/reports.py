@@ -90,30 +90,34 @@ def pitch_mix(games: DataFrame, teams: DataFrame, status: DataFrame) -> DataFram
     )
 
 
-def qualified_hitters(season: DataFrame, min_batted_balls: int = 50, top: int = 20) -> DataFrame:
-    """Stints with enough batted balls, best expected average first."""
-    return (
+def qualified_hitters(
+    season: DataFrame, min_batted_balls: int = 50, top: int | None = None
+) -> DataFrame:
+    """Stints with enough batted balls, best expected average first; all of them unless ``top``."""
+    ranked = (
         season.where(F.col("batted_balls") >= min_batted_balls)
         .orderBy(F.desc_nulls_last("xwoba"), "batter_id", "batter_team")
         .select(
             "batter_id", "batter_name", "batter_team", "plate_appearances", "batted_balls",
             "avg_exit_velocity", "hard_hit_rate", "barrel_rate", "xwoba",
         )
-        .limit(top)
     )
+    return ranked if top is None else ranked.limit(top)
 
 
-def whiff_leaders(season: DataFrame, min_pitches: int = 250, top: int = 20) -> DataFrame:
-    """Stints with enough pitches, highest whiff rate first."""
-    return (
+def whiff_leaders(
+    season: DataFrame, min_pitches: int = 250, top: int | None = None
+) -> DataFrame:
+    """Stints with enough pitches, highest whiff rate first; all of them unless ``top``."""
+    ranked = (
         season.where(F.col("total_pitches") >= min_pitches)
         .orderBy(F.desc_nulls_last("whiff_rate"), "pitcher_id", "pitching_team")
         .select(
             "pitcher_id", "pitcher_name", "pitching_team", "total_pitches",
             "whiff_rate", "strike_pct", "avg_velocity",
         )
-        .limit(top)
     )
+    return ranked if top is None else ranked.limit(top)
 
 
 def contact_quality(season: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import ChainMap
+from collections.abc import Collection, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fungo.config import Config
 from fungo.operators import attach, game_facts, rollups, staging
@@ -40,7 +42,7 @@ class Warehouse:
         if missing:
             raise KeyError(f"raw tables missing: {sorted(missing)}")
         self._raw = raw
-        self._stored = dict(stored or {})
+        self._stored = {} if stored is None else stored
 
     def raw(self, name: str) -> DataFrame:
         """A raw table, checked against its declared columns and types."""
@@ -59,7 +61,7 @@ class Warehouse:
 
     def with_stored(self, written: Mapping[str, DataFrame]) -> Warehouse:
         """A warehouse that reads the given marts instead of building them."""
-        return Warehouse(self._raw, {**self._stored, **written})
+        return Warehouse(self._raw, ChainMap(written, self._stored))
 
     @cached_property
     def player_lookup(self) -> DataFrame:
@@ -150,7 +152,10 @@ def _save(df: DataFrame, database: str, name: str, location: str) -> DataFrame:
     table = f"{database}.{name}"
     writer = df.write.mode("overwrite").option("path", f"{location}/{database}/{name}")
     if name in FACTS:
-        writer = writer.partitionBy("game_year")
+        day = F.col("game_date")
+        parted = df.withColumns({"year": F.year(day), "month": F.month(day)})
+        writer = parted.hint("rebalance", "year", "month").write.mode("overwrite")
+        writer = writer.option("path", f"{location}/{database}/{name}").partitionBy("year", "month")
     writer.saveAsTable(table)
     return df.sparkSession.table(table).selectExpr(*df.columns)
 
@@ -160,20 +165,23 @@ def register(
     warehouse: Warehouse,
     location: str,
     config: Config = Config(),
-    save_reports: bool = False,
+    saved: Collection[str] = (),
 ) -> Warehouse:
     """Store the marts as tables and expose every layer to ``spark.sql``.
 
     Raw, staging and reporting tables become temporary views: ``raw_<source>`` and their own
     names. The marts become tables ``marts.<name>`` below ``location``, the facts partitioned
-    by game year. A temporary view can not be qualified by a database, so ``save_reports``
-    also stores the reports as tables ``reporting.<name>``. The returned warehouse reads the
-    stored marts.
+    by year and month of the game. A temporary view ends with its session and can not be qualified
+    by a database; the layers in ``saved`` (``staging``, ``reporting``) are also stored as tables
+    ``<layer>.<name>``. The returned warehouse reads the stored marts.
     """
     for name in config.source_names:
         warehouse.raw(name).createOrReplaceTempView(f"{config.raw_database}_{name}")
-    databases = [config.marts_database] + [config.reporting_database] * save_reports
-    for database in databases:
+    layers = {"staging": (config.staging_database, STAGING), "reporting": (config.reporting_database, REPORTING)}
+    unknown = set(saved) - set(layers)
+    if unknown:
+        raise KeyError(f"no such layers: {sorted(unknown)}")
+    for database in (config.marts_database, *(layers[layer][0] for layer in saved)):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}/{database}'")
     built = warehouse.with_stored(
         {
@@ -183,7 +191,8 @@ def register(
     )
     for name in (*STAGING, *REPORTING):
         built.table(name).createOrReplaceTempView(name)
-    if save_reports:
-        for name in REPORTING:
-            _save(built.table(name), config.reporting_database, name, location)
+    for layer in saved:
+        database, names = layers[layer]
+        for name in names:
+            _save(built.table(name), database, name, location)
     return built

@@ -259,8 +259,11 @@ class SchemaDrift(ValueError):
     """A delivered table does not have the declared columns."""
 
 
-def conform(df: DataFrame, declared: StructType) -> DataFrame:
-    """Project ``df`` to the declared columns, failing when one is missing or of another type."""
+def conform(df: DataFrame, declared: StructType, keep_others: bool = False) -> DataFrame:
+    """Project ``df`` to the declared columns, failing when one is missing or of another type.
+
+    With ``keep_others`` the columns that are not declared follow the declared ones.
+    """
     found = {field.name: field.dataType for field in df.schema}
     wrong = [
         f"{field.name}: declared {field.dataType.simpleString()}, found "
@@ -270,4 +273,6 @@ def conform(df: DataFrame, declared: StructType) -> DataFrame:
     ]
     if wrong:
         raise SchemaDrift("; ".join(wrong))
-    return df if df.columns == declared.names else df.selectExpr(*declared.names)
+    others = [name for name in df.columns if name not in declared.names]
+    chosen = [*declared.names, *(others if keep_others else ())]
+    return df if df.columns == chosen else df.select(*(f"`{name}`" for name in chosen))

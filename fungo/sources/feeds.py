@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fungo.functions.numeric import to_number
-from fungo.schemas import PLAYER_LOOKUP, REGISTRY_SHARD, ROSTER_FEED, ROSTERS, TEAMS, TEAMS_FEED
+from fungo.schemas import (
+    PLAYER_LOOKUP,
+    REGISTRY_SHARD,
+    ROSTER_FEED,
+    ROSTERS,
+    TEAMS,
+    TEAMS_FEED,
+    SchemaDrift,
+)
 
 # Registry columns and the names they are stored under.
 REGISTRY_NAMES = {
@@ -56,13 +65,21 @@ def registry_paths(folder: str) -> list[str]:
 
 
 def read_registry(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All registry shards in one scan. Columns are matched by the declared order."""
-    return (
-        spark.read.schema(REGISTRY_SHARD)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(list(paths))
-    )
+    """The registered columns of all shards, as text.
+
+    Shards carry more columns than are kept. Each is read by its own header, so columns are found by
+    name in any order; a shard without one of them fails.
+    """
+    shards = [_registry_shard(spark, path) for path in paths]
+    return reduce(DataFrame.unionAll, shards)
+
+
+def _registry_shard(spark: SparkSession, path: str) -> DataFrame:
+    shard = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    missing = [name for name in REGISTRY_SHARD.names if name not in shard.columns]
+    if missing:
+        raise SchemaDrift(f"{path} lacks {', '.join(missing)}")
+    return shard.select(*REGISTRY_SHARD.names)
 
 
 def shape_registry(registry: DataFrame) -> DataFrame:

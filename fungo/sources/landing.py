@@ -27,21 +27,20 @@ class LoadAudit:
     rows_loaded: int
 
 
-def stored_rows(
-    spark: SparkSession, path: str, schema: StructType, within: Column | None = None
-) -> int:
-    """Rows at ``path``; zero when nothing was written there yet.
-
-    Without a column to read, the count comes from the parquet footers. ``within`` is a test
-    on partition columns and limits it to their folders.
-    """
+def stored_files(spark: SparkSession, path: str, schema: StructType) -> set[str]:
+    """Files at ``path``, as the listing of any scan finds them; none before the first write."""
     try:
-        stored = spark.read.schema(schema).parquet(path)
+        return set(spark.read.schema(schema).parquet(path).inputFiles())
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return set()
         raise
-    return (stored if within is None else stored.where(within)).count()
+
+
+def rows_added(spark: SparkSession, path: str, schema: StructType, before: set[str]) -> int:
+    """Rows in the files that were not there ``before``, counted from their footers."""
+    added = sorted(stored_files(spark, path, schema) - before)
+    return spark.read.schema(schema).parquet(*added).count() if added else 0
 
 
 def month_number() -> Column:
@@ -49,11 +48,18 @@ def month_number() -> Column:
     return F.col("year") * 12 + F.col("month")
 
 
-def months_of(landed: DataFrame) -> list[int]:
-    """Distinct calendar months, a dozen a season."""
+def months_of(landed: DataFrame) -> list[int | None]:
+    """Distinct calendar months, a dozen a season; None for rows without a date."""
     return [row.n for row in landed.select(month_number().alias("n")).distinct().collect()]
 
 
+def in_months(months: list[int | None]) -> Column:
+    """Whether a landed row lies in one of ``months``, rows without a date included."""
+    dated = month_number().isin([month for month in months if month is not None])
+    undated = month_number().isNull() if None in months else F.lit(False)
+    return F.coalesce(dated, F.lit(False)) | undated
+
+
 def with_partition_columns(raw_pitches: DataFrame) -> DataFrame:
     """Add the year and month of each row's own date."""
     day = ns_to_date(F.col("game_date"))
@@ -76,22 +82,19 @@ def write_months(raw_pitches: DataFrame, path: str, mode: str = "append") -> Non
 
 
 def land_pitches(raw_pitches: DataFrame, path: str, mode: str = "append") -> LoadAudit:
-    """Check the columns, write the months and report the rows.
+    """Check the declared columns, write the months with every delivered column, report the rows.
 
-    An empty extract stops the load: nothing is written, also under full refresh. The audit of
-    an append reads only the months it touched, however large the table has grown.
+    An empty extract stops the load: nothing is written, also under full refresh. The extract runs
+    once, in the write; the audit counts the files that the load added, whatever dates they hold.
     """
     spark = raw_pitches.sparkSession
-    extract = conform(raw_pitches, PITCHES)
-    months = months_of(with_partition_columns(extract))
-    if not months:
+    extract = conform(raw_pitches, PITCHES, keep_others=True)
+    if extract.isEmpty():
         return LoadAudit(path, mode, 0, 0)
-    touched = month_number().isin(months)
-    before = stored_rows(spark, path, LANDED_PITCHES, touched) if mode == "append" else 0
+    before = stored_files(spark, path, LANDED_PITCHES)
     seen = Observation()
     write_months(extract.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
-    loaded = stored_rows(spark, path, LANDED_PITCHES, touched) - before
-    return LoadAudit(path, mode, seen.get["rows"], loaded)
+    return LoadAudit(path, mode, seen.get["rows"], rows_added(spark, path, LANDED_PITCHES, before))
 
 
 def land_table(df: DataFrame, path: str, mode: str = "full-refresh") -> LoadAudit:
@@ -99,19 +102,23 @@ def land_table(df: DataFrame, path: str, mode: str = "full-refresh") -> LoadAudi
     spark = df.sparkSession
     if df.isEmpty():
         return LoadAudit(path, mode, 0, 0)
-    before = stored_rows(spark, path, df.schema) if mode == "append" else 0
+    before = stored_files(spark, path, df.schema)
     seen = Observation()
     (
         df.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode(LOAD_MODES[mode])
         .parquet(path)
     )
-    loaded = stored_rows(spark, path, df.schema) - before
-    return LoadAudit(path, mode, seen.get["rows"], loaded)
+    return LoadAudit(path, mode, seen.get["rows"], rows_added(spark, path, df.schema, before))
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of the landed pitches with the declared schema and its partition columns."""
+def read_landed(spark: SparkSession, path: str, every_column: bool = False) -> DataFrame:
+    """Scan of the landed pitches with the declared schema and its partition columns.
+
+    ``every_column`` adds what loads delivered beyond it, null where a load did not have it.
+    """
+    if every_column:
+        return spark.read.option("mergeSchema", True).parquet(path)
     return spark.read.schema(LANDED_PITCHES).parquet(path)
 
 

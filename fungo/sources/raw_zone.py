@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,17 +39,27 @@ def landed_pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class RawZone(Mapping):
-    """The landed raw tables by source name, each opened when it is asked for."""
+    """The landed raw tables by source name, each opened when it is asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    ``dates`` bounds the pitches, first and last day included. The bound prunes month folders, so
+    every table, fact and report built on a bounded zone reads those folders only.
+    """
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, dates: tuple[date, date] | None = None
+    ) -> None:
         self._spark = spark
         self._sf_dir = sf_dir
+        self._dates = dates
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RAW_SCHEMAS:
             raise KeyError(name)
         if name == "statcast_pitches":
-            return landed_pitches(self._spark, self._sf_dir).drop("year", "month")
+            pitches = landed_pitches(self._spark, self._sf_dir)
+            if self._dates is not None:
+                pitches = landing.in_date_range(pitches, *self._dates)
+            return pitches.drop("year", "month")
         path = f"{zone_of(self._spark, self._sf_dir)}/{name}"
         return landing.read_reference(self._spark, path, name)
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fungo.functions.dates import ns_to_date
 from fungo.operators.staging import stage_pitches
 from fungo.schemas import LANDED_PITCHES
-from fungo.sources.landing import month_number, months_of, read_landed
+from fungo.sources.landing import in_months, months_of, read_landed
+
 
 def refresh_touched_dates(
     batch: DataFrame, landing: str, mart: str, build: Callable[[DataFrame], DataFrame]
@@ -16,19 +19,21 @@ def refresh_touched_dates(
     """Recompute the mart for every game date found in ``batch``.
 
     A late pitch reopens its game, so whole dates are read again from the landing zone and
-    replace their partitions. Running the same batch twice gives the same mart. Only the
-    touched calendar months, a dozen a season, come to the driver, to prune the folders that
-    are read; the dates stay in a semi-join.
+    replace their partitions: dates, not the times of day that pitches carry, and the missing
+    date is one of them. Running the same batch twice gives the same mart. Only the touched
+    calendar months, a dozen a season, come to the driver, to prune the folders that are read; the
+    dates stay in a semi-join.
     """
     spark = batch.sparkSession
     months = months_of(batch)
     if not months:
         return
-    touched = batch.select("game_date").distinct()
+    day = ns_to_date(F.col("game_date"))
+    touched = batch.select(day.alias("touched")).distinct()
     reopened = (
         read_landed(spark, landing)
-        .where(month_number().isin(months))
-        .join(touched, "game_date", "left_semi")
+        .where(in_months(months))
+        .join(touched, day.eqNullSafe(F.col("touched")), "left_semi")
     )
     rebuilt = build(stage_pitches(reopened.drop("year", "month")))
     (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
 import pytest
 
@@ -27,13 +28,62 @@ def test_no_cross_join_and_no_python(spark, sf_dir, name):
         assert word not in text
 
 
-def test_mart_scan_is_pruned_and_filtered(spark, sf_dir):
-    text = plan(QUERIES["rpt_league_batting"](spark, sf_dir))
-    assert "IsNotNull(pitch_type)" in text
+def pitch_scans(text: str) -> int:
+    return len(re.findall(r"Location: .*/statcast_pitches", text))
+
+
+@pytest.mark.parametrize("name", ["mart_batter_game", "mart_pitcher_game"])
+def test_facts_are_hashed_until_a_game_is_a_few_rows(spark, sf_dir, name):
+    frame = QUERIES[name](spark, sf_dir)
+    text = plan(frame)
+    assert "IsNotNull(pitch_type)" in text and pitch_scans(text) == 1
     columns = re.findall(r"ReadSchema: struct<(.*?)>", text)[0]
-    assert "launch_speed" in columns
-    assert "fielder_2" not in columns and "release_speed" not in columns
-    assert "Expand" not in text
+    assert "fielder_2" not in columns and "Expand" not in text
+    tree = text.split("\n\n")[0]
+    below_first_exchange = tree[tree.rindex("Exchange") :]
+    assert "Sort" not in below_first_exchange
+    if name == "mart_batter_game":
+        assert "SortAggregate" not in text
+
+
+@pytest.mark.parametrize(
+    "name, scans",
+    [
+        ("rpt_league_batting", 0), ("rpt_league_pitching", 0), ("rpt_batter_season", 0),
+        ("rpt_pitcher_season", 0), ("rpt_pitcher_pitch_mix", 0), ("dq_relationships", 0),
+        ("dq_composite_grain", 0), ("dq_not_null", 1), ("dq_accepted_values", 1),
+        ("dq_batter_recoverable", 0), ("profile_status_attach", 0), ("profile_team_coverage", 0),
+        ("profile_team_distribution", 0), ("sem_batting_by_player", 0), ("all_player_ids", 0),
+    ],
+)
+def test_only_staging_rules_read_pitches(spark, sf_dir, name, scans):
+    assert pitch_scans(plan(QUERIES[name](spark, sf_dir))) == scans
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["profile_raw_summary", "profile_batter_mart", "profile_pitcher_mart", "season_combined_pitching"],
+)
+def test_distinct_counts_copy_no_rows(spark, sf_dir, name):
+    assert "Expand" not in plan(QUERIES[name](spark, sf_dir))
+
+
+def test_league_report_reads_its_columns_only(spark, sf_dir):
+    text = plan(QUERIES["rpt_league_batting"](spark, sf_dir))
+    assert len(re.findall(r"ReadSchema: struct<(.*?)>", text)[0].split(",")) == 5
+
+
+def test_lookup_is_joined_after_the_fact_is_reduced(spark, sf_dir):
+    tree = plan(QUERIES["sem_batting_by_player"](spark, sf_dir)).split("\n\n")[0]
+    join = tree.index("Join")
+    assert tree[join:].count("Aggregate") >= 4 and "Aggregate" in tree[:join]
+
+
+def test_bounded_zone_prunes_every_table(spark, sf_dir):
+    dates = (date(2026, 5, 1), date(2026, 5, 31))
+    text = plan(Warehouse(RawZone(spark, sf_dir, dates)).rpt_batter_season)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]\n", text)
+    assert any("year" in found and "month" in found for found in filters)
 
 
 def test_date_range_prunes_folders(spark, sf_dir):
@@ -60,10 +110,3 @@ def test_top_k_does_not_sort_everything(spark, sf_dir):
 def test_count_by_date_reads_two_columns(spark, sf_dir):
     text = plan(QUERIES["profile_pitches_by_date"](spark, sf_dir))
     assert "ReadSchema: struct<game_date:bigint,pitch_type:string>" in text
-
-
-def test_season_line_reads_seventeen_pitch_columns(spark, sf_dir):
-    text = plan(QUERIES["rpt_batter_season"](spark, sf_dir))
-    scans = [len(columns.split(",")) for columns in re.findall(r"ReadSchema: struct<(.*?)>", text)]
-    assert max(scans) == 17
-    assert "SortAggregate" not in text

@@ -164,8 +164,8 @@ def test_one_club_and_one_status_per_player(spark):
 
 def test_layers_answer_sql(spark):
     warehouse = Warehouse(small.raw_tables(spark))
-    config = Config(marts_database="marts_test", reporting_database="reporting_test")
-    register(spark, warehouse, fresh_folder(spark, "layers"), config, save_reports=True)
+    config = Config(marts_database="marts_test", reporting_database="reporting_test", staging_database="staging_test")
+    register(spark, warehouse, fresh_folder(spark, "layers"), config, saved=("staging", "reporting"))
     assert spark.sql("select count(*) n from reporting_test.rpt_pitcher_pitch_mix").first().n == 9
     assert spark.sql("select count(*) n from marts_test.mart_batter_game_stats").first().n == 2
     row = spark.sql(
@@ -194,3 +194,70 @@ def test_stream_picks_each_file_up_once_and_reopens_late_games(spark):
     every = landing.read_landed(spark, zone).select(*PITCHES.names)
     fresh = batter_games(stage_pitches(every))
     assert fresh.exceptAll(spark.read.parquet(mart).select(*fresh.columns)).count() == 0
+
+
+def full_and_incremental(spark, drops):
+    """Facts built from all drops at once, and by one refresh for each drop."""
+    zone, mart, progress = (fresh_folder(spark, name) for name in ("drops", "mart", "progress"))
+    for drop in drops:
+        landing.land_pitches(small.pitches(spark, drop), zone)
+        ingest_new_files(spark, zone, mart, progress, batter_games)
+    full = batter_games(stage_pitches(landing.read_landed(spark, zone).select(*PITCHES.names)))
+    return full, spark.read.parquet(mart).select(*full.columns)
+
+
+def test_late_pitch_with_another_time_of_day_reopens_its_date(spark):
+    hour = small.DAY_NS // 24
+    drops = [
+        [small.pitch(1, 1, events="single")],
+        [small.pitch(2, 1, events="double", game_date=small.FIRST_DAY_NS + hour)],
+    ]
+    full, mart = full_and_incremental(spark, drops)
+    assert full.exceptAll(mart).count() == mart.exceptAll(full).count() == 0
+    assert sum(row.total_pitches for row in mart.collect()) == 2
+
+
+def test_pitches_without_a_date_reach_the_mart(spark):
+    drops = [
+        [small.pitch(1, 1, events="single"), small.pitch(1, 1, game_pk=3, game_date=None)],
+        [small.pitch(2, 1, game_pk=3, game_date=None, events="double")],
+    ]
+    full, mart = full_and_incremental(spark, drops)
+    assert full.exceptAll(mart).count() == mart.exceptAll(full).count() == 0
+    assert sum(row.total_pitches for row in mart.collect()) == 3
+
+
+def test_audit_counts_rows_without_a_date(spark):
+    rows = [small.pitch(1, 1), small.pitch(1, 2, game_date=None)]
+    path = fresh_folder(spark, "test")
+    for _ in range(2):
+        audit = landing.land_pitches(small.pitches(spark, rows), path)
+        assert (audit.rows_extracted, audit.rows_loaded) == (2, 2)
+    assert landing.read_landed(spark, path).count() == 4
+    audit = landing.land_pitches(small.pitches(spark, rows[:1]), path, "full-refresh")
+    assert (audit.rows_extracted, audit.rows_loaded) == (1, 1)
+
+
+def test_every_delivered_column_is_landed(spark):
+    path = fresh_folder(spark, "test")
+    pitches = small.pitches(spark, small.game())
+    landing.land_pitches(pitches.withColumn("sv_id", F.lit("s")), path)
+    landing.land_pitches(pitches, path)
+    stored = landing.read_landed(spark, path, every_column=True)
+    assert {r.sv_id: r["count"] for r in stored.groupBy("sv_id").count().collect()} == {"s": 11, None: 11}
+    assert "sv_id" not in landing.read_landed(spark, path).columns
+
+
+def test_registry_shards_are_read_by_name(spark, tmp_path):
+    names = list(feeds.REGISTRY_NAMES)
+    orders = [["key_person", *names[::-1], "birth_month"], [*names[4:], "key_uuid", *names[:4]]]
+    paths = []
+    for k, order in enumerate(orders):
+        values = dict.fromkeys(order, "x") | {name: f"{name}{k}" for name in names}
+        (tmp_path / f"{k}.csv").write_text(f"{','.join(order)}\n{','.join(values[n] for n in order)}\n")
+        paths.append(str(tmp_path / f"{k}.csv"))
+    found = sorted(map(tuple, feeds.read_registry(spark, paths).collect()))
+    assert found == [tuple(f"{name}{k}" for name in feeds.REGISTRY_SHARD.names) for k in range(2)]
+    (tmp_path / "2.csv").write_text("key_person\nx\n")
+    with pytest.raises(SchemaDrift, match="key_mlbam"):
+        feeds.read_registry(spark, [*paths, str(tmp_path / "2.csv")])
