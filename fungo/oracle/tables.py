@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import re
 
-from fungo.functions.labels import AVAILABILITY, INJURED_CODES, UNKNOWN_STATUS
-from fungo.functions.pitch import (
+from fungo.oracle.values import (
+    AVAILABILITY,
     HIT_EVENTS,
+    INJURED_CODES,
     MIX_LABELS,
     NOT_AT_BAT_EVENTS,
     PITCH_LABELS,
     STRIKEOUT_EVENTS,
     SWING_DESCRIPTIONS,
+    UNKNOWN_STATUS,
     WALK_EVENTS,
     WHIFF_DESCRIPTIONS,
 )

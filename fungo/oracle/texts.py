@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from fungo.config import Config
-from fungo.functions import labels
-from fungo.functions.pitch import MIX_LABELS
-from fungo.operators.game_facts import BATTER_GAME_COLUMNS, PITCHER_GAME_COLUMNS
+from fungo.oracle import values
 from fungo.oracle.tables import BATTER_TOTALS, DAY, PITCHER_RATES, PITCHER_TOTALS, listed, mean
 from fungo.oracle.tables import ratio, with_tables
-from fungo.plans import ingestion, quality
-from fungo.plans.profiles import NULL_RATE_COLUMNS, NUMERIC_COLUMNS
+from fungo.oracle.values import (
+    BATTER_GAME_COLUMNS,
+    MIX_LABELS,
+    NULL_RATE_COLUMNS,
+    NUMERIC_COLUMNS,
+    PITCHER_GAME_COLUMNS,
+)
+from fungo.plans import ingestion
 from fungo.schemas import PITCH_COLUMNS, PLAYER_LOOKUP, TEAMS
 
 _TEAM_STATUS = (
@@ -127,7 +131,7 @@ TEXTS["leaderboard_pitchers"] = _out(
     from pitcher_season where total_pitches >= 250""",
     "whiff_rate strike_pct avg_velocity",
 )
-_best, _fair = labels.XWOBA_BOUNDS
+_best, _fair = values.XWOBA_BOUNDS
 TEXTS["contact_quality_scatter"] = _out(
     f"""select batter_id, batter_name, batter_team, avg_exit_velocity, avg_launch_angle,
         batted_balls, xwoba,
@@ -349,8 +353,8 @@ TEXTS["sem_player_dim"] = _out(
 TEXTS["sem_player_count"] = _out(
     "select count(distinct mlbam_id) as player_count from raw_players"
 )
-_good, _ok = labels.BATTER_HARD_HIT_BOUNDS
-_low, _ok_low = labels.PITCHER_HARD_HIT_BOUNDS
+_good, _ok = values.BATTER_HARD_HIT_BOUNDS
+_low, _ok_low = values.PITCHER_HARD_HIT_BOUNDS
 TEXTS["sem_metric_tier"] = _out(
     f"""select 'batter' as role, batter_id as player_id, rate,
         if(rate >= {_good}, 'high', if(rate >= {_ok}, 'mid', 'low')) as tier
@@ -541,7 +545,7 @@ TEXTS["spot_name_like"] = _out(
 )
 TEXTS["il60_without_stats"] = _out(
     f"""select player_full_name, team_abbrev, availability from status_dim
-    where availability = '{labels.AVAILABILITY["D60"]}'
+    where availability = '{values.AVAILABILITY["D60"]}'
         and not exists (select 1 from batter_season where batter_id = mlbam_id)
     order by player_full_name, mlbam_id limit 10"""
 )
@@ -579,7 +583,7 @@ TEXTS["dq_not_null"] = _out(
             f"not_null {name}.{column}",
             f"select 1 from {_LAYER_TABLES[name]} where {column} is null",
         )
-        for name, columns in quality.REQUIRED.items()
+        for name, columns in values.REQUIRED.items()
         for column in columns
     )
 )
@@ -589,7 +593,7 @@ TEXTS["dq_unique"] = _out(
             f"unique {name}.{column}",
             _repeated(_LAYER_TABLES[name], column, f"{column} is not null"),
         )
-        for name, column in quality.UNIQUE
+        for name, column in values.UNIQUE
     )
 )
 TEXTS["dq_join_keys"] = _out(
@@ -598,7 +602,7 @@ TEXTS["dq_join_keys"] = _out(
             f"join_key {name}.{column}",
             _repeated(_LAYER_TABLES[name], column, f"{column} is not null"),
         )
-        for name, column in quality.JOIN_KEYS
+        for name, column in values.JOIN_KEYS
     )
 )
 TEXTS["dq_accepted_values"] = _out(
@@ -607,7 +611,7 @@ TEXTS["dq_accepted_values"] = _out(
             f"accepted_values {name}.{column}",
             f"select 1 from {_LAYER_TABLES[name]} where {column} not in {listed(values)}",
         )
-        for name, lists in quality.ACCEPTED.items()
+        for name, lists in values.ACCEPTED.items()
         for column, values in lists.items()
     )
 )
@@ -618,7 +622,7 @@ TEXTS["dq_relationships"] = _out(
             f"select 1 from {_LAYER_TABLES[name]} child where child.{column} is not null and"
             f" not exists (select 1 from raw_teams t where t.team_abbrev = child.{column})",
         )
-        for name, column in quality.REFERENCES
+        for name, column in values.REFERENCES
     )
 )
 TEXTS["dq_batter_team_per_game"] = _out(
@@ -638,7 +642,7 @@ TEXTS["dq_pitcher_team_per_game"] = _out(
 TEXTS["dq_composite_grain"] = _out(
     " union all ".join(
         _rule(f"grain {name}", _repeated(_LAYER_TABLES[name], ", ".join(keys)))
-        for name, keys in quality.GRAINS
+        for name, keys in values.GRAINS
     )
 )
 
@@ -668,8 +672,8 @@ def _recovered(role: str, player: str, names: tuple[str, ...]) -> str:
     )
 
 
-TEXTS["dq_batter_recoverable"] = _out(_recovered("batter", "batter_id", quality.BATTER_TOTALS))
-TEXTS["dq_pitcher_recoverable"] = _out(_recovered("pitcher", "pitcher_id", quality.PITCHER_TOTALS))
+TEXTS["dq_batter_recoverable"] = _out(_recovered("batter", "batter_id", values.RECOVERED_BATTER_TOTALS))
+TEXTS["dq_pitcher_recoverable"] = _out(_recovered("pitcher", "pitcher_id", values.RECOVERED_PITCHER_TOTALS))
 _TRADED = " union all ".join(
     f"select '{side}' as side, count(*) as multi_team_players from (select {side}_id"
     f" from {side}_season group by 1 having count(distinct {club}) > 1) players"
