@@ -194,8 +194,10 @@ TEXTS["chunk_union"] = _out(
 )
 _until = f"date '{ingestion.FIRST_BATCH_UNTIL}'"
 TEXTS["ingest_append_vs_refresh"] = _out(
-    f"""select mode, game_date, sum(copies)::bigint as n_rows
-    from (select {DAY} as game_date from raw_pitches),
+    f"""select mode, game_date, sum(copies)::bigint as n_rows,
+        sum(copies * (batter * pitch_number + pitcher))::bigint as numbers,
+        sum(copies * (length(home_team) + length(pitch_type)))::bigint as letters
+    from (select {DAY} as game_date, * exclude (game_date) from raw_pitches),
         (values ('append', 2, 1), ('append-once', 1, 1), ('full-refresh', 1, 0))
             as loads(mode, late_copies, early_copies),
         lateral (select if(game_date > {_until}, late_copies, early_copies) as copies)

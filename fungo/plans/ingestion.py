@@ -40,7 +40,7 @@ def chunk_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_append_vs_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and distinct pitches per date: appended with one batch repeated, then refreshed."""
+    """Rows and their values per date: appended with one batch repeated, then refreshed."""
     early, late = _batches(spark, sf_dir)
     results = []
     for mode in ("append", "full-refresh"):
@@ -58,8 +58,12 @@ def ingest_append_vs_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rows_per_date(stored: DataFrame, mode: str) -> DataFrame:
     return (
         stored.groupBy(ns_to_date(F.col("game_date")).alias("game_date"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(mode).alias("mode"), "game_date", "n_rows")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.col("batter") * F.col("pitch_number") + F.col("pitcher")).alias("numbers"),
+            F.sum(F.length("home_team") + F.length("pitch_type")).alias("letters"),
+        )
+        .select(F.lit(mode).alias("mode"), "game_date", "n_rows", "numbers", "letters")
     )
 
 

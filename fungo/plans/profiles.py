@@ -203,12 +203,21 @@ def top_pitchers_named(games: DataFrame, players: DataFrame) -> DataFrame:
 def pitch_mix_top(games: DataFrame, min_pitches: int = 50, top: int = 20) -> DataFrame:
     """Mean of per-game shares for the busiest pitchers; not weighted, unlike the report."""
     shares_by_label = [f"pct_{label}" for label in MIX_LABELS]
+    # By name first: the maximum of a text would have every game sorted.
+    by_name = games.groupBy("pitcher_id", "pitcher_name").agg(
+        F.sum("total_pitches").alias("pitches"),
+        *(F.sum(name).alias(f"sum_{name}") for name in shares_by_label),
+        *(F.count(name).alias(f"n_{name}") for name in shares_by_label),
+    )
     return (
-        games.groupBy("pitcher_id")
+        by_name.groupBy("pitcher_id")
         .agg(
             F.max("pitcher_name").alias("pitcher_name"),
-            F.sum("total_pitches").alias("total_pitches"),
-            *(F.avg(name).alias(name) for name in shares_by_label),
+            F.sum("pitches").alias("total_pitches"),
+            *(
+                safe_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}")).alias(name)
+                for name in shares_by_label
+            ),
         )
         .where(F.col("total_pitches") >= min_pitches)
         .orderBy(F.desc("total_pitches"), "pitcher_id")

@@ -16,7 +16,8 @@ from fungo.session import materialize
 
 PLATE = ("game_pk", "at_bat_number")
 PITCH_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-PART_SLICES = 1024
+# Parts of one slice, and more slices than a line number can have.
+SLICE_PARTS, SLICE_SPAN = 2048, 1 << 40
 
 LINE_COLUMNS = (
     "l_orderkey",
@@ -236,9 +237,8 @@ def _number_pitches(lines: DataFrame) -> DataFrame:
     range, so that even one holding a third of all rows is ranked by many tasks: each slice
     is numbered alone and shifted by the sizes of the slices before it.
     """
-    highest = lines.agg(F.max("l_partkey")).first()[0] or 0
-    part_slice = F.floor(F.col("l_partkey") * PART_SLICES / F.lit(highest + 1))
-    sliced = lines.withColumn("slice", F.col("l_linenumber") * PART_SLICES + part_slice)
+    part_slice = F.floor(F.col("l_partkey") / F.lit(SLICE_PARTS)).cast("long")
+    sliced = lines.withColumn("slice", F.col("l_linenumber").cast("long") * SLICE_SPAN + part_slice)
     cell = (*PLATE, "slice")
 
     plate = Window.partitionBy(*PLATE)
