@@ -14,8 +14,9 @@ for the whole corpus, 4 of 13 positions.
 3. In each document, candidates that are not heads are repeats, and the words they cover go.
 
 Of documents with equal texts only the one with the least id takes part; the others consist of repeats.
-Anchor hashes of 64 bits may collide, which only adds candidates. Windows are compared by 96 bits.
-All words of a document are read, and no group of equal anchors or windows is ever gathered.
+Anchor hashes of 48 bits may collide, which only adds candidates. Windows are compared by 96 bits.
+All words of a document are read, and no group of equal anchors or windows is ever gathered. Texts travel
+to their document's places once, compressed one by one; both later steps read that shuffle.
 
 Null or empty text: no words. Null ``doc_id``: such rows count as one document behind all others.
 Repeated rows are one document, returned for each row. Empty table: empty result.
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 # Rows that leave a task at once.
 CHUNK = 1 << 18
+# Bits of an anchor's hash that are shuffled.
+ANCHOR_BITS = 48
 
 _ON_COVER = np.isin(np.arange(PERIOD), COVER)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
@@ -96,9 +100,23 @@ def _batch(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
 
 
-def _words(text: pa.Scalar) -> list[bytes]:
-    value = text.as_py()
-    return value.encode("utf-8").split() if value else []
+def _words(text: bytes | None) -> list[bytes]:
+    return text.split() if text else []
+
+
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    compress = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        packed = [compress(text.encode("utf-8")) if text else None for text in batch.column(1).to_pylist()]
+        columns = [batch.column(0), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "packed"])
+
+
+def _unpacked(column: pa.Array) -> Iterator[bytes | None]:
+    decompress = zstandard.ZstdDecompressor().decompress
+    for packed in column:
+        value = packed.as_py()
+        yield decompress(value) if value else None
 
 
 def _positions(places: pa.Scalar) -> np.ndarray:
@@ -109,11 +127,12 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = _words(text)
+                value = text.as_py()
+                words = _words(value.encode("utf-8") if value else None)
                 starts = anchor_starts(len(words))
                 if len(starts):
                     found = _runs(_word_hashes(words), starts, ANCHOR, _FACTORS[0])
-                    yield found.view(np.int64), np.full(len(starts), key), starts
+                    yield found >> np.uint64(64 - ANCHOR_BITS), np.full(len(starts), key), starts
 
     yield from _batches(rows(), ["hash", "key", "at"], [np.int64, np.int64, np.int32])
 
@@ -121,7 +140,9 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            for key, text, unique in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for key, text, unique in zip(
+                batch.column(0).to_pylist(), _unpacked(batch.column(1)), batch.column(2)
+            ):
                 words = _words(text)
                 starts = candidate_starts(len(words), _positions(unique))
                 if len(starts):
@@ -144,7 +165,7 @@ def _covered(n_words: int, starts: np.ndarray) -> np.ndarray:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept_texts, n_words, n_removed = [], [], []
-        for text, first, unique, heads in zip(*batch.columns[1:]):
+        for text, first, unique, heads in zip(_unpacked(batch.column(1)), *batch.columns[2:]):
             words = _words(text)
             kept = words
             if len(words) >= WINDOW and not first.is_valid:
@@ -180,10 +201,10 @@ def unique_anchors(texts: DataFrame) -> DataFrame:
     return _by_document(counted.where(F.col("n") == 1).select("key", "at"), "unique")
 
 
-def window_heads(texts: DataFrame, firsts: DataFrame, unique: DataFrame) -> DataFrame:
+def window_heads(packed: DataFrame, firsts: DataFrame, unique: DataFrame) -> DataFrame:
     """``key`` and ``heads``: places of candidate windows that occur nowhere earlier."""
-    taking_part = texts.join(firsts, "key", "left_semi").join(unique, "key", "left")
-    windows = taking_part.select("key", "text", "unique").mapInArrow(
+    taking_part = packed.join(firsts, "key", "left_semi").join(unique, "key", "left")
+    windows = taking_part.select("key", "packed", "unique").mapInArrow(
         _candidates, "h1 long, h2 int, key long, at int"
     )
     heads = windows.groupBy("h1", "h2").agg(
@@ -199,13 +220,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     firsts = texts.groupBy(F.md5("text").alias("digest")).agg(F.min("key").alias("key")).select("key")
     firsts = firsts.distinct()
     unique = unique_anchors(texts)
-    heads = window_heads(texts, firsts, unique)
+    # A key is never null; said here, both uses of the shuffled texts have the same plan.
+    packed = texts.mapInArrow(_compressed, "key long, packed binary").where(F.col("key").isNotNull())
+    heads = window_heads(packed, firsts, unique)
     joined = (
-        texts.join(firsts.withColumn("first", F.lit(True)), "key", "left")
+        packed.join(firsts.withColumn("first", F.lit(True)), "key", "left")
         .join(unique, "key", "left")
         .join(heads, "key", "left")
     )
-    cut = joined.select("key", "text", "first", "unique", "heads").mapInArrow(
+    cut = joined.select("key", "packed", "first", "unique", "heads").mapInArrow(
         _cut, "key long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
     return cut.select(
