@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fungo.session import materialize
@@ -53,10 +53,15 @@ def _segment(code: Column, start: int, width: int) -> Column:
     return F.shiftrightunsigned(code, start).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _masks(width: int, radius: int) -> Column:
-    """All patterns of at most ``radius`` of ``width`` bits: a constant of the plan."""
-    patterns = F.sequence(F.lit(0).cast("long"), F.lit((1 << width) - 1).cast("long"))
-    return F.filter(patterns, lambda pattern: F.bit_count(pattern) <= radius)
+def _masks(spark: SparkSession, segments: int) -> DataFrame:
+    """Every pattern of each segment's bits: two to the width, whatever the data."""
+    parts = [
+        spark.range(1 << w).select(
+            F.lit(s).alias("m_segment"), F.col("id").alias("mask"), F.bit_count("id").alias("weight")
+        )
+        for s, (_, w) in enumerate(_segment_bounds(segments))
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def coded(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -71,26 +76,23 @@ def _members(codes: DataFrame, keep: int) -> DataFrame:
     return codes.distinct().withColumn("rank", rank).where(F.col("rank") <= keep).select("code", "id")
 
 
-def _index(codes: DataFrame, segments: int) -> DataFrame:
+def _cut(codes: DataFrame, column: str, segments: int) -> DataFrame:
+    """A row for each segment of each code: ``column``, ``segment``, ``value``."""
     entries = [
-        F.struct(F.lit(s).alias("segment"), _segment(F.col("code"), a, w).alias("value"))
+        F.struct(F.lit(s).alias("segment"), _segment(F.col(column), a, w).alias("value"))
         for s, (a, w) in enumerate(_segment_bounds(segments))
     ]
-    return codes.select("code", F.inline(F.array(*entries)))
+    return codes.select(column, F.inline(F.array(*entries)))
 
 
-def _probes(queries: DataFrame, radii: list[int]) -> DataFrame:
+def _probes(queries: DataFrame, masks: DataFrame, radii: list[int]) -> DataFrame:
     """Every value that a query searches in each segment."""
-    parts = []
-    for s, ((a, w), radius) in enumerate(zip(_segment_bounds(len(radii)), radii)):
-        if radius >= 0:
-            own = _segment(F.col("query"), a, w)
-            parts.append(
-                queries.select("query", F.lit(s).alias("q_segment"), own.alias("own"))
-                .withColumn("mask", F.explode(_masks(w, radius)))
-                .select("query", "q_segment", F.col("own").bitwiseXOR(F.col("mask")).alias("q_value"))
-            )
-    return reduce(DataFrame.unionAll, parts)
+    radius = F.get(F.array(*[F.lit(r) for r in radii]), F.col("m_segment"))
+    wanted = F.broadcast(masks.where(F.col("weight") <= radius))
+    own = _cut(queries, "query", len(radii))
+    probed = own.join(wanted, F.col("segment") == F.col("m_segment"))
+    value = F.col("value").bitwiseXOR(F.col("mask"))
+    return probed.select("query", F.col("segment").alias("q_segment"), value.alias("q_value"))
 
 
 def _rounds(segments: int) -> list[tuple[list[int], int]]:
@@ -118,10 +120,12 @@ def nearest(
     members = materialize(_members(vectors, k + 1), "codes")
     asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct()
     asked = materialize(asked, "queries")
-    index = materialize(_index(members.select("code").distinct(), segments), "segments")
+    index = materialize(_cut(members.select("code").distinct(), "code", segments), "segments")
+    masks = _masks(vectors.sparkSession, segments)
     active = asked.select("query").distinct()
     # With no more than this many ids in all, a query can not find k + 1.
     wanted = min(k + 1, members.count())
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = None
     for radii, covered in _rounds(segments):
         difference = F.col("query").bitwiseXOR(F.col("code"))
@@ -130,7 +134,9 @@ def nearest(
             & (F.col("q_value") == F.col("value"))
             & (F.bit_count(difference) <= covered)
         )
-        near = _probes(active, radii).join(index, meeting).select("query", "code").distinct()
+        # A query becomes thousands of probes, which Spark does not foresee: it would broadcast them.
+        probes = _probes(active.repartition(tasks, "query"), masks, radii).hint("merge")
+        near = probes.join(index, meeting).select("query", "code").distinct()
         ids = near.join(members, "code").withColumn("distance", F.bit_count(difference))
         best = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
         top = ids.withColumn("place", best).where(F.col("place") <= k + 1)
