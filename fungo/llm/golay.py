@@ -11,6 +11,10 @@ differ in at most 2 bits, and then the fingerprints share D, an index of A and a
 differs in 3, and then they share D and the whole other run. Hence the keys of a fingerprint, for each D:
 D with every pair of indices (at most 36), D with A, and D with B. A key holds at least 39 bits, so
 that chance companions stay few in a large corpus.
+
+One side of a comparison needs fewer. Of two runs that both differ in at most 2 bits, one differs in at
+most 1, and there the nearest codeword of either vector is within 4 of the other. So the home keys, those
+pairs that hold the nearest codeword of A or of B (at most 11), meet a key of every companion.
 """
 
 from __future__ import annotations
@@ -84,13 +88,14 @@ def tag(segment: int, kind: int) -> int:
     return segment * 3 + kind
 
 
-def keys(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def keys(fingerprints: np.ndarray, home: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Parallel arrays: row of the fingerprint, key, and which of its indices are the nearest ones.
 
-    A key is ``tag << 40 | D << 24 | indices or run``.
+    ``home`` gives the home keys only. A key is ``tag << 40 | D << 24 | indices or run``.
     """
     rows, found, leads = [], [], []
     each = np.arange(len(fingerprints))
+    none = np.zeros(len(each), np.int64)
     first = np.arange(6) == 0
     lead = (first[:, None] * LEAD_A + first[None, :] * LEAD_B).reshape(1, 36)
     for segment in range(SEGMENTS):
@@ -99,12 +104,12 @@ def keys(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         both = (index_a[:, :, None] << 12 | index_b[:, None, :]).reshape(-1, 36)
         real = ((index_a >= 0)[:, :, None] & (index_b >= 0)[:, None, :]).reshape(-1, 36)
         base = chosen << 24
-        at, which = np.nonzero(real)
+        at, which = np.nonzero(real & (lead > 0) if home else real)
         rows += [at, each, each]
         found += [
             tag(segment, INDEXED) << 40 | base[at] | both[at, which],
             tag(segment, EXACT_A) << 40 | base | run_a,
             tag(segment, EXACT_B) << 40 | base | run_b,
         ]
-        leads += [lead[0, which], np.zeros(len(each), np.int64), np.zeros(len(each), np.int64)]
+        leads += [lead[0, which], none, none]
     return np.concatenate(rows), np.concatenate(found), np.concatenate(leads)

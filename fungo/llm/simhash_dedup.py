@@ -60,13 +60,23 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _parts(batches):
+        rows, keys, _ = golay.keys(part.view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["key", "a"])
+
+
+def _home_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _parts(batches):
+        rows, keys, leads = golay.keys(part.view(np.uint64), home=True)
+        columns = [pa.array(keys), pa.array(part[rows]), pa.array(leads)]
+        yield pa.RecordBatch.from_arrays(columns, ["home_key", "b", "lead"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
         bits = batch.column(0).to_numpy(zero_copy_only=False)
         for at in range(0, len(bits), CHUNK):
-            part = bits[at : at + CHUNK]
-            rows, keys, leads = golay.keys(part.view(np.uint64))
-            columns = [pa.array(keys), pa.array(part[rows]), pa.array(leads)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "lead"])
+            yield bits[at : at + CHUNK]
 
 
 def _mask(bits: int) -> Column:
@@ -76,8 +86,9 @@ def _mask(bits: int) -> Column:
 def _first_meeting(difference: Column, key: Column, lead: Column) -> Column:
     """Whether a pair is counted under this key.
 
-    Of the keys that a pair shares, only those of its first equal segment count. Where a run is
-    equal, only its nearest codeword counts; a whole run counts only if the other differs in 3 bits.
+    Of the keys that a pair shares, only those of its first equal segment count. Where a run is equal,
+    only its nearest codeword counts (``lead`` is that of the home key); a whole run counts only if the
+    other differs in 3 bits.
     """
     segments = range(golay.SEGMENTS)
     equal = [difference.bitwiseAND(_mask(0xFFFF << (golay.SEGMENT_BITS * d))) == 0 for d in segments]
@@ -99,17 +110,20 @@ def _first_meeting(difference: Column, key: Column, lead: Column) -> Column:
 
 def links(distinct: DataFrame) -> DataFrame:
     """``a`` < ``b``: all pairs of the distinct ``fp`` that differ in at most 3 bits."""
-    keyed = distinct.select("fp").mapInArrow(_keys, "key long, fp long, lead long")
-    left = keyed.select("key", F.col("fp").alias("a"), "lead")
-    right = keyed.select(F.col("key").alias("key_b"), F.col("fp").alias("b"), F.col("lead").alias("lead_b"))
+    # A fingerprint becomes a hundred rows and more, so even a small file is dealt out first.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = distinct.select("fp").repartition(tasks, "fp")
+    # Spark does not foresee that either, and would broadcast the keys of a middle-sized table.
+    keyed = dealt.mapInArrow(_keys, "key long, a long").hint("merge")
+    home = dealt.mapInArrow(_home_keys, "home_key long, b long, lead long")
     difference = F.col("a").bitwiseXOR(F.col("b"))
     meeting = (
-        (F.col("key") == F.col("key_b"))
+        (F.col("key") == F.col("home_key"))
         & (F.col("a") < F.col("b"))
         & (F.bit_count(difference) <= DISTANCE)
         & _first_meeting(difference, F.col("key"), F.col("lead"))
     )
-    return left.join(right, meeting).select("a", "b").distinct()
+    return keyed.join(home, meeting).select("a", "b").distinct()
 
 
 def group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

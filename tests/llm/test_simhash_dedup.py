@@ -57,8 +57,12 @@ def test_fingerprints_within_three_bits_share_a_key():
         y = x
         for bit in rng.sample(range(64), rng.randint(0, 3)):
             y ^= 1 << bit
-        found = [set(golay.keys(np.array([v], np.uint64))[1].tolist()) for v in (x, y)]
-        assert found[0] & found[1]
+        every, home = (
+            [set(golay.keys(np.array([v], np.uint64), only_home)[1].tolist()) for v in (x, y)]
+            for only_home in (False, True)
+        )
+        assert every[0] & home[1] and every[1] & home[0]
+        assert home[0] <= every[0] and len(home[0]) <= 4 * 13
 
 
 def test_links_equal_brute_force(spark):
