@@ -18,8 +18,12 @@ Anchor hashes of 48 bits may collide, which only adds candidates. Windows are co
 All words of a document are read, and no group of equal anchors or windows is ever gathered. Texts travel
 to their document's places once, compressed one by one; both later steps read that shuffle.
 
-Null or empty text: no words. Null ``doc_id``: such rows count as one document behind all others.
-Repeated rows are one document, returned for each row. Empty table: empty result.
+A document is an id and a text. Its places are kept by ``key``, the id, and ``part``, a hash of the text
+where the id alone does not tell the texts apart, else 0.
+
+Null or empty text: no words. Null ``doc_id``: behind all others; every text without an id is a document of its
+own, in the order of their hashes, and so are different texts under one id. Repeated rows are one document,
+returned for each row. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -44,6 +48,8 @@ ANCHOR = WINDOW - PERIOD + 1
 CHUNK = 1 << 18
 # Bits of an anchor's hash that are shuffled.
 ANCHOR_BITS = 48
+# Bits of a text's hash that tell documents of one id apart; an id and these fit a decimal of 38 digits.
+PART_BITS = 62
 
 _ON_COVER = np.isin(np.arange(PERIOD), COVER)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
@@ -107,9 +113,9 @@ def _words(text: bytes | None) -> list[bytes]:
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     compress = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        packed = [compress(text.encode("utf-8")) if text else None for text in batch.column(1).to_pylist()]
-        columns = [batch.column(0), pa.array(packed, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "packed"])
+        packed = [compress(text.encode("utf-8")) if text else None for text in batch.column(2).to_pylist()]
+        columns = [batch.column(0), batch.column(1), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "part", "packed"])
 
 
 def _unpacked(column: pa.Array) -> Iterator[bytes | None]:
@@ -126,22 +132,23 @@ def _positions(places: pa.Scalar) -> np.ndarray:
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, part, text in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2)):
                 value = text.as_py()
                 words = _words(value.encode("utf-8") if value else None)
                 starts = anchor_starts(len(words))
                 if len(starts):
                     found = _runs(_word_hashes(words), starts, ANCHOR, _FACTORS[0])
-                    yield found >> np.uint64(64 - ANCHOR_BITS), np.full(len(starts), key), starts
+                    whose = np.full(len(starts), key), np.full(len(starts), part)
+                    yield found >> np.uint64(64 - ANCHOR_BITS), *whose, starts
 
-    yield from _batches(rows(), ["hash", "key", "at"], [np.int64, np.int64, np.int32])
+    yield from _batches(rows(), ["hash", "key", "part", "at"], [np.int64, np.int64, np.int64, np.int32])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            for key, text, unique in zip(
-                batch.column(0).to_pylist(), _unpacked(batch.column(1)), batch.column(2)
+            for key, part, text, unique in zip(
+                *(batch.column(k).to_pylist() for k in (0, 1)), _unpacked(batch.column(2)), batch.column(3)
             ):
                 words = _words(text)
                 starts = candidate_starts(len(words), _positions(unique))
@@ -149,10 +156,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     hashes = _word_hashes(words)
                     first, at = np.unique(_runs(hashes, starts, WINDOW, _FACTORS[0]), return_index=True)
                     second = _runs(hashes, starts[at], WINDOW, _FACTORS[1]) >> np.uint64(33)
-                    yield first.view(np.int64), second, np.full(len(at), key), starts[at]
+                    whose = np.full(len(at), key), np.full(len(at), part)
+                    yield first.view(np.int64), second, *whose, starts[at]
 
-    types = [np.int64, np.int32, np.int64, np.int32]
-    yield from _batches(rows(), ["h1", "h2", "key", "at"], types)
+    types = [np.int64, np.int32, np.int64, np.int64, np.int32]
+    yield from _batches(rows(), ["h1", "h2", "key", "part", "at"], types)
 
 
 def _covered(n_words: int, starts: np.ndarray) -> np.ndarray:
@@ -188,45 +196,72 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_document(places: DataFrame, name: str) -> DataFrame:
-    """``key`` and the list of its places: as long as the document at most."""
-    return places.repartition("key").groupBy("key").agg(F.collect_list("at").alias(name))
+    """``key``, ``part`` and the list of its places: as long as the document at most."""
+    return places.repartition("key", "part").groupBy("key", "part").agg(F.collect_list("at").alias(name))
 
 
 def unique_anchors(texts: DataFrame) -> DataFrame:
-    """``key`` and ``unique``: places of the anchors that occur once in the corpus."""
-    anchors = texts.mapInArrow(_anchors, "hash long, key long, at int")
+    """``key``, ``part`` and ``unique``: places of the anchors that occur once in the corpus."""
+    anchors = texts.mapInArrow(_anchors, "hash long, key long, part long, at int")
     counted = anchors.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("n"), F.min("key").alias("key"), F.min("at").alias("at")
+        F.count(F.lit(1)).alias("n"),
+        *(F.min(name).alias(name) for name in ("key", "part", "at")),
     )
-    return _by_document(counted.where(F.col("n") == 1).select("key", "at"), "unique")
+    return _by_document(counted.where(F.col("n") == 1).select("key", "part", "at"), "unique")
 
 
-def window_heads(packed: DataFrame, firsts: DataFrame, unique: DataFrame) -> DataFrame:
-    """``key`` and ``heads``: places of candidate windows that occur nowhere earlier."""
-    taking_part = packed.join(firsts, "key", "left_semi").join(unique, "key", "left")
-    windows = taking_part.select("key", "packed", "unique").mapInArrow(
-        _candidates, "h1 long, h2 int, key long, at int"
+def window_heads(packed: DataFrame, firsts: DataFrame, unique: DataFrame, parted: bool) -> DataFrame:
+    """``key``, ``part`` and ``heads``: places of candidate windows that occur nowhere earlier."""
+    taking_part = packed.join(firsts, ["key", "part"], "left_semi").join(unique, ["key", "part"], "left")
+    windows = taking_part.select("key", "part", "packed", "unique").mapInArrow(
+        _candidates, "h1 long, h2 int, key long, part long, at int"
     )
+    order = F.col("key")
+    if parted:
+        # A number, as the least of a struct would be found by sorting.
+        order = order.cast("decimal(19,0)") * F.lit(1 << PART_BITS).cast("decimal(19,0)") + F.col("part")
     heads = windows.groupBy("h1", "h2").agg(
-        F.min("key").alias("head"), F.min_by("at", "key").alias("at")
+        F.min("key").alias("head"),
+        (F.min_by("part", order) if parted else F.min("part")).alias("part"),
+        F.min_by("at", order).alias("at"),
     )
-    return _by_document(heads.select(F.col("head").alias("key"), "at"), "heads")
+    return _by_document(heads.select(F.col("head").alias("key"), "part", "at"), "heads")
+
+
+def _documents(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``key``, ``part``, ``text`` of every row, and whether any part is set.
+
+    Ids that have one text each, the usual case, need no parts: they would only be shuffled.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    digest = F.shiftrightunsigned(F.xxhash64("text"), 64 - PART_BITS)
+    texts = docs.select(key.alias("key"), digest.alias("digest"), "text")
+    spread = texts.groupBy("key").agg((F.min("digest") != F.max("digest")).alias("several"))
+    several = spread.where("several").agg(
+        F.max(F.col("key") == LAST_ID).alias("unnamed"), F.max(F.col("key") != LAST_ID).alias("named")
+    ).first()
+    apart = F.lit(bool(several.named)) | (F.lit(bool(several.unnamed)) & (F.col("key") == LAST_ID))
+    part = F.when(apart, F.col("digest")).otherwise(F.lit(0).cast("long"))
+    return texts.select("key", part.alias("part"), "text"), bool(several.named or several.unnamed)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256``, ``kept_text`` for every row of ``docs``."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-    texts = docs.select(key.alias("key"), F.col("text").alias("text"))
-    firsts = texts.groupBy(F.md5("text").alias("digest")).agg(F.min("key").alias("key")).select("key")
-    firsts = firsts.distinct()
+    texts, parted = _documents(docs)
+    firsts = texts.groupBy(F.md5("text").alias("digest")).agg(
+        F.min("key").alias("key"), F.min_by("part", "key").alias("part")
+    )
+    firsts = firsts.select("key", "part").distinct()
     unique = unique_anchors(texts)
-    # A key is never null; said here, both uses of the shuffled texts have the same plan.
-    packed = texts.mapInArrow(_compressed, "key long, packed binary").where(F.col("key").isNotNull())
-    heads = window_heads(packed, firsts, unique)
+    # Keys and parts are never null; said here, both uses of the shuffled texts have the same plan.
+    packed = texts.mapInArrow(_compressed, "key long, part long, packed binary")
+    packed = packed.where(F.col("key").isNotNull() & F.col("part").isNotNull())
+    heads = window_heads(packed, firsts, unique, parted)
+    document = ["key", "part"]
     joined = (
-        packed.join(firsts.withColumn("first", F.lit(True)), "key", "left")
-        .join(unique, "key", "left")
-        .join(heads, "key", "left")
+        packed.join(firsts.withColumn("first", F.lit(True)), document, "left")
+        .join(unique, document, "left")
+        .join(heads, document, "left")
     )
     cut = joined.select("key", "packed", "first", "unique", "heads").mapInArrow(
         _cut, "key long, n_words long, n_removed long, kept_sha256 string, kept_text string"

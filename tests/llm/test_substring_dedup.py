@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from fungo.llm import substring_dedup as dedup
 
@@ -80,5 +81,32 @@ def test_few_words_many_overlaps(spark):
     check(spark, rows)
 
 
+def test_texts_without_an_id_and_texts_under_one_id_are_apart(spark):
+    rng = random.Random(5)
+    say = lambda n: [rng.choice([f"w{k}" for k in range(400)]) for _ in range(n)]
+    shared = [say(n) for n in (20, 26, 45)]
+    for without, twice in ((12, 0), (1, 4), (12, 4)):
+        rows = [(k, " ".join(say(rng.randint(0, 40)) + rng.choice(shared))) for k in range(12)]
+        for k in range(without):
+            rows.append((None, " ".join(say(5 * k) + rng.choice(shared) + say(k) + shared[k % 3])))
+        for k in range(twice):
+            rows.append((k, " ".join(say(90 - 20 * k) + shared[k % 3])))
+        rows += [(50, None), (50, "a few words"), (None, None), rows[3], rows[12], (None, rows[2][1])]
+        frame = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA)
+        hashed = frame.select("text", F.shiftrightunsigned(F.xxhash64("text"), 2).alias("h")).collect()
+        rank = {row.text: row.h for row in hashed}
+        seen, cut = set(), {}
+        for doc, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, rank[r[1]])):
+            words, gone = (text or "").split(), set()
+            for i in range(len(words) - 19):
+                if tuple(words[i : i + 20]) in seen:
+                    gone.update(range(i, i + 20))
+                seen.add(tuple(words[i : i + 20]))
+            cut[doc, text] = len(words), len(gone), " ".join(w for k, w in enumerate(words) if k not in gone)
+        found = dedup.remove_repeats(frame).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+        key = lambda r: (r[0] is None, *(r[0] or 0, *r[1:]))
+        assert sorted((tuple(r) for r in found), key=key) == sorted(((d, *cut[d, t]) for d, t in rows), key=key)
+
+
 def test_empty_table(spark):
     assert dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
