@@ -3,8 +3,13 @@
 Every source is cut into blocks of equally many characters. Block i of a source with weight w is
 released at slot floor(i / w) and due before slot ceil((i + 1) / w); one slot takes one block. Earliest
 deadline first meets every deadline, so at any moment each source is less than one block from its
-weight. Weights are whole numbers of a common period, and the schedule repeats after a period: it is
-computed once for one period, and the slot of any block follows from its number by one look-up.
+weight. Weights are exact ratios of whole numbers, nothing is rounded. One task steps through the slots, of
+which there is one for 16,384 characters, holding a row for each source; the timetable it writes is
+joined to the blocks. A source can have any weight, and there can be any number of sources.
+
+By default the characters of a source are to grow as its size to the power 0.9. As the last block of a source
+is not full, and the only one of a small source nearly empty, its share of the slots is that of the
+characters divided by the mean length of its blocks. Given shares are shares of the slots.
 
 A block's number comes from running sums of lengths in a shuffled order of the source. These are taken in
 two steps, within slices of the order and over the slices, so that a source with a third of all
@@ -20,21 +25,25 @@ place of its hash. Repeated rows are placed each. Empty table: empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import itertools
+import math
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fungo.llm.common import LAST_ID
 from fungo.session import materialize
 
-PERIOD = 1000
 BLOCK_CHARS = 1 << 14
 SLICE_ROWS = 4096
 TEMPER = 0.9
+# Slots that leave the timetable's task at once.
+CHUNK = 1 << 16
 
 
-def whole_weights(shares: Mapping[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
+def whole_weights(shares: Mapping[str | None, float], period: int) -> dict[str | None, int]:
     """Shares as whole parts of ``period``: at least 1 each, the largest remainders rounded up."""
     if len(shares) > period:
         raise ValueError(f"{len(shares)} sources do not fit a period of {period} slots")
@@ -51,24 +60,45 @@ def whole_weights(shares: Mapping[str | None, float], period: int = PERIOD) -> d
     return weights
 
 
-def schedule(weights: Mapping[str | None, int]) -> list[tuple]:
-    """``(source, block, slot, release, deadline)`` for each slot of one period."""
-    period = sum(weights.values())
+def exact_weights(shares: Mapping[str | None, float]) -> dict[str | None, int]:
+    """Whole numbers in the very proportions of ``shares``."""
+    ratios = {name: share.as_integer_ratio() for name, share in shares.items()}
+    if any(over <= 0 for over, _ in ratios.values()):
+        raise ValueError("a share must be above 0, or its source would never be used")
+    common = math.lcm(*(under for _, under in ratios.values()))
+    return {name: over * (common // under) for name, (over, under) in ratios.items()}
+
+
+def slots(weights: Mapping[str | None, int]) -> Iterator[tuple]:
+    """``(source, block, slot, release, deadline)`` for one slot after the other, without end."""
+    total = sum(weights.values())
     names = sorted(weights, key=lambda name: (name is None, name))
+    parts = [weights[name] for name in names]
     waiting = [(0, rank, 0) for rank in range(len(names))]  # (release, source, block)
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int, int]] = []  # (deadline, source, block, release)
-    rows = []
-    for slot in range(period):
+    for slot in itertools.count():
         while waiting and waiting[0][0] <= slot:
             release, rank, block = heapq.heappop(waiting)
-            deadline = -(-(block + 1) * period // weights[names[rank]])
-            heapq.heappush(ready, (deadline, rank, block, release))
+            heapq.heappush(ready, (-(-(block + 1) * total // parts[rank]), rank, block, release))
         deadline, rank, block, release = heapq.heappop(ready)
-        rows.append((names[rank], block, slot, release, deadline))
-        if block + 1 < weights[names[rank]]:
-            heapq.heappush(waiting, ((block + 1) * period // weights[names[rank]], rank, block + 1))
-    return rows
+        yield names[rank], block, slot, release, deadline
+        heapq.heappush(waiting, ((block + 1) * total // parts[rank], rank, block + 1))
+
+
+def schedule(weights: Mapping[str | None, int]) -> list[tuple]:
+    """The slots of one period, the sum of the weights, after which they repeat."""
+    return list(itertools.islice(slots(weights), sum(weights.values())))
+
+
+def until_used(weights: Mapping[str | None, int], blocks: Mapping[str | None, int]) -> Iterator[tuple]:
+    """The slots until every source has had all its blocks once."""
+    left = len(blocks)
+    for row in slots(weights) if left else ():
+        yield row
+        left -= row[1] + 1 == blocks[row[0]]
+        if not left:
+            return
 
 
 def tempered(sizes: Mapping[str | None, int], temper: float = TEMPER) -> dict[str | None, float]:
@@ -110,10 +140,45 @@ def _starts(rows: DataFrame, slices: int) -> DataFrame:
     )
 
 
+def _timetable(
+    totals: DataFrame,
+    shares: Mapping[str | None, float] | None,
+    period: int | None,
+    block_chars: int,
+    temper: float,
+) -> DataFrame:
+    """``t_source``, ``t_block`` within the source, ``epoch``, ``block``, ``slot``, ``release``, ``deadline``."""
+    names = ["t_source", "t_block", "epoch", "block", "slot", "release", "deadline"]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: dict[str | None, int] = {}
+        for batch in batches:
+            sizes.update(zip(*(column.to_pylist() for column in batch.columns)))
+        blocks = {name: -(-size // block_chars) for name, size in sizes.items()}
+        if shares is not None:
+            wanted = {name: shares[name] for name in sizes}
+        elif period is not None:
+            wanted = tempered(sizes, temper)
+        else:
+            aims = tempered(sizes, temper)
+            wanted = {name: aims[name] * blocks[name] / sizes[name] for name in sizes}
+        weights = exact_weights(wanted) if period is None or not sizes else whole_weights(wanted, period)
+        rows = until_used(weights, blocks)
+        while chunk := list(itertools.islice(rows, CHUNK)):
+            source, block, *times = zip(*chunk)
+            epoch, within = zip(*(divmod(n, blocks[name]) for name, n in zip(source, block)))
+            columns = [pa.array(source, pa.string())]
+            columns += [pa.array(column, pa.int64()) for column in (within, epoch, block, *times)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    types = "t_source string, " + ", ".join(f"{name} long" for name in names[1:])
+    return totals.repartition(1).mapInArrow(build, types)
+
+
 def mix(
     docs: DataFrame,
     shares: Mapping[str | None, float] | None = None,
-    period: int = PERIOD,
+    period: int | None = None,
     block_chars: int = BLOCK_CHARS,
     temper: float = TEMPER,
     slice_rows: int = SLICE_ROWS,
@@ -121,59 +186,19 @@ def mix(
     """``doc_id``, ``source``, ``epoch``, ``block``, ``slot``, ``release``, ``deadline``, ``start``, ``order``.
 
     A row for each use of a document; ``slot`` and ``start`` give its place in the mix. ``shares`` names
-    the target of every source, by default the tempered sizes.
+    the target of every source in slots, by default from the tempered sizes. Only with a ``period`` are the
+    targets rounded to whole parts of it; it must have a slot for every source.
     """
-    spark = docs.sparkSession
     rows = materialize(_measured(docs), "mixing")
-    totals = rows.groupBy("source").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
-    # More sources than slots in a period can not be scheduled, so this is all that can arrive.
-    sources = totals.limit(period + 1).collect()
-    sizes = {row.source: row.chars for row in sources}
-    wanted = tempered(sizes, temper) if shares is None else {name: shares[name] for name in sizes}
-    weights = whole_weights(wanted, period) if sizes else {}
-    timetable = schedule(weights)
-    slot_of = {(source, block): slot for source, block, slot, _, _ in timetable}
-    blocks = {name: -(-size // block_chars) for name, size in sizes.items()}
-
-    def last_slot(name: str | None) -> int:
-        cycle, block = divmod(blocks[name] - 1, weights[name])
-        return cycle * period + slot_of[name, block]
-
-    end = max((last_slot(name) for name in blocks), default=-1) + 1
-    # At most a row for each slot of the period.
-    epochs = {name: -(-(end * weights[name] // period + 1) // blocks[name]) for name in blocks}
-    table = spark.createDataFrame(
-        [
-            (source, block, slot, release, deadline, weights[source], blocks[source], epochs[source])
-            for source, block, slot, release, deadline in timetable
-        ],
-        "t_source string, t_block long, t_slot long, t_release long, t_deadline long,"
-        " weight long, blocks long, epochs long",
-    )
-    per_source = table.where("t_block = 0").select(
-        F.col("t_source").alias("s_source"), "weight", "blocks", "epochs"
-    )
-    n_rows = sum(row.n for row in sources)
-    starts = _starts(rows, -(-n_rows // slice_rows))
-    used = (
-        starts.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("s_source")))
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)))
-        .withColumn(
-            "block", F.col("epoch") * F.col("blocks") + F.floor(F.col("start") / F.lit(block_chars))
-        )
-        .withColumn("in_period", F.pmod("block", "weight"))
-        .select("doc_id", "source", "order", "epoch", "block", "in_period", "start")
-    )
-    turn = F.floor((F.col("block") - F.col("in_period")) / F.col("weight")).cast("long") * period
-    found = (F.col("in_period") == F.col("t_block")) & F.col("source").eqNullSafe(F.col("t_source"))
-    placed = used.join(F.broadcast(table), found).select(
-        "doc_id", "source", "epoch", "block",
-        (turn + F.col("t_slot")).alias("slot"),
-        (turn + F.col("t_release")).alias("release"),
-        (turn + F.col("t_deadline")).alias("deadline"),
-        "start", "order",
+    totals = rows.groupBy("source").agg(F.sum("chars").alias("chars"))
+    # A slot is a row for many characters, and AQE broadcasts the table where it is small.
+    table = _timetable(totals, shares, period, block_chars, temper)
+    starts = _starts(rows, -(-rows.count() // slice_rows))
+    starts = starts.withColumn("in_source", F.floor(F.col("start") / F.lit(block_chars)))
+    found = (F.col("in_source") == F.col("t_block")) & F.col("source").eqNullSafe(F.col("t_source"))
+    return starts.join(table, found).select(
+        "doc_id", "source", "epoch", "block", "slot", "release", "deadline", "start", "order"
     )
-    return placed.where(F.col("slot") < end)
 
 
 def in_order(docs: DataFrame, mixed: DataFrame) -> DataFrame:

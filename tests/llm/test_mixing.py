@@ -95,6 +95,38 @@ def test_equals_stepping_through_the_slots(spark, shares):
     assert known == sorted(known)
 
 
+def deviations(rows, share):
+    """The largest distance of each source from its share of the slots so far; one source a slot."""
+    given, worst = dict.fromkeys(share, 0), dict.fromkeys(share, 0.0)
+    for slot, source in enumerate(rows):
+        given[source] += 1
+        for name, count in given.items():
+            worst[name] = max(worst[name], abs(count - (slot + 1) * share[name]))
+    return worst
+
+
+def test_shares_far_below_a_thousandth_hold_over_many_slots(spark):
+    rows = [(k, "x" * 10, "big") for k in range(9000)] + [(k, "y" * 10, "mid") for k in range(9000, 10_000)]
+    rows += [(20_000, "z" * 10, "rare"), (20_001, "z" * 10, None)]
+    frame = spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA)
+    shares = {"big": 0.9 - 2e-4 - 1 / 3000, "mid": 0.1 + 1 / 3000, "rare": 1e-4, None: 1e-4}
+    found = sorted(m.mix(frame, shares, block_chars=10).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in found] == list(range(len(found)))
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    assert max(deviations([r.source for r in found], shares).values()) < 1
+    assert {r.doc_id for r in found} == {r[0] for r in rows}
+
+
+def test_a_small_document_comes_up_as_often_as_its_share_says(spark):
+    rows = [(k, "x" * 100, "big") for k in range(8000)] + [(9000, "z" * 5, "small")]
+    frame = spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA)
+    used = {True: 0, False: 0}
+    for row in m.mix(frame, block_chars=20).collect():
+        used[row.source == "small"] += 1
+    # Tempered sizes ask for (800,000 / 5) ** 0.1 = 3.3 uses for each of the other source.
+    assert used[False] == 8000 and 3 <= used[True] <= 4
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert m.mix(frame).collect() == []
