@@ -127,6 +127,15 @@ def test_a_small_document_comes_up_as_often_as_its_share_says(spark):
     assert used[False] == 8000 and 3 <= used[True] <= 4
 
 
+def test_more_than_a_thousand_sources(spark):
+    rows = [(k, "x" * (1 + k % 7), f"host{k % 1300}") for k in range(4000)]
+    frame = spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA)
+    found = m.mix(frame, block_chars=8).collect()
+    assert {r.doc_id for r in found} == {r[0] for r in rows}
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    assert m.in_order(frame, m.mix(frame, block_chars=8)).count() == len(found)
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert m.mix(frame).collect() == []
