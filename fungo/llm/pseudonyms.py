@@ -12,6 +12,12 @@ North American phone numbers (form), IPv4 addresses (bytes), dates from 1900 to
 parts (form). Numbers that fail their check, as order numbers do, stay. Days and months are written with
 two digits.
 
+Where an IBAN or card number and what follows or precedes it after a space read as one value that fails, every
+shorter value between spaces is tried, an IBAN of its country's length first, and other kinds inside. Should
+a new value make a failed one valid, it is permuted once more, so that it can still be turned back;
+only then do equal values differ between texts. Where two replaced values are part of one that failed, turning
+back is not assured.
+
 Null text stays null, empty text empty. Text without such values comes back unchanged. Rows are
 returned as they come, repeated or not; whole texts are read.
 """
@@ -89,13 +95,13 @@ def _refill(template: str, digits: str) -> str:
 Turn = Callable[[str, int, int], int]  # (tweak, size, value) -> value
 
 
-def _card(found: re.Match, turn: Turn) -> str | None:
+def _card(value: str, turn: Turn) -> str | None:
     """All digits but the last are permuted; the last checks again."""
-    digits = re.sub(r"\D", "", found[0])
-    if luhn_sum(digits):
+    digits = re.sub(r"\D", "", value)
+    if len(digits) < 13 or luhn_sum(digits):
         return None
     body = f"{turn('card', 10 ** (len(digits) - 1), int(digits[:-1])):0{len(digits) - 1}d}"
-    return _refill(found[0], f"{body}{-luhn_sum(body + '0') % 10}")
+    return _refill(value, f"{body}{-luhn_sum(body + '0') % 10}")
 
 
 def _iban_check(country: str, account: str) -> int:
@@ -103,9 +109,23 @@ def _iban_check(country: str, account: str) -> int:
     return 98 - int(number) % 97
 
 
-def _iban(found: re.Match, turn: Turn) -> str | None:
+# Characters of an IBAN by country.
+_IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+        32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _iban(value: str, turn: Turn) -> str | None:
     """The digits of the account are permuted, its letters stay, the check digits are made anew."""
-    compact = found[0].replace(" ", "")
+    compact = value.replace(" ", "")
     country, check, account = compact[:2], compact[2:4], compact[4:]
     if not 11 <= len(account) <= 30 or int(check) != _iban_check(country, account):
         return None
@@ -115,7 +135,7 @@ def _iban(found: re.Match, turn: Turn) -> str | None:
     turned = f"{turn(f'iban {country}', 10 ** len(digits), int(digits)):0{len(digits)}d}"
     account = _refill(account, turned)
     following = iter(f"{country}{_iban_check(country, account):02d}{account}")
-    return "".join(char if char == " " else next(following) for char in found[0])
+    return "".join(char if char == " " else next(following) for char in value)
 
 
 def _phone(found: re.Match, turn: Turn) -> str | None:
@@ -190,40 +210,94 @@ def _email(found: re.Match, turn: Turn) -> str | None:
     return "".join(next(following) if char in _ALPHABET_OF else char for char in local) + "@" + domain
 
 
-_WRITE = dict(zip(KINDS, (_iban, _card, _ssn, _phone, _ipv4, _date, _email)))
+_CHECKED = {"iban": _iban, "card": _card}
+_WRITE = {"ssn": _ssn, "phone": _phone, "ipv4": _ipv4, "date": _date, "email": _email}
 
 # One scan finds every kind. The sides keep out longer numbers, versions and identifiers.
-_FIND = re.compile(
-    r"(?<![0-9A-Za-z_])(?<![0-9][-/.])(?:"
-    r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![0-9A-Za-z_])"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z_]|-[0-9])"
+_SIDE = r"(?<![0-9A-Za-z_])(?<![0-9][-/.])"
+_IBAN = r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![0-9A-Za-z_])"
+_CARD = r"(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9A-Za-z_]|-[0-9])"
+_NUMBERS = (
+    r"(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z_]|-[0-9])"
     r"|(?P<phone>(?P<country>\+?1[ .-]?)?(?P<number>(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}))"
     r"(?![0-9A-Za-z_]|-[0-9])"
-    r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9A-Za-z_]|-[0-9])"
-    r"|(?P<date>(?P<a>[0-9]{1,4})(?P<mark>[-/.])(?P<b>[0-9]{1,2})(?P=mark)(?P<c>[0-9]{1,4}))"
+)
+_OTHERS = (
+    r"(?P<date>(?P<a>[0-9]{1,4})(?P<mark>[-/.])(?P<b>[0-9]{1,2})(?P=mark)(?P<c>[0-9]{1,4}))"
     r"(?![0-9A-Za-z_]|[-/.][0-9])"
     r"|(?P<ipv4>(?:[0-9]{1,3}\.){3}[0-9]{1,3})(?![0-9A-Za-z_]|\.[0-9])"
     r"|(?P<email>[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})(?![0-9A-Za-z_])"
-    r")",
 )
+_FIND = re.compile(f"{_SIDE}(?:{_IBAN}|{_NUMBERS}|{_CARD}|{_OTHERS})")
+# What else may begin where an IBAN or a card number fails.
+_FIND_OTHER = re.compile(f"{_SIDE}(?:{_OTHERS})")
 # Texts without an at sign or two neighbouring digits hold nothing to replace.
 _WORTH = re.compile(r"@|[0-9][0-9]|[0-9][/.-][0-9]").search
 
 
+def _same(tweak: str, size: int, value: int) -> int:
+    return value
+
+
+def _ends(kind: str, value: str) -> list[int]:
+    """Lengths at which a value that may be followed by others can end: the likeliest first."""
+    ends = [len(value), *(at for at in range(len(value) - 1, 0, -1) if value[at] == " ")]
+    if kind == "iban":
+        length = _IBAN_LENGTHS.get(value[:2])
+        ends.sort(key=lambda end: end - value.count(" ", 0, end) != length)
+    return ends
+
+
 def rewrite(text: str, turn: Turn, counts: dict[str, int]) -> str:
     """``text`` with every valid value turned; adds to ``counts`` by kind."""
     if not _WORTH(text):
         return text
-
-    def one(found: re.Match) -> str:
+    parts: list[str] = []
+    done = at = 0
+    failed: list[tuple[str, int, int]] = []  # (kind, start, end) of checks that may read what comes next
+
+    def put(kind: str, start: int, end: int, new: str, write: Callable[[str], str]) -> None:
+        nonlocal done, at
+        while any(
+            _CHECKED[other](f"{text[a:start]}{new}{text[end:b]}"[: b - a], _same) for other, a, b in failed
+        ):
+            new = write(new)
+        counts[kind] = counts.get(kind, 0) + 1
+        parts.extend((text[done:start], new))
+        done = at = end
+
+    def checked(kind: str, start: int, value: str) -> bool:
+        write = _CHECKED[kind]
+        for length in _ends(kind, value):
+            end = start + length
+            new = write(text[start:end], turn)
+            if new is None:
+                failed.append((kind, start, end))
+                continue
+            put(kind, start, end, new, lambda value: write(value, turn))
+            return True
+        return False
+
+    while found := _FIND.search(text, at):
         kind = next(kind for kind in KINDS if found[kind] is not None)
+        start, end = found.span()
+        failed = [span for span in failed if span[2] > start]
+        if kind in _CHECKED:
+            if checked(kind, start, found[0]):
+                continue
+            # The next value may begin behind the next space.
+            at = text.find(" ", start, end) + 1 or end
+            found = _FIND_OTHER.match(text, start)
+            if found is None:
+                continue
+            kind, end = next(kind for kind in KINDS if found.groupdict().get(kind) is not None), found.end()
         new = _WRITE[kind](found, turn)
-        if new is None:
-            return found[0]
-        counts[kind] = counts.get(kind, 0) + 1
-        return new
-
-    return _FIND.sub(one, text)
+        if new is not None:
+            put(kind, start, end, new, lambda value, kind=kind: _WRITE[kind](_FIND.fullmatch(value), turn))
+        else:
+            at = max(at, end)
+    parts.append(text[done:])
+    return "".join(parts)
 
 
 class Turner:

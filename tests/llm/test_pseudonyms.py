@@ -49,6 +49,32 @@ def test_numbers_that_fail_their_check_stay():
         assert turned(f"see {value} here") == (f"see {value} here", {}), value
 
 
+BESIDE = [
+    ("DE89370400440532013000", "", " BIC COBADEFF", "iban"),
+    ("DE89 3704 0044 0532 0130 00", "", " 12 BIC", "iban"),
+    ("GB82 WEST 1234 5698 7654 32", "IBAN ", " UNTIL 2030", "iban"),
+    ("4111 1111 1111 1111", "", " 123", "card"),
+    ("4111111111111111", "12 ", "", "card"),
+    ("4111111111111111", "12 ", " 7", "card"),
+    ("4111 1111 1111 1111", "1234 ", " 9", "card"),
+    ("5500-0000-0000-0004", "12 ", " 123", "card"),
+    ("4111 1111 1111 1111", "AB12 ", "", "card"),
+    ("2021-02-28", "", " 10 15 31", "date"),
+    ("desleleenpa@example.com", "", "", "email"),
+    ("DE89ABCDEFGHIJKLM@example.com", "", "", "email"),
+]
+
+
+@pytest.mark.parametrize("value, left, right, kind", BESIDE)
+def test_values_beside_words_and_numbers_are_found_and_turn_back(value, left, right, kind):
+    for key in range(40):
+        counts, back = {}, {}
+        new = p.rewrite(left + value + right, p.Turner(b"%d" % key), counts)
+        assert counts == {kind: 1}
+        assert new.startswith(left) and new.endswith(right) and value not in new
+        assert p.rewrite(new, p.Turner(b"%d" % key, True), back) == left + value + right
+
+
 def test_equal_numbers_stay_linked_across_forms():
     digits = [re.sub(r"\D", "", turned(v)[0])[-10:] for v in ("+1 (212) 555-0123", "212-555-0123")]
     assert digits[0] == digits[1]
