@@ -12,7 +12,8 @@ thing sent, so it neither shuffles nor depends on how many documents there are.
 
 A text that is null or has no letter is ``und`` with score 0. A null ``lang`` is no label. A null
 ``doc_id`` is never held out and never learned from. With one learned language every text with a letter
-has it; with none, all are ``und``. Repeated rows are judged each; empty table: empty result.
+has it; with none, all are ``und``. More than 200 different labels (``MOST_LANGUAGES``) raise ``ValueError``.
+Repeated rows are judged each; empty table: empty result.
 """
 
 from __future__ import annotations
