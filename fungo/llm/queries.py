@@ -14,13 +14,14 @@ from fungo.llm import (
     language_id,
     mixing,
     packing,
+    periodic_runs,
     pseudonyms,
     sharding,
     simhash_dedup,
     substring_dedup,
     token_counts,
 )
-from fungo.llm.common import table
+from fungo.llm.common import table, words_of
 from fungo.llm.texts import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +95,41 @@ def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with a periodic tail in the texts whose id's checksum ends in 0, as the query's contract says."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    words = words_of(F.col("text"))
+    n = F.size("words").cast("long")
+    start = F.floor(F.col("checksum") / 10) % n
+    period = 1 + F.floor((n - F.col("start")) / (3 + F.floor(F.col("checksum") / 10) % 8))
+    tail = F.transform(
+        F.sequence(F.col("start"), n - 1),
+        lambda i: F.get("words", (F.col("start") + (i - F.col("start")) % F.col("period")).cast("int")),
+    )
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("start").cast("int")), tail), " ")
+    chosen = docs.select("doc_id", "text", checksum.alias("checksum"))
+    chosen = chosen.withColumn("words", F.when(F.col("checksum") % 10 == 0, words))
+    chosen = chosen.withColumn("start", F.when(n > 0, start)).withColumn("period", F.when(n > 0, period))
+    return chosen.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"]))
+    best = F.array_max(ranked)
+    length, start, period = best["length"], -best["col2"], -best["col3"]
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
