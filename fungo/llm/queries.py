@@ -12,6 +12,7 @@ from fungo.llm import (
     hamming_search,
     host_rules,
     language_id,
+    line_dedup,
     mixing,
     packing,
     periodic_runs,
@@ -20,6 +21,7 @@ from fungo.llm import (
     simhash_dedup,
     substring_dedup,
     token_counts,
+    whitening,
 )
 from fungo.llm.common import table, words_of
 from fungo.llm.texts import ORACLE  # noqa: F401
@@ -130,6 +132,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
