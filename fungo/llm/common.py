@@ -26,3 +26,15 @@ def words_of(text: Column) -> Column:
 def word_lists(texts) -> list[list[bytes]]:
     """The words of each text of an Arrow column as UTF-8 bytes, none for a null."""
     return [text.encode("utf-8").split() if text else [] for text in texts.to_pylist()]
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like those wanted that ``df`` does not have, whatever the case of its own."""
+    taken = {name.lower() for name in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

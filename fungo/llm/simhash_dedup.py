@@ -7,8 +7,14 @@ fewer words have one run, texts without words the fingerprint zero. Distinct fin
 distance leave it. Documents with equal fingerprints never meet as pairs: a group of copies is one
 fingerprint, whatever its size. Hot keys are split by the sort-merge join.
 
+A row is known by its id and ``part``, a hash of its text. Of each group ``survivors`` keeps one: the least id, no
+id being last, and of several texts under that id the one with the least hash. Only rows alike in both
+count as one; another text under the same id is judged in its own group.
+
 Null text: no words. Null ``doc_id``: never the least of a group while another id is there; a group without
-any id has a null ``component_id``. Repeated rows are returned each. Empty table: empty result.
+any id has a null ``component_id``. Repeated rows are returned each. Empty table: empty result. Columns of
+other names do not matter: only ``doc_id`` and ``text`` are read, and names that ``survivors`` adds for its join
+are chosen among those not taken.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fungo.llm import golay
+from fungo.llm.common import free_names
 from fungo.llm.components import components
 from fungo.session import materialize
 
@@ -47,16 +54,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp``: the fingerprint's 64 bits as a long."""
+    """``doc_id``, ``part`` and ``fp``: the fingerprint's 64 bits as a long."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), shingle) for text in batch.column(1)]
+            found = [fingerprint(text.as_py(), shingle) for text in batch.column(2)]
             bits = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], ["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(1), pa.array(bits)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "fp"])
+
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _part().alias("part"), "text")
+    return chosen.mapInArrow(build, "doc_id long, part long, fp long")
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.mapInArrow(build, "doc_id long, fp long")
+
+def _part() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64("text")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +140,10 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` for every row of ``docs``."""
+    """``doc_id``, ``part``, ``fp``, ``root`` and ``component_id`` for every row of ``docs``.
+
+    ``root`` is the least fingerprint of the group, ``component_id`` its least id.
+    """
     marked = materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(links(nodes), "a", "b")
@@ -136,20 +152,19 @@ def group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     members = rooted.select(F.col("fp").alias("member"), "root").join(named, "root")
-    return marked.join(
-        members.select("member", "component_id"), F.col("fp") == F.col("member"), "left"
-    ).select("doc_id", "fp", "component_id")
+    return marked.join(members, F.col("fp") == F.col("member"), "left").select(
+        "doc_id", "part", "fp", "root", "component_id"
+    )
 
 
 def survivors(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """One document of each group: the one with the least id, one row of it. Columns as in ``docs``.
-
-    A row without an id can not be named as a copy: it stays, once for each text.
-    """
-    kept = groups.where(F.col("doc_id") == F.col("component_id"))
-    unnamed = docs.sparkSession.createDataFrame([(None,)], "_kept_id long")
-    chosen = kept.select(F.col("doc_id").alias("_kept_id")).distinct().union(unnamed)
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id"))
-    found = docs.join(chosen, match, "left_semi")
-    found = found.withColumn("_text", F.when(F.col("doc_id").isNull(), F.col("text")))
-    return found.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    """One row of each group, with the columns of ``docs``; ``groups`` is theirs by ``group``."""
+    least = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = least.groupBy("root").agg(F.min("component_id").alias("least"), F.min("part").alias("least_part"))
+    own_id, own_part, kept_id, kept_part = free_names(docs, "own_id", "own_part", "kept_id", "kept_part")
+    # Two groups never share an id and a text, so a row is found once.
+    chosen = chosen.select(F.col("least").alias(kept_id), F.col("least_part").alias(kept_part))
+    marked = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_part: _part()})
+    match = F.col(own_id).eqNullSafe(F.col(kept_id)) & (F.col(own_part) == F.col(kept_part))
+    found = marked.join(chosen, match, "left_semi")
+    return found.dropDuplicates([own_id, own_part]).select(*docs.columns)

@@ -110,20 +110,54 @@ def test_groups_equal_brute_force(spark):
     rows += [rows[3], (None, base[4], None, None), (None, "nobody else has these words here", None, 1)]
     frame = spark.createDataFrame(rows, SCHEMA)
     groups = simhash_dedup.group(frame)
+    found = groups.select("doc_id", "fp", "component_id")
     expected = [(row[0], plain_fingerprint(row[1])) for row in rows]
     full = [
         (doc, value - (1 << 64) if value >> 63 else value, component)
         for (doc, value), component in zip(expected, plain_groups(expected))
     ]
     key = lambda row: tuple((v is None, v) for v in row)
-    assert sorted(map(tuple, groups.collect()), key=key) == sorted(full, key=key)
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(full, key=key)
 
     kept = simhash_dedup.survivors(frame, groups).collect()
     assert set(kept[0].asDict()) == {"doc_id", "text", "lead", "a"}
     ids = [row.doc_id for row in kept if row.doc_id is not None]
     assert len(ids) == len(set(ids))
     assert set(ids) == {component for _, _, component in full if component is not None}
-    assert len(kept) - len(ids) == 2
+    # The copy of base[4] without an id goes with its group, the text of its own stays.
+    assert len(kept) - len(ids) == 1
+
+
+def kept_rows(spark, rows):
+    frame = spark.createDataFrame([(*row, 1, 2) for row in rows], "doc_id long, text string, own_id int, KEPT_PART int")
+    kept = simhash_dedup.survivors(frame, simhash_dedup.group(frame))
+    assert kept.columns == ["doc_id", "text", "own_id", "KEPT_PART"]
+    return sorted(((row.doc_id, row.text) for row in kept.collect()), key=str)
+
+
+def distinct_texts(n):
+    rng = random.Random(17)
+    return [" ".join(f"{k}v{rng.randrange(10**6)}" for _ in range(150)) for k in range(n)]
+
+
+def near(text):
+    return text + " tail"
+
+
+def test_no_text_is_lost_under_a_shared_id(spark):
+    a, b, c = distinct_texts(3)
+    assert simhash_dedup.fingerprint(a) != simhash_dedup.fingerprint(near(a))
+    assert kept_rows(spark, [(1, a), (1, b), (2, c)]) == sorted([(1, a), (1, b), (2, c)], key=str)
+    assert kept_rows(spark, [(1, a), (5, near(a)), (5, b)]) == sorted([(1, a), (5, b)], key=str)
+    assert kept_rows(spark, [(4, a), (4, near(a)), (4, a), (4, b)])[-1] in ((4, b), (4, a), (4, near(a)))
+    assert len(kept_rows(spark, [(4, a), (4, near(a)), (4, a), (4, b)])) == 2
+
+
+def test_near_copies_without_an_id_are_one(spark):
+    a, b, c = distinct_texts(3)
+    kept = kept_rows(spark, [(None, a), (None, near(a)), (None, a), (None, b), (7, near(b)), (8, c)])
+    assert [row for row in kept if row[0] is not None] == [(7, near(b)), (8, c)]
+    assert len(kept) == 3 and kept[-1][1] in (a, near(a)) and kept[-1][0] is None
 
 
 def test_empty_table(spark):
