@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -136,6 +137,40 @@ def test_more_than_a_thousand_sources(spark):
     assert m.in_order(frame, m.mix(frame, block_chars=8)).count() == len(found)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_snapshots_continue_the_same_slots(seed):
+    rng = random.Random(seed)
+    weights = m.exact_weights({k and f"s{k}" or None: rng.random() + 0.05 for k in range(rng.randint(1, 12))})
+    blocks = {name: rng.randint(1, 40) for name in weights}
+    whole = list(m.until_used(weights, blocks))
+    for every in (1, 7, 1000, len(whole)):
+        parts = []
+        for first, n, following in m.snapshots(weights, blocks, every):
+            assert n <= every
+            parts += list(itertools.islice(m.slots(weights, first, following), n))
+        assert parts == whole
+
+
+def test_many_snapshots_give_the_same_mix_without_a_broadcast(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(k, "x" * rng.randint(0, 60), rng.choice(["hot", "hot", "a", None])) for k in range(500)]
+    frame = spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA)
+    whole = m.mix(frame, block_chars=20)
+    monkeypatch.setattr(m, "SNAPSHOT_SLOTS_A_SOURCE", 1)
+    parts = m.mix(frame, block_chars=20, snapshot_slots=13)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    tree = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in tree and "Broadcast" not in tree.split("SortMergeJoin")[0]
+
+
+def test_clashing_names(spark):
+    rows = [(k, "x" * 30, "a", k) for k in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, Key int")
+    frame = frame.selectExpr("*", "1 as slot", "2 as start", "3 as `order`", "4 as order_")
+    found = m.in_order(frame, m.mix(frame, block_chars=50))
+    assert found.columns == frame.columns and {r.Key for r in found.collect()} == set(range(20))
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert m.mix(frame).collect() == []
