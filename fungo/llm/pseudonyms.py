@@ -9,8 +9,9 @@ repeated anywhere.
 
 Kinds: IBAN (check digits), card numbers of 13 to 19 digits (Luhn), US social security numbers (ranges),
 North American phone numbers (form), IPv4 addresses (bytes), dates from 1900 to 2099 (calendar), e-mail local
-parts (form). Numbers that fail their check, as order numbers do, stay. Days and months are written with
-two digits.
+parts (form). Numbers that fail their check, as order numbers do, stay. A date that writes day or month with
+one digit is permuted among the dates written like it, so it is linked to those, not to the same day
+with two digits. A time may follow a date behind ``T``.
 
 Where an IBAN or card number and what follows or precedes it after a space read as one value that fails, every
 shorter value between spaces is tried, an IBAN of its country's length first, and other kinds inside. Should
@@ -24,7 +25,9 @@ returned as they come, repeated or not; whole texts are read.
 
 from __future__ import annotations
 
+import bisect
 import datetime
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -168,19 +171,39 @@ FIRST_DAY = datetime.date(1900, 1, 1)
 DAYS = (datetime.date(2100, 1, 1) - FIRST_DAY).days
 
 
+@functools.lru_cache(maxsize=16)
+def _days_written(month: str, day: str) -> list[int]:
+    """Ranks of the days whose month and day have these forms: ``3``, ``03`` or ``12``."""
+    held = {"3": range(1, 10), "03": range(1, 10), "12": range(10, 32)}
+    dates = (FIRST_DAY + datetime.timedelta(days=rank) for rank in range(DAYS))
+    return [rank for rank, date in enumerate(dates) if date.month in held[month] and date.day in held[day]]
+
+
+def _form(part: str) -> str:
+    return "3" if len(part) == 1 else "03" if part[0] == "0" else "12"
+
+
 def _date(found: re.Match, turn: Turn) -> str | None:
     """A calendar day from 1900 to 2099. Year first, else day first after points, month first after slashes."""
     a, mark, b, c = found["a"], found["mark"], found["b"], found["c"]
     year_first = len(a) == 4
     year, month, day = (a, b, c) if year_first else (c, b, a) if mark == "." else (c, a, b)
+    if len(month) > 2 or len(day) > 2:
+        return None
     try:
         rank = (datetime.date(int(year), int(month), int(day)) - FIRST_DAY).days
     except ValueError:
         return None
     if not 0 <= rank < DAYS:
         return None
-    new = FIRST_DAY + datetime.timedelta(days=turn("date", DAYS, rank))
-    year, month, day = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
+    if len(month) == len(day) == 2:
+        rank = turn("date", DAYS, rank)
+    else:
+        forms = _form(month), _form(day)
+        alike = _days_written(*forms)
+        rank = alike[turn(f"date {forms[0]} {forms[1]}", len(alike), bisect.bisect_left(alike, rank))]
+    new = FIRST_DAY + datetime.timedelta(days=rank)
+    year, month, day = f"{new.year:04d}", f"{new.month:0{len(month)}d}", f"{new.day:0{len(day)}d}"
     parts = (year, month, day) if year_first else (day, month, year) if mark == "." else (month, day, year)
     return mark.join(parts)
 
@@ -224,7 +247,7 @@ _NUMBERS = (
 )
 _OTHERS = (
     r"(?P<date>(?P<a>[0-9]{1,4})(?P<mark>[-/.])(?P<b>[0-9]{1,2})(?P=mark)(?P<c>[0-9]{1,4}))"
-    r"(?![0-9A-Za-z_]|[-/.][0-9])"
+    r"(?![0-9A-SU-Za-z_]|T(?![0-9]{2}:)|[-/.][0-9])"
     r"|(?P<ipv4>(?:[0-9]{1,3}\.){3}[0-9]{1,3})(?![0-9A-Za-z_]|\.[0-9])"
     r"|(?P<email>[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})(?![0-9A-Za-z_])"
 )

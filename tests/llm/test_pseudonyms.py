@@ -75,6 +75,43 @@ def test_values_beside_words_and_numbers_are_found_and_turn_back(value, left, ri
         assert p.rewrite(new, p.Turner(b"%d" % key, True), back) == left + value + right
 
 
+@pytest.mark.parametrize(
+    "value", ["3/4/2024", "3/14/2024", "12/5/2024", "03/4/2024", "3/04/2024", "2024-1-5", "5.1.2024", "31.1.2024"]
+)
+def test_dates_with_one_digit_keep_their_form_and_turn_back(value):
+    form = lambda text: [(len(part), part[0] == "0") for part in re.split("[-/.]", text)]
+    for key in range(60):
+        turner, counts = p.Turner(b"%d" % key), {}
+        new = p.rewrite(f"on {value}, at", turner, counts)[3:-4]
+        assert counts == {"date": 1} and form(new) == form(value)
+        assert p.rewrite(new, p.Turner(b"%d" % key, True), {}) == value
+
+
+def test_a_time_may_follow_a_date():
+    for rest in ("T10:00:00", "T10:00:00Z", "T23:59"):
+        new, counts = turned(f"2024-02-29{rest}")
+        assert counts == {"date": 1} and new.endswith(rest) and not new.startswith("2024-02-29")
+        assert turned(new, back=True)[0] == f"2024-02-29{rest}"
+    for left in ("2024-02-29Tx", "2024-02-29T", "2024-02-291", "012/01/2024", "1/2/24"):
+        assert turned(left) == (left, {})
+
+
+def test_every_value_is_found_at_any_place(spark):
+    """Each value, among random words and signs and others, is turned as it is by itself."""
+    rng = random.Random(8)
+    values = [value for group in VALUES.values() for value in group]
+    rows, expected = [], []
+    for k in range(400):
+        chosen = [rng.choice(values) for _ in range(rng.randint(0, 4))]
+        words = [rng.choice(["so", "é", "und.", "(x)", "*", "\n"]) for _ in range(len(chosen) + 1)]
+        text = "".join(f"{word} {value}, " for word, value in zip(words, chosen)) + words[-1]
+        rows.append((k, text, "x", 1))
+        plain = "".join(f"{word} {turned(value)[0]}, " for word, value in zip(words, chosen)) + words[-1]
+        expected.append(plain)
+    found = p.pseudonymize(spark.createDataFrame(rows, SCHEMA), KEY).collect()
+    assert [row.text for row in sorted(found)] == expected
+
+
 def test_equal_numbers_stay_linked_across_forms():
     digits = [re.sub(r"\D", "", turned(v)[0])[-10:] for v in ("+1 (212) 555-0123", "212-555-0123")]
     assert digits[0] == digits[1]
