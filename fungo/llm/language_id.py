@@ -29,6 +29,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fungo.llm.common import free_names
 from fungo.session import materialize
 
 BITS = 11
@@ -171,7 +172,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     kept = [name for name in docs.columns if name not in ("lang_pred", "score")]
     at, last = kept.index("text"), len(kept)
-    marked = docs.select(*kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    (letter,) = free_names(docs, "letter")
+    marked = docs.select(*kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letter))
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
     return marked.mapInArrow(judge, schema)
 

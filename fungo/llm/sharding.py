@@ -7,7 +7,8 @@ has as many rows as the prime says, whatever the data: that bounds the broadcast
 probe of it without a shuffle, so a frequent key costs nothing extra.
 
 A null key has a place like any other value. Rows with equal keys share a shard. The input's own columns
-pass through; the two new ones replace columns of the same name.
+pass through; the two new ones replace columns of the same name, and names needed in between are chosen
+among those not taken.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fungo.llm.common import free_names
+
 SLOTS = 65_537
 MOST_SLOTS = 1_000_003
 
@@ -58,9 +61,10 @@ def fill_table(shards: Sequence[str], slots: int = SLOTS) -> list[str]:
 
 def place(df: DataFrame, key: Column, shards: Sequence[str], slots: int = SLOTS) -> DataFrame:
     """``df`` with ``slot`` and ``shard`` for the value of ``key``."""
+    of_slot, of_shard = free_names(df, "of_slot", "of_shard")
     table = df.sparkSession.createDataFrame(
-        list(enumerate(fill_table(shards, slots))), "_slot long, _shard string"
+        list(enumerate(fill_table(shards, slots))), f"{of_slot} long, {of_shard} string"
     )
     keyed = df.withColumn("slot", F.pmod(F.xxhash64(key), F.lit(slots)))
-    found = keyed.drop("shard").join(F.broadcast(table), F.col("slot") == F.col("_slot"), "left")
-    return found.withColumnRenamed("_shard", "shard").drop("_slot")
+    found = keyed.drop("shard").join(F.broadcast(table), F.col("slot") == F.col(of_slot), "left")
+    return found.withColumnRenamed(of_shard, "shard").drop(of_slot)

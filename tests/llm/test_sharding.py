@@ -58,3 +58,12 @@ def test_placement(spark):
         assert row.slot == hashes[row.doc_id] % 101 and row.shard == table[row.slot]
     assert "_extra" in placed[0].asDict()
     assert s.place(frame.limit(0), F.col("doc_id"), NAMES, 101).collect() == []
+
+
+@pytest.mark.parametrize("clash", ["_slot", "_shard", "of_slot", "OF_SHARD", "slot"])
+def test_clashing_names(spark, clash):
+    frame = spark.createDataFrame([(k, f"own {k}") for k in range(20)], f"doc_id long, `{clash}` string")
+    placed = s.place(frame, F.col("doc_id"), NAMES, 101)
+    assert placed.columns == (["doc_id", "slot", "shard"] if clash == "slot" else ["doc_id", clash, "slot", "shard"])
+    if clash != "slot":
+        assert {row[clash] for row in placed.collect()} == {f"own {k}" for k in range(20)}
