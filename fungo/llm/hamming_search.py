@@ -9,8 +9,8 @@ keeps only what the radius covers; a query is done when that holds its k-th neig
 Codes and queries are distinct codes with their least ids, k + 1 at most, so a vector with a third of all
 rows is one code, and a common query is searched once. Rounds are written to the shared folder.
 
-Vectors that are null, hold a null or have not 64 dimensions have no code and are left out; a null id
-likewise. Ties go to the lesser id. Repeated ids with one code count once. A table with fewer than k other
+Vectors that are null, hold a null or a NaN or have not 64 dimensions have no code and are left out; a null
+id likewise. Ties go to the lesser id. Repeated ids with one code count once. A table with fewer than k other
 vectors gives them all. The query itself is not its own neighbour.
 """
 
@@ -36,7 +36,8 @@ FIRST_RADII, STEPWISE_RADIUS = (1, 2, 3), 4
 def sign_code(embedding: Column) -> Column:
     """A bit for each dimension above zero, the first dimension lowest; null unless there are 64."""
     bits = F.transform(
-        embedding, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i))
+        embedding, lambda x, i: F.when(F.isnan(x), None)
+        .when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i))
         .when(x.isNotNull(), F.lit(0).cast("long"))
     )
     code = F.aggregate(bits, F.lit(0).cast("long"), lambda total, bit: total.bitwiseOR(bit))
