@@ -247,16 +247,21 @@ PITCHER_RATES = ", ".join(
         mean("avg_extension_ft", "total_pitches", "avg_extension"),
     )
 )
+BATTER_RATES = ", ".join(
+    (
+        ratio("hard_hit_count", "batted_balls", "hard_hit_rate"),
+        ratio("barrel_count", "batted_balls", "barrel_rate"),
+        mean("avg_exit_velocity_mph", "batted_balls", "avg_exit_velocity"),
+        "max(max_exit_velocity_mph) as max_exit_velocity",
+        mean("avg_launch_angle_deg", "batted_balls", "avg_launch_angle"),
+        mean("avg_xwoba", "plate_appearances", "xwoba"),
+        mean("avg_xba", "at_bats", "xba"),
+        mean("avg_xslg", "at_bats", "xslg"),
+    )
+)
 TABLES["batter_stints"] = f"""
     select batter_id, batter_team, count(distinct game_id) as games, {BATTER_TOTALS},
-        {ratio('hard_hit_count', 'batted_balls', 'hard_hit_rate')},
-        {ratio('barrel_count', 'batted_balls', 'barrel_rate')},
-        {mean('avg_exit_velocity_mph', 'batted_balls', 'avg_exit_velocity')},
-        max(max_exit_velocity_mph) as max_exit_velocity,
-        {mean('avg_launch_angle_deg', 'batted_balls', 'avg_launch_angle')},
-        {mean('avg_xwoba', 'plate_appearances', 'xwoba')},
-        {mean('avg_xba', 'at_bats', 'xba')},
-        {mean('avg_xslg', 'at_bats', 'xslg')}
+        {BATTER_RATES}
     from batter_games group by all"""
 TABLES["pitcher_stints"] = f"""
     select pitcher_id, pitcher_name, pitcher_throws, pitching_team,

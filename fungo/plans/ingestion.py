@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fungo.functions.dates import ns_to_date
-from fungo.operators.game_facts import BATTER_GAME_COLUMNS, batter_games
+from fungo.operators import rollups
+from fungo.operators.game_facts import BATTER_GAME_COLUMNS, batter_games, pitcher_games
 from fungo.schemas import PITCHES
 from fungo.session import fresh_folder
 from fungo.sources import feeds, landing, raw_zone
-from fungo.streaming.incremental import ingest_new_files
+from fungo.sources.loads import Load
+from fungo.plans.stored import sets_of
+from fungo.streaming.incremental import (
+    change_set,
+    ingest_new_loads,
+    on_dates,
+    refresh_mart,
+    write_dates,
+)
+from fungo.streaming.season_totals import SeasonTotals
 
 SELECTED_DATES = (date(2026, 4, 15), date(2026, 6, 10))
 PREVIEWED_DATES = (date(2026, 4, 1), date(2026, 4, 30))
 FIRST_BATCH_UNTIL = date(2026, 6, 30)
 LATE_AT_BATS = 20
+REFRESHED_UNTIL = date(2026, 4, 30)
+WITHDRAWN_DATE = date(2026, 4, 15)
 
 
 def _pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,17 +116,157 @@ def ingest_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """Where a sequence of loads and what is kept up from them lie."""
+
+    zone: str
+    batter_mart: str
+    pitcher_mart: str
+    progress: str
+    batter_totals: SeasonTotals
+    pitcher_totals: SeasonTotals
+    sets: str
+
+
+def new_ingestion(spark: SparkSession) -> Ingested:
+    """A landing zone with both facts and both season totals, all empty."""
+    folder = fresh_folder(spark, "ingested")
+    return Ingested(
+        f"{folder}/zone",
+        f"{folder}/batter-games",
+        f"{folder}/pitcher-games",
+        f"{folder}/progress",
+        SeasonTotals(spark, f"{folder}/batter-season", rollups.BATTER_STINTS),
+        SeasonTotals(spark, f"{folder}/pitcher-season", rollups.PITCHER_STINTS),
+        f"{folder}/sets",
+    )
+
+
+def bring_up_to_date(spark: SparkSession, state: Ingested) -> None:
+    """Take every load published since the last time into the facts, and these into season totals and sets."""
+    sides = (
+        (state.batter_mart, batter_games, state.batter_totals),
+        (state.pitcher_mart, pitcher_games, state.pitcher_totals),
+    )
+    # A date is gone as long as one of them holds it, so a run that stopped half way is completed.
+    tables = [table for mart, _, totals in sides for table in (mart, totals.by_date)] + [state.sets]
+
+    def refresh(new: Sequence[Load], number: int) -> None:
+        changes = change_set(spark, state.zone, tables, new)
+        games = []
+        for mart, build, totals in sides:
+            refresh_mart(spark, state.zone, mart, build, changes)
+            games.append(spark.read.parquet(mart).where(on_dates("game_date", changes.changed)))
+            totals.refresh(games[-1], changes, number)
+        write_dates(sets_of(*games), state.sets, changes)
+
+    ingest_new_loads(spark, state.zone, state.progress, refresh)
+
+
+_LATE_FILES: dict[tuple[str, str], Ingested] = {}
+
+
+def late_files(spark: SparkSession, sf_dir: str) -> Ingested:
+    """Two file drops taken in one after the other, the second with late pitches of games already seen.
+
+    Made once per application and folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LATE_FILES:
+        pitches = _pitches(spark, sf_dir)
+        on_time = F.col("at_bat_number") <= LATE_AT_BATS
+        state = new_ingestion(spark)
+        for drop in (pitches.where(on_time), pitches.where(~on_time)):
+            landing.land_pitches(drop, state.zone)
+            bring_up_to_date(spark, state)
+        _LATE_FILES[key] = state
+    return _LATE_FILES[key]
+
+
 def ingest_incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batter facts after two file drops, the second with late pitches of games already seen."""
+    """Batter facts after the second file drop."""
+    return spark.read.parquet(late_files(spark, sf_dir).batter_mart).select(*BATTER_GAME_COLUMNS)
+
+
+def ingest_refresh_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batter games after a full refresh that delivers fewer dates, and none of one date between."""
+    pitches = _pitches(spark, sf_dir)
+    day = ns_to_date(F.col("game_date"))
+    state = new_ingestion(spark)
+    landing.land_pitches(pitches.where(day <= F.lit(REFRESHED_UNTIL + timedelta(days=14))), state.zone)
+    bring_up_to_date(spark, state)
+    kept = (day <= F.lit(REFRESHED_UNTIL)) & (day != F.lit(WITHDRAWN_DATE))
+    landing.land_pitches(pitches.where(kept), state.zone, "full-refresh")
+    bring_up_to_date(spark, state)
+    return spark.read.parquet(state.batter_mart).select(*BATTER_GAME_COLUMNS)
+
+
+def ingest_refresh_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batter season lines after a refresh took dates away and a late file brought one of them back."""
     pitches = _pitches(spark, sf_dir)
-    on_time = F.col("at_bat_number") <= LATE_AT_BATS
-    drop_zone = fresh_folder(spark, "drops")
-    mart = fresh_folder(spark, "incremental-mart")
-    progress = fresh_folder(spark, "progress")
-    for drop in (pitches.where(on_time), pitches.where(~on_time)):
-        landing.land_pitches(drop, drop_zone)
-        ingest_new_files(spark, drop_zone, mart, progress, batter_games)
-    return spark.read.parquet(mart).select(*BATTER_GAME_COLUMNS)
+    day = ns_to_date(F.col("game_date"))
+    state = new_ingestion(spark)
+    first = pitches.where(day <= F.lit(REFRESHED_UNTIL))
+    withdrawn = day == F.lit(WITHDRAWN_DATE)
+    landing.land_pitches(first, state.zone)
+    bring_up_to_date(spark, state)
+    kept = first.where(~withdrawn & (day > F.lit(WITHDRAWN_DATE - timedelta(days=7))))
+    landing.land_pitches(kept, state.zone, "full-refresh")
+    bring_up_to_date(spark, state)
+    landing.land_pitches(first.where(withdrawn), state.zone)
+    bring_up_to_date(spark, state)
+    return state.batter_totals.lines()
+
+
+def _months(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
+    """The pitches of some calendar months of the season."""
+    day = ns_to_date(F.col("game_date"))
+    return _pitches(spark, sf_dir).where(F.month(day).between(first, last))
+
+
+def _merged_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[landing.LoadAudit]]:
+    """April and May appended, May and June merged twice."""
+    path = fresh_folder(spark, "merge")
+    loads = ((4, 5, "append"), (5, 6, "merge"), (5, 6, "merge"))
+    audits = [
+        landing.land_pitches(_months(spark, sf_dir, first, last), path, mode)
+        for first, last, mode in loads
+    ]
+    return path, audits
+
+
+def ingest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and their values per date after ranges that overlap and repeat were merged."""
+    path, _ = _merged_loads(spark, sf_dir)
+    return _rows_per_date(landing.read_landed(spark, path), "merge")
+
+
+def ingest_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of these loads took in and added."""
+    _, audits = _merged_loads(spark, sf_dir)
+    rows = [
+        (load, audit.mode, audit.rows_extracted, audit.rows_loaded)
+        for load, audit in enumerate(audits, start=1)
+    ]
+    return spark.createDataFrame(
+        rows, "load bigint, mode string, rows_extracted bigint, rows_loaded bigint"
+    )
+
+
+def ingest_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column delivered as whole number, as fraction, as text and not at all, read back as one."""
+    path = fresh_folder(spark, "drift")
+    delivered = (
+        F.col("pitch_number").cast("int"), F.col("pitch_number") / 2, F.col("home_team"), None
+    )
+    for month, extra in enumerate(delivered, start=4):
+        pitches = _months(spark, sf_dir, month, month)
+        landing.land_pitches(pitches if extra is None else pitches.withColumn("extra", extra), path)
+    stored = landing.read_landed(spark, path, every_column=True)
+    return stored.groupBy(F.col("month").cast("bigint").alias("month"), "extra").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 # reference feeds

@@ -59,7 +59,13 @@ def batter_season(
     games: DataFrame, players: DataFrame, teams: DataFrame, status: DataFrame
 ) -> DataFrame:
     """Season line per batter and club."""
-    stints = rollups.batter_stints(games)
+    return batter_season_of(rollups.batter_stints(games), players, teams, status)
+
+
+def batter_season_of(
+    stints: DataFrame, players: DataFrame, teams: DataFrame, status: DataFrame
+) -> DataFrame:
+    """The season report from its stint lines."""
     figures = [name for name in stints.columns if name not in ("batter_id", "batter_team")]
     named = attach.attach_name(stints, players, "batter_id", "batter_name")
     full = attach.attach_status(
@@ -70,7 +76,11 @@ def batter_season(
 
 def pitcher_season(games: DataFrame, teams: DataFrame, status: DataFrame) -> DataFrame:
     """Season line per pitcher and club."""
-    stints = rollups.pitcher_stints(games)
+    return pitcher_season_of(rollups.pitcher_stints(games), teams, status)
+
+
+def pitcher_season_of(stints: DataFrame, teams: DataFrame, status: DataFrame) -> DataFrame:
+    """The season report from its stint lines."""
     keys = ("pitcher_id", "pitcher_name", "pitcher_throws", "pitching_team")
     figures = [name for name in stints.columns if name not in keys]
     full = attach.attach_status(
@@ -81,7 +91,11 @@ def pitcher_season(games: DataFrame, teams: DataFrame, status: DataFrame) -> Dat
 
 def pitch_mix(games: DataFrame, teams: DataFrame, status: DataFrame) -> DataFrame:
     """Pitch share per pitcher, club and pitch label."""
-    mix = rollups.mix_by_stint(games)
+    return pitch_mix_of(rollups.mix_by_stint(games), teams, status)
+
+
+def pitch_mix_of(mix: DataFrame, teams: DataFrame, status: DataFrame) -> DataFrame:
+    """The pitch mix report from the shares of each stint."""
     full = attach.attach_status(
         attach.attach_team(mix, teams, "pitching_team"), status, "pitcher_id"
     )

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
+    ByteType,
     DataType,
+    DateType,
+    DecimalType,
     DoubleType,
+    FloatType,
     IntegerType,
     LongType,
+    NullType,
+    ShortType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 # Raw pitch columns as delivered, each with its staged name and type.
@@ -255,6 +267,102 @@ RAW_SCHEMAS: dict[str, StructType] = {
 }
 
 
+# From narrow to wide.
+_WHOLE = (ByteType(), ShortType(), IntegerType(), LongType())
+_FRACTION = (FloatType(), DoubleType())
+_TIMES = (DateType(), TimestampNTZType(), TimestampType())
+_SCALAR = (*_WHOLE, *_FRACTION, *_TIMES, StringType(), BooleanType())
+
+
+def common_type(first: DataType, second: DataType) -> DataType | None:
+    """The type that holds the values of both, None if there is none.
+
+    Whole numbers widen, beside fractions they become double, dates become times, and different scalars
+    meet as text. Arrays meet by their elements, structures field by field. Bytes and maps meet
+    only their like.
+    """
+    if first == second or isinstance(second, NullType):
+        return first
+    if isinstance(first, NullType):
+        return second
+    for order in (_WHOLE, _TIMES):
+        if first in order and second in order:
+            return order[max(order.index(first), order.index(second))]
+    numbers = [kind in (*_WHOLE, *_FRACTION) or isinstance(kind, DecimalType) for kind in (first, second)]
+    if all(numbers):
+        return _common_number(first, second)
+    if isinstance(first, ArrayType) and isinstance(second, ArrayType):
+        element = common_type(first.elementType, second.elementType)
+        return None if element is None else ArrayType(element)
+    if isinstance(first, StructType) and isinstance(second, StructType):
+        fields = {field.name: field.dataType for field in first}
+        for field in second:
+            kind = common_type(fields.get(field.name, NullType()), field.dataType)
+            if kind is None:
+                return None
+            fields[field.name] = kind
+        return StructType([StructField(name, kind) for name, kind in fields.items()])
+    scalar = [kind in _SCALAR or isinstance(kind, DecimalType) for kind in (first, second)]
+    return StringType() if all(scalar) else None
+
+
+def _common_number(first: DataType, second: DataType) -> DataType:
+    digits = dict(zip(_WHOLE, (3, 5, 10, 19)))
+    if first in _FRACTION or second in _FRACTION:
+        return DoubleType()
+    parts = [(digits[k], 0) if k in digits else (k.precision - k.scale, k.scale) for k in (first, second)]
+    before, after = (max(side) for side in zip(*parts))
+    return DecimalType(before + after, after) if before + after <= 38 else DoubleType()
+
+
+def reconciled(schemas: Iterable[StructType]) -> StructType:
+    """One schema for all of them, column by column by name; fails where a column has no common type."""
+    found: dict[str, StructField] = {}
+    for schema in schemas:
+        for field in schema:
+            key = field.name.lower()
+            known = found.get(key, StructField(field.name, NullType()))
+            kind = common_type(known.dataType, field.dataType)
+            if kind is None:
+                raise SchemaDrift(
+                    f"{known.name}: {known.dataType.simpleString()} before, "
+                    f"{field.dataType.simpleString()} now"
+                )
+            found[key] = StructField(known.name, kind)
+    return StructType(list(found.values()))
+
+
+def widened(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with exactly the columns of ``schema``: cast to its types, null where it has none."""
+    own = {name.lower(): name for name in df.columns}
+    return df.select(
+        *(
+            _fitted(F.col(f"`{own[field.name.lower()]}`"), df.schema[own[field.name.lower()]].dataType, field.dataType)
+            .alias(field.name)
+            if field.name.lower() in own
+            else F.lit(None).cast(field.dataType).alias(field.name)
+            for field in schema
+        )
+    )
+
+
+def _fitted(value: Column, kind: DataType, wanted: DataType) -> Column:
+    if kind == wanted:
+        return value
+    if isinstance(wanted, StructType) and isinstance(kind, StructType):
+        own = {field.name: field.dataType for field in kind}
+        parts = [
+            _fitted(value[f.name], own[f.name], f.dataType).alias(f.name)
+            if f.name in own
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in wanted
+        ]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(wanted, ArrayType) and isinstance(kind, ArrayType):
+        return F.transform(value, lambda item: _fitted(item, kind.elementType, wanted.elementType))
+    return value.cast(wanted)
+
+
 class SchemaDrift(ValueError):
     """A delivered table does not have the declared columns."""
 

@@ -1,46 +1,46 @@
-"""Landing zone: partitioned pitch files and full-refresh reference tables."""
+"""Landing zone: pitches by month and reference tables, each load in a folder of its own.
+
+See ``loads`` for how a load is published and what a refresh or merge replaces.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructType
 
 from fungo.functions.dates import ns_between, ns_to_date
 from fungo.functions.numeric import nan_to_null
-from fungo.schemas import LANDED_PITCHES, PITCHES, RAW_SCHEMAS, conform
+from fungo.schemas import (
+    LANDED_PITCHES,
+    PITCHES,
+    RAW_SCHEMAS,
+    conform,
+    reconciled,
+    widened,
+)
+from fungo.sources import loads
+from fungo.sources.loads import Load, Month
 
-LOAD_MODES = {"append": "append", "full-refresh": "overwrite"}
+PITCH_KEY = ("game_pk", "at_bat_number", "pitch_number")
 
 
 @dataclass(frozen=True)
 class LoadAudit:
-    """What one load took in and what the destination gained."""
+    """What one load took in and what it added to the destination, counted in its own folder.
+
+    A merge writes the stored rows of its months again; these are not counted as loaded.
+    """
 
     destination: str
     mode: str
     rows_extracted: int
     rows_loaded: int
-
-
-def stored_files(spark: SparkSession, path: str, schema: StructType) -> set[str]:
-    """Files at ``path``, as the listing of any scan finds them; none before the first write."""
-    try:
-        return set(spark.read.schema(schema).parquet(path).inputFiles())
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return set()
-        raise
-
-
-def rows_added(spark: SparkSession, path: str, schema: StructType, before: set[str]) -> int:
-    """Rows in the files that were not there ``before``, counted from their footers."""
-    added = sorted(stored_files(spark, path, schema) - before)
-    return spark.read.schema(schema).parquet(*added).count() if added else 0
+    load_id: str | None = None
 
 
 def month_number() -> Column:
@@ -66,8 +66,8 @@ def with_partition_columns(raw_pitches: DataFrame) -> DataFrame:
     return raw_pitches.withColumns({"year": F.year(day), "month": F.month(day)})
 
 
-def write_months(raw_pitches: DataFrame, path: str, mode: str = "append") -> None:
-    """Write pitches below ``path`` as ``year=YYYY/month=M`` parquet.
+def write_months(raw_pitches: DataFrame, path: str) -> None:
+    """Write pitches as a new table ``year=YYYY/month=M`` at ``path``.
 
     The rebalance hint lets adaptive execution cut a large month into several files of even
     size and join small ones, so neither a hot month nor many tiny files come out.
@@ -75,55 +75,164 @@ def write_months(raw_pitches: DataFrame, path: str, mode: str = "append") -> Non
     (
         with_partition_columns(nan_to_null(raw_pitches))
         .hint("rebalance", "year", "month")
-        .write.mode(LOAD_MODES[mode])
-        .partitionBy("year", "month")
+        .write.partitionBy("year", "month")
         .parquet(path)
     )
 
 
-def land_pitches(raw_pitches: DataFrame, path: str, mode: str = "append") -> LoadAudit:
-    """Check the declared columns, write the months with every delivered column, report the rows.
+def land_pitches(raw_pitches: DataFrame, path: str, mode: str = loads.APPEND) -> LoadAudit:
+    """Check the declared columns, write the months with every delivered column, publish, report.
 
-    An empty extract stops the load: nothing is written, also under full refresh. The extract runs
-    once, in the write; the audit counts the files that the load added, whatever dates they hold.
+    ``append`` adds the rows, ``full-refresh`` replaces the table by them, and ``merge`` adds the pitches
+    whose key is not there yet and replaces those whose key is: only the months that the load touches are
+    written again, the folders of all others stay. An extract without rows publishes nothing, also
+    under full refresh; so does one with a column whose type can not be brought together with that of
+    loads before. The extract runs once for an append or refresh; a merge also reads its months.
     """
+    if mode not in loads.MODES:
+        raise ValueError(f"mode must be one of {loads.MODES}, not {mode!r}")
     spark = raw_pitches.sparkSession
     extract = conform(raw_pitches, PITCHES, keep_others=True)
-    if extract.isEmpty():
-        return LoadAudit(path, mode, 0, 0)
-    before = stored_files(spark, path, LANDED_PITCHES)
+    # A column of nulls without a type can not be stored.
+    extract = extract.drop(*(f.name for f in extract.schema if isinstance(f.dataType, NullType)))
+    others = _not_declared(extract)
+    before = loads.history(spark, path)
+    counting = loads.months_that_count(before)
+    if mode != loads.REFRESH:
+        reconciled([*(load.other_columns for load, _ in counting), others])
+    load_id = loads.new_load_id()
     seen = Observation()
-    write_months(extract.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
-    return LoadAudit(path, mode, seen.get["rows"], rows_added(spark, path, LANDED_PITCHES, before))
-
-
-def land_table(df: DataFrame, path: str, mode: str = "full-refresh") -> LoadAudit:
-    """Write one reference table; the default replaces what was there."""
-    spark = df.sparkSession
-    if df.isEmpty():
+    rows = extract.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if mode == loads.MERGE:
+        rows = _merged(spark, path, rows, extract)
+        others = _not_declared(rows)
+    write_months(rows, loads.load_folder(path, load_id))
+    months = _rows_by_month(spark, path, load_id)
+    written = sum(months.values())
+    if not written:
         return LoadAudit(path, mode, 0, 0)
-    before = stored_files(spark, path, df.schema)
-    seen = Observation()
-    (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode(LOAD_MODES[mode])
-        .parquet(path)
+    extracted = seen.get["rows"]
+    replaced = _replaced(spark, path, mode, before, load_id, months)
+    held = sum(
+        load.months[month]
+        for load, theirs in counting
+        for month in theirs
+        if mode == loads.MERGE and month in months
     )
-    return LoadAudit(path, mode, seen.get["rows"], rows_added(spark, path, df.schema, before))
+    load = Load(load_id, mode, extracted, written - held, months, replaced, others)
+    loads.commit(spark, path, load)
+    return LoadAudit(path, mode, extracted, written - held, load_id)
+
+
+def _not_declared(pitches: DataFrame) -> StructType:
+    return StructType([field for field in pitches.schema if field.name not in PITCHES.names])
+
+
+def _rows_by_month(spark: SparkSession, path: str, load_id: str) -> dict[Month, int]:
+    """Rows of one load, counted from the footers of its own files."""
+    folder = loads.load_folder(path, load_id)
+    counted = spark.read.schema(LANDED_PITCHES).parquet(folder).groupBy("year", "month").count()
+    return {(row.year, row.month): row["count"] for row in counted.collect()}
+
+
+def _replaced(
+    spark: SparkSession, path: str, mode: str, before: list[Load], load_id: str, months: dict[Month, int]
+) -> tuple[str, ...]:
+    """A refresh replaces every load begun before it, a merge those whose months it has read."""
+    if mode == loads.REFRESH:
+        return tuple(load.load_id for load in loads.history(spark, path) if load.load_id < load_id)
+    if mode == loads.MERGE:
+        return tuple(load.load_id for load in before if set(months) & set(load.months))
+    return ()
 
 
-def read_landed(spark: SparkSession, path: str, every_column: bool = False) -> DataFrame:
+def _merged(spark: SparkSession, path: str, rows: DataFrame, extract: DataFrame) -> DataFrame:
+    """The stored rows of the months in ``extract`` with its ``rows``, one for each pitch key.
+
+    A delivered row goes before a stored one, and of several delivered ones that with the least hash over
+    all its columns, so the same rows give the same table in any order. Rows without a full key can not be told
+    apart and stay.
+    """
+    touched = months_of(with_partition_columns(extract.select("game_date")))
+    stored = read_landed(spark, path, every_column=True).where(in_months(touched)).drop("year", "month")
+    together = reconciled([stored.schema, extract.schema])
+    mark, rank = "merge_delivered", "merge_rank"
+    both = widened(nan_to_null(rows), together).withColumn(mark, F.lit(0)).unionAll(
+        widened(stored, together).withColumn(mark, F.lit(1))
+    )
+    # The text of a row, as a hash takes neither maps nor variants.
+    content = F.xxhash64(F.to_json(F.struct(*(f"`{name}`" for name in together.names))))
+    keyed = F.lit(True)
+    for name in PITCH_KEY:
+        keyed = keyed & F.col(name).isNotNull()
+    # Rows without a full key are spread by their content instead of meeting under the key of nulls.
+    first = Window.partitionBy(*PITCH_KEY, F.when(~keyed, content)).orderBy(mark, content)
+    ranked = both.withColumn(rank, F.row_number().over(first))
+    return ranked.where((F.col(rank) == 1) | ~keyed).drop(mark, rank)
+
+
+def land_table(df: DataFrame, path: str, mode: str = loads.REFRESH) -> LoadAudit:
+    """Write one reference table as a new version; the default replaces what was there."""
+    if mode not in (loads.APPEND, loads.REFRESH):
+        raise ValueError(f"mode must be append or full-refresh, not {mode!r}")
+    spark = df.sparkSession
+    load_id = loads.new_load_id()
+    folder = loads.load_folder(path, load_id)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    loaded = spark.read.schema(df.schema).parquet(folder).count()
+    if not loaded:
+        return LoadAudit(path, mode, 0, 0)
+    before = loads.history(spark, path)
+    replaced = _replaced(spark, path, mode, before, load_id, {})
+    load = Load(load_id, mode, seen.get["rows"], loaded, {(None, None): loaded}, replaced, StructType())
+    loads.commit(spark, path, load)
+    return LoadAudit(path, mode, seen.get["rows"], loaded, load_id)
+
+
+def _scan(
+    spark: SparkSession, path: str, schema: StructType, parts: Sequence[tuple[Load, list[Month]]]
+) -> DataFrame:
+    """The months that count of some loads, in ``schema``; the load itself is no column."""
+    found = [folder for load, months in parts for folder in loads.folders(path, load, months)]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found).drop("load")
+
+
+def read_landed(
+    spark: SparkSession, path: str, every_column: bool = False, only: Collection[str] | None = None
+) -> DataFrame:
     """Scan of the landed pitches with the declared schema and its partition columns.
 
-    ``every_column`` adds what loads delivered beyond it, null where a load did not have it.
+    ``only`` names loads; what others brought is left out. ``every_column`` adds what loads delivered beyond it, in the common type of all loads, null where a
+    load did not have it: one scan for each different set of such columns.
     """
-    if every_column:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    return spark.read.schema(LANDED_PITCHES).parquet(path)
+    parts = loads.months_that_count(loads.history(spark, path))
+    parts = [part for part in parts if only is None or part[0].load_id in only]
+    if not every_column:
+        return _scan(spark, path, LANDED_PITCHES, parts)
+    by_columns: dict[str, list] = {}
+    for load, months in parts:
+        by_columns.setdefault(load.other_columns.json(), []).append((load, months))
+    together = reconciled([LANDED_PITCHES, *(load.other_columns for load, _ in parts)])
+    scans = [
+        widened(
+            _scan(spark, path, StructType([*PITCHES, *own[0][0].other_columns, *LANDED_PITCHES[-2:]]), own),
+            together,
+        )
+        for own in by_columns.values()
+    ]
+    return union_chunks(scans) if scans else spark.createDataFrame([], together)
 
 
 def read_reference(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
+    """The published version of a reference table."""
+    parts = loads.months_that_count(loads.history(spark, path))
+    found = [load.folder(path) for load, _ in parts]
+    if not found:
+        return spark.createDataFrame([], RAW_SCHEMAS[name])
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(*found)
 
 
 def in_date_range(landed: DataFrame, first: date, last: date) -> DataFrame:
@@ -151,4 +260,4 @@ def union_chunks(chunks: list[DataFrame]) -> DataFrame:
 
 def without_repeats(raw_pitches: DataFrame) -> DataFrame:
     """Opt-in: one row per pitch key. Appending a range twice otherwise counts it twice."""
-    return raw_pitches.dropDuplicates(["game_pk", "at_bat_number", "pitch_number"])
+    return raw_pitches.dropDuplicates(list(PITCH_KEY))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from fungo.config import Config
 from fungo.operators.game_facts import batter_games
 from fungo.operators.staging import stage_pitches, stage_roster_status, stage_rosters
-from fungo.plans.warehouse import Warehouse, register
+from fungo.plans.warehouse import Warehouse, former_versions, register
 from fungo.schemas import PITCHES, SchemaDrift
 from fungo.session import fresh_folder
-from fungo.sources import feeds, landing
+from fungo.sources import feeds, landing, loads
 from fungo.streaming.incremental import ingest_new_files
 from tests import small
 
@@ -176,6 +177,25 @@ def test_layers_answer_sql(spark):
     assert spark.sql("select count(*) n from raw_statcast_pitches").first().n == 11
 
 
+def test_registering_again_publishes_new_versions(spark, monkeypatch):
+    config = Config(marts_database="marts_versions")
+    place = fresh_folder(spark, "layers")
+    register(spark, Warehouse(small.raw_tables(spark)), place, config)
+    reader = spark.table("marts_versions.dim_team")
+    more = small.raw_tables(spark, teams=[small.team(n, f"T{n}") for n in range(5)])
+    register(spark, Warehouse(more), place, config)
+    assert (reader.count(), spark.table("marts_versions.dim_team").count()) == (2, 5)
+    old = former_versions(spark, "marts_versions", 0)
+    assert len(old) == 4 and former_versions(spark, "marts_versions", 1) == []
+    spark.sql(f"drop table marts_versions.{old[-1]}")
+    broken = small.raw_tables(spark)
+    fails = F.raise_error(F.lit("bad row")).cast("string")
+    broken["mlb_teams"] = broken["mlb_teams"].withColumn("team_name", fails)
+    with pytest.raises(Exception, match="bad row"):
+        register(spark, Warehouse(broken), place, config)
+    assert spark.table("marts_versions.dim_team").count() == 5
+
+
 def test_stream_picks_each_file_up_once_and_reopens_late_games(spark):
     zone, mart, progress = (fresh_folder(spark, name) for name in ("drops", "mart", "progress"))
     next_day = small.FIRST_DAY_NS + small.DAY_NS
@@ -248,6 +268,140 @@ def test_every_delivered_column_is_landed(spark):
     assert "sv_id" not in landing.read_landed(spark, path).columns
 
 
+@pytest.mark.parametrize(
+    "first, second, kind",
+    [
+        ("int", "string", "string"), ("int", "double", "double"), ("tinyint", "bigint", "bigint"),
+        ("date", "timestamp", "timestamp"), ("decimal(5,2)", "int", "decimal(12,2)"), ("boolean", "int", "string"),
+        ("array<int>", "array<string>", "array<string>"),
+        ("struct<a:int>", "struct<a:string,b:int>", "struct<a:string,b:int>"),
+    ],
+)
+def test_extra_columns_are_read_in_their_common_type(spark, first, second, kind):
+    path = fresh_folder(spark, "test")
+    pitches = small.pitches(spark, small.game())
+    for delivered in (first, second, None):
+        extra = pitches if delivered is None else pitches.withColumn("extra", F.lit(None).cast(delivered))
+        landing.land_pitches(extra, path)
+    stored = landing.read_landed(spark, path, every_column=True)
+    assert dict(stored.dtypes)["extra"] == kind and stored.count() == 33
+
+
+def test_int_then_text_then_fraction_keep_their_values(spark):
+    path = fresh_folder(spark, "test")
+    pitches = small.pitches(spark, small.game()).limit(2)
+    for value in (F.lit(7), F.lit("x"), F.lit(0.5), F.lit(None)):
+        landing.land_pitches(pitches.withColumn("Extra", value), path)
+    found = landing.read_landed(spark, path, every_column=True)
+    assert sorted(row.Extra or "" for row in found.collect()) == ["", "", "0.5", "0.5", "7", "7", "x", "x"]
+
+
+def test_a_clash_without_a_common_type_fails_before_it_is_landed(spark):
+    path = fresh_folder(spark, "test")
+    pitches = small.pitches(spark, small.game())
+    landing.land_pitches(pitches.withColumn("extra", F.lit(1)), path)
+    listed = pitches.withColumn("EXTRA", F.array(F.lit(1)))
+    with pytest.raises(SchemaDrift, match="extra: int before, array<int> now"):
+        landing.land_pitches(listed, path)
+    assert landing.read_landed(spark, path, every_column=True).count() == 11
+    landing.land_pitches(listed, path, "full-refresh")
+    assert dict(landing.read_landed(spark, path, every_column=True).dtypes)["EXTRA"] == "array<int>"
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark):
+    path = fresh_folder(spark, "test")
+    landing.land_pitches(small.pitches(spark, small.game()), path)
+    before = landing.read_landed(spark, path)
+    landing.land_pitches(small.pitches(spark, small.game()[:4]), path, "full-refresh")
+    assert (before.count(), landing.read_landed(spark, path).count()) == (11, 4)
+    (old,) = loads.replaced_folders(spark, path, -1)
+    assert spark.read.parquet(old).count() == 11
+    assert loads.replaced_folders(spark, path, 1) == []
+
+
+def test_a_refresh_that_dies_changes_nothing(spark, monkeypatch):
+    path = fresh_folder(spark, "test")
+    teams = small.raw_tables(spark)["mlb_teams"]
+    landing.land_pitches(small.pitches(spark, small.game()), path)
+    landing.land_table(teams, f"{path}-teams")
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(loads, "commit", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        landing.land_pitches(small.pitches(spark, small.game()[:3]), path, "full-refresh")
+    with pytest.raises(RuntimeError, match="lost"):
+        landing.land_table(teams.limit(1), f"{path}-teams")
+    broken = small.pitches(spark, small.game()).withColumn("extra", F.raise_error(F.lit("bad row")).cast("int"))
+    with pytest.raises(Exception, match="bad row"):
+        landing.land_pitches(broken, path, "full-refresh")
+    assert landing.read_landed(spark, path).count() == 11
+    assert landing.read_reference(spark, f"{path}-teams", "mlb_teams").count() == 2
+
+
+def test_loads_at_once_count_their_own_rows(spark):
+    path = fresh_folder(spark, "test")
+    sizes = list(range(1, 7))
+    frames = [small.pitches(spark, small.game()[:n]) for n in sizes]
+    with ThreadPoolExecutor(len(sizes)) as pool:
+        audits = list(pool.map(lambda frame: landing.land_pitches(frame, path), frames))
+    assert [(a.rows_extracted, a.rows_loaded) for a in audits] == [(n, n) for n in sizes]
+    assert landing.read_landed(spark, path).count() == sum(sizes)
+
+
+def on_day(day, *numbers, **values):
+    return [small.pitch(n, 1, game_date=small.FIRST_DAY_NS + day * small.DAY_NS, **values) for n in numbers]
+
+
+def test_a_range_merged_twice_equals_one_load(spark):
+    path, once = fresh_folder(spark, "test"), fresh_folder(spark, "test")
+    april, may = on_day(10, 1, 2, 3), on_day(40, 1, 2, game_pk=5)
+    landing.land_pitches(small.pitches(spark, april + may), path)
+    landing.land_pitches(small.pitches(spark, april + may), once)
+    kept = {f for f in landing.read_landed(spark, path).inputFiles() if "/month=5/" in f}
+    audits = [
+        landing.land_pitches(small.pitches(spark, april + on_day(11, 9)), path, "merge") for _ in range(2)
+    ]
+    assert [(a.rows_extracted, a.rows_loaded) for a in audits] == [(4, 1), (4, 0)]
+    landing.land_pitches(small.pitches(spark, on_day(11, 9)), once)
+    stored, expected = (landing.read_landed(spark, p) for p in (path, once))
+    assert stored.exceptAll(expected).count() == expected.exceptAll(stored).count() == 0
+    assert kept and {f for f in stored.inputFiles() if "/month=5/" in f} == kept
+
+
+def test_a_merge_takes_the_delivered_copy_in_any_order(spark):
+    path = fresh_folder(spark, "test")
+    landing.land_pitches(small.pitches(spark, on_day(10, 1, 2, events="single")), path)
+    copies = on_day(10, 1, events="double") + on_day(10, 1, events="triple")
+    found = set()
+    for delivered in (copies, copies[::-1]):
+        audit = landing.land_pitches(small.pitches(spark, delivered), path, "merge")
+        assert audit.rows_loaded == 0
+        found.add(tuple(sorted((r.at_bat_number, r.events) for r in landing.read_landed(spark, path).collect())))
+    assert len(found) == 1 and found.pop()[0][1] in ("double", "triple")
+
+
+def test_a_merge_keeps_rows_without_a_key_and_columns_of_both_sides(spark):
+    path = fresh_folder(spark, "test")
+    nameless = on_day(10, None, None)
+    landing.land_pitches(small.pitches(spark, nameless + on_day(10, 1)).withColumn("extra", F.lit(1)), path)
+    landing.land_pitches(small.pitches(spark, nameless).withColumn("extra", F.lit("x")), path, "merge")
+    rows = landing.read_landed(spark, path, every_column=True).collect()
+    assert sorted((r.at_bat_number or 0, r.extra) for r in rows) == [(0, "1"), (0, "1"), (0, "x"), (0, "x"), (1, "1")]
+
+
+def test_a_merge_into_nothing_and_of_nothing(spark):
+    path = fresh_folder(spark, "test")
+    assert landing.land_pitches(small.pitches(spark, []), path, "merge").rows_loaded == 0
+    rows = small.pitches(spark, on_day(10, 1) + [small.pitch(1, 1, game_pk=8, game_date=None)])
+    assert landing.land_pitches(rows, path, "merge").rows_loaded == 2
+    assert landing.land_pitches(rows, path, "merge").rows_loaded == 0
+    assert landing.read_landed(spark, path).count() == 2
+    with pytest.raises(ValueError, match="mode"):
+        landing.land_pitches(rows, path, "replace")
+
+
 def test_registry_shards_are_read_by_name(spark, tmp_path):
     names = list(feeds.REGISTRY_NAMES)
     orders = [["key_person", *names[::-1], "birth_month"], [*names[4:], "key_uuid", *names[:4]]]
