@@ -15,6 +15,22 @@ TEAM_ATTRIBUTES = ("team_id", "team_abbrev", "team_name", "league_name", "divisi
 STATUS_ATTRIBUTES = ("availability", "status_description")
 
 
+def one_row_per_key(dim: DataFrame, key: str, name: str) -> DataFrame:
+    """``dim`` for a join that must not multiply rows: a key that two rows have fails, and is named.
+
+    Dimension and check are one aggregate, so nothing is read twice. Rows without a key meet nothing and
+    become one.
+    """
+    others = [column for column in dim.columns if column != key]
+    grouped = dim.groupBy(key).agg(
+        F.count(F.lit(1)).alias("guarded_rows"), *(F.first(column).alias(column) for column in others)
+    )
+    told = F.concat(F.lit(f"repeated key: {name}.{key} = "), F.col(key).cast("string"))
+    failing = F.raise_error(told).cast(dim.schema[key].dataType)
+    checked = F.when((F.col("guarded_rows") > 1) & F.col(key).isNotNull(), failing).otherwise(F.col(key))
+    return grouped.withColumn(key, checked).select(*dim.columns)
+
+
 def attach_team(facts: DataFrame, teams: DataFrame, club: str) -> DataFrame:
     """Add team attributes by the abbreviation of the club of record."""
     dim = teams.select(*TEAM_ATTRIBUTES)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,101 @@ from pyspark.sql import functions as F
 from fungo.operators.profile import by_column
 
 
+@dataclass(frozen=True)
+class RowRule:
+    """Rows whose column is null or, if values are given, is none of them break the rule."""
+
+    rule: str
+    table: str
+    column: str
+    accepted: tuple[str, ...] | None = None
+
+    def failing(self) -> Column:
+        return not_null(self.column) if self.accepted is None else accepted(self.column, self.accepted)
+
+
+@dataclass(frozen=True)
+class KeyRule:
+    """A key that more than one row of a table has breaks the rule; ``known`` leaves incomplete keys out."""
+
+    rule: str
+    table: str
+    columns: tuple[str, ...]
+    known: bool = False
+
+
+@dataclass(frozen=True)
+class ReferenceRule:
+    """A row whose value the parent does not have breaks the rule; nulls pass."""
+
+    rule: str
+    table: str
+    column: str
+
+
+Tables = Callable[[str], DataFrame]
+
+
+def row_rules(tables: Tables, rules: Sequence[RowRule]) -> DataFrame:
+    """All rules of a table from one aggregate over one scan of it."""
+    by_table: dict[str, dict[str, Column]] = {}
+    for rule in rules:
+        by_table.setdefault(rule.table, {})[rule.rule] = rule.failing()
+    return stack([failing_rows(tables(name), own) for name, own in by_table.items()])
+
+
+def _with_all(counts: DataFrame, rules: Sequence[str]) -> DataFrame:
+    """Counts added up by rule, zero for a rule that has none."""
+    none = counts.sparkSession.createDataFrame([(rule, 0) for rule in rules], "rule string, n bigint")
+    together = counts.select("rule", "n").unionAll(none)
+    return together.groupBy("rule").agg(F.sum("n").alias("failing_rows"))
+
+
+def key_rules(tables: Tables, rules: Sequence[KeyRule]) -> DataFrame:
+    """Repeated keys of all rules from one scan of each table and one keyed aggregate over all.
+
+    Every row gives its key for each rule of its table, and equal keys are counted on the map side first.
+    """
+    by_table: dict[str, list[KeyRule]] = {}
+    for rule in rules:
+        by_table.setdefault(rule.table, []).append(rule)
+
+    def keys(name: str, own: list[KeyRule]) -> DataFrame:
+        one = [
+            F.when(
+                reduce(Column.__and__, [F.col(c).isNotNull() for c in rule.columns]) if rule.known else F.lit(True),
+                F.struct(F.lit(rule.rule).alias("rule"), F.to_json(F.struct(*rule.columns)).alias("key")),
+            )
+            for rule in own
+        ]
+        found = tables(name).select(F.explode(F.array(*one)).alias("one"))
+        return found.where(F.col("one").isNotNull()).select("one.*")
+
+    counted = stack([keys(name, own) for name, own in by_table.items()]).groupBy("rule", "key").count()
+    repeated = counted.where(F.col("count") > 1).select("rule", F.lit(1).cast("bigint").alias("n"))
+    return _with_all(repeated, [rule.rule for rule in rules])
+
+
+def reference_rules(
+    tables: Tables, rules: Sequence[ReferenceRule], parent: DataFrame, field: str
+) -> DataFrame:
+    """Missing parents of all rules from one scan of each child and one of the parent.
+
+    Child rows are counted per value before the anti-join, so a value carried by a large part of the
+    rows is one row in the shuffle.
+    """
+    values = [
+        tables(rule.table)
+        .where(F.col(rule.column).isNotNull())
+        .groupBy(F.col(rule.column).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(rule.rule).alias("rule"), "value", "n")
+        for rule in rules
+    ]
+    orphans = stack(values).join(parent.select(F.col(field).alias("value")), "value", "left_anti")
+    return _with_all(orphans, [rule.rule for rule in rules])
+
+
 def stack(results: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, results)
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from fungo.config import Config
 from fungo.oracle import values
-from fungo.oracle.tables import BATTER_TOTALS, DAY, PITCHER_RATES, PITCHER_TOTALS, listed, mean
-from fungo.oracle.tables import ratio, with_tables
+from fungo.oracle.tables import BATTER_RATES, BATTER_TOTALS, DAY, PITCHER_RATES, PITCHER_TOTALS
+from fungo.oracle.tables import listed, mean, ratio, with_tables
 from fungo.oracle.values import (
     BATTER_GAME_COLUMNS,
     MIX_LABELS,
@@ -218,6 +218,66 @@ TEXTS["ingest_row_audit"] = _out(
     )"""
 )
 TEXTS["ingest_incremental_files"] = TEXTS["mart_batter_game"]
+for _incremental, _full in (
+    ("batter_season", "rpt_batter_season"),
+    ("pitcher_season", "rpt_pitcher_season"),
+    ("pitch_mix", "rpt_pitcher_pitch_mix"),
+    ("season_combined", "season_combined"),
+    ("league_batting", "rpt_league_batting"),
+    ("league_pitching", "rpt_league_pitching"),
+):
+    TEXTS[f"incremental_{_incremental}"] = TEXTS[_full]
+_COUNTED = """(
+    select game_date, 'batters' as counted, batter_id as id from batter_games
+    union all select game_date, 'pitchers', pitcher_id from pitcher_games
+    union all select game_date, 'players', batter_id from batter_games
+    union all select game_date, 'players', pitcher_id from pitcher_games
+    union all select game_date, 'games', game_id from batter_games
+    union all select game_date, 'games', game_id from pitcher_games)"""
+TEXTS["distinct_counts_by_grain"] = _out(
+    " union all ".join(
+        f"select '{grain}' as grain, {start} as starts_on, counted, count(distinct id) as n from {_COUNTED} group by all"
+        for grain, start in (
+            ("day", "game_date"),
+            ("month", "cast(date_trunc('month', game_date) as date)"),
+            ("season", "cast(null as date)"),
+        )
+    )
+)
+TEXTS["incremental_distinct_counts"] = TEXTS["distinct_counts_by_grain"]
+TEXTS["ingest_refresh_deletions"] = _out(
+    f"""select {', '.join(BATTER_GAME_COLUMNS)} from batter_games
+    where game_date <= date '2026-04-30' and game_date <> date '2026-04-15'""",
+    _BATTER_DOUBLES,
+)
+TEXTS["ingest_refresh_season"] = _out(
+    f"""select batter_id, batter_team, count(distinct game_id) as games, {BATTER_TOTALS}, {BATTER_RATES}
+    from batter_games where game_date between date '2026-04-09' and date '2026-04-30'
+    group by batter_id, batter_team""",
+    _BATTER_SEASON_DOUBLES,
+)
+TEXTS["ingest_merge"] = _out(
+    f"""select 'merge' as mode, {DAY} as game_date, count(*) as n_rows,
+        sum(batter * pitch_number + pitcher)::bigint as numbers,
+        sum(length(home_team) + length(pitch_type))::bigint as letters
+    from raw_pitches where month({DAY}) between 4 and 6 group by all"""
+)
+TEXTS["ingest_merge_audit"] = _out(
+    f"""select load::bigint as load, mode, sum(taken)::bigint as rows_extracted,
+        sum(gained)::bigint as rows_loaded
+    from (select month({DAY}) as month from raw_pitches) as landed,
+        (values (1, 'append', 4, 1, 1), (1, 'append', 5, 1, 1), (2, 'merge', 5, 1, 0),
+            (2, 'merge', 6, 1, 1), (3, 'merge', 5, 1, 0), (3, 'merge', 6, 1, 0))
+            as loads(load, mode, of_month, taken, gained)
+    where month = of_month group by all"""
+)
+TEXTS["ingest_schema_drift"] = _out(
+    f"""select month({DAY}) as month,
+        case month({DAY}) when 4 then cast(pitch_number as varchar)
+            when 5 then cast(pitch_number / 2.0::double as varchar) when 6 then home_team end as extra,
+        count(*) as n_rows
+    from raw_pitches where month({DAY}) between 4 and 7 group by all"""
+)
 _PERSON = """printf('%.1f', fangraphs_id) as key_fangraphs, bbref_id as key_bbref,
     last_name as name_last, first_name as name_first, given_name as name_given,
     printf('%.1f', mlb_debut_year) as pro_played_first,
@@ -693,5 +753,15 @@ TEXTS["dq_grain_guard"] = _out(
 )
 
 
+_SUITE = (
+    "dq_not_null", "dq_accepted_values", "dq_unique", "dq_join_keys", "dq_composite_grain", "dq_relationships",
+    "dq_batter_team_per_game", "dq_pitcher_team_per_game", "dq_batter_recoverable", "dq_pitcher_recoverable",
+)
+TEXTS["dq_full_suite"] = " union all ".join(
+    [*(f"(select rule, failing_rows from ({TEXTS[name]}))" for name in _SUITE)]
+    + [f"(select 'traded_nonvacuous ' || side, 1 from ({TEXTS['dq_traded_nonvacuous']}))"]
+)
+
+
 def oracle_texts() -> dict[str, str]:
     return dict(TEXTS)

@@ -91,64 +91,47 @@ PITCHER_TOTALS = (
 )
 
 
+# The rules as data; ``operators.checks`` makes one aggregate of all that concern a table.
+REQUIRED_RULES = [
+    checks.RowRule(f"not_null {name}.{column}", name, column)
+    for name, columns in REQUIRED.items()
+    for column in columns
+]
+ACCEPTED_RULES = [
+    checks.RowRule(f"accepted_values {name}.{column}", name, column, values)
+    for name, lists in ACCEPTED.items()
+    for column, values in lists.items()
+]
+UNIQUE_RULES = [
+    checks.KeyRule(f"unique {name}.{column}", name, (column,), known=True) for name, column in UNIQUE
+]
+JOIN_KEY_RULES = [
+    checks.KeyRule(f"join_key {name}.{column}", name, (column,), known=True) for name, column in JOIN_KEYS
+]
+GRAIN_RULES = [checks.KeyRule(f"grain {name}", name, columns) for name, columns in GRAINS]
+REFERENCE_RULES = [
+    checks.ReferenceRule(f"relationships {name}.{column}", name, column) for name, column in REFERENCES
+]
+
+
 def required_columns(warehouse: Warehouse) -> DataFrame:
-    return checks.stack(
-        [
-            checks.failing_rows(
-                warehouse.table(name),
-                {f"not_null {name}.{column}": checks.not_null(column) for column in columns},
-            )
-            for name, columns in REQUIRED.items()
-        ]
-    )
+    return checks.row_rules(warehouse.table, REQUIRED_RULES)
 
 
 def closed_lists(warehouse: Warehouse) -> DataFrame:
-    return checks.stack(
-        [
-            checks.failing_rows(
-                warehouse.table(name),
-                {
-                    f"accepted_values {name}.{column}": checks.accepted(column, values)
-                    for column, values in lists.items()
-                },
-            )
-            for name, lists in ACCEPTED.items()
-        ]
-    )
+    return checks.row_rules(warehouse.table, ACCEPTED_RULES)
 
 
 def unique_columns(warehouse: Warehouse) -> DataFrame:
-    return checks.stack(
-        [
-            checks.unique(f"unique {name}.{column}", warehouse.table(name), column)
-            for name, column in UNIQUE
-        ]
-    )
+    return checks.key_rules(warehouse.table, UNIQUE_RULES)
 
 
 def join_keys(warehouse: Warehouse) -> DataFrame:
-    return checks.stack(
-        [
-            checks.unique(f"join_key {name}.{column}", warehouse.table(name), column)
-            for name, column in JOIN_KEYS
-        ]
-    )
+    return checks.key_rules(warehouse.table, JOIN_KEY_RULES)
 
 
 def references(warehouse: Warehouse) -> DataFrame:
-    return checks.stack(
-        [
-            checks.relationship(
-                f"relationships {name}.{column}",
-                warehouse.table(name),
-                column,
-                warehouse.dim_team,
-                "team_abbrev",
-            )
-            for name, column in REFERENCES
-        ]
-    )
+    return checks.reference_rules(warehouse.table, REFERENCE_RULES, warehouse.dim_team, "team_abbrev")
 
 
 def one_team_per_batter_game(games: DataFrame) -> DataFrame:
@@ -164,12 +147,7 @@ def one_team_per_pitcher_game(games: DataFrame) -> DataFrame:
 
 
 def composite_grains(warehouse: Warehouse) -> DataFrame:
-    return checks.stack(
-        [
-            checks.unique_key(f"grain {name}", warehouse.table(name), columns)
-            for name, columns in GRAINS
-        ]
-    )
+    return checks.key_rules(warehouse.table, GRAIN_RULES)
 
 
 def _totals(df: DataFrame, key: str, names: tuple[str, ...], games: Column) -> DataFrame:
@@ -274,14 +252,11 @@ def full_suite(warehouse: Warehouse) -> DataFrame:
     )
     return checks.stack(
         [
-            required_columns(warehouse),
-            closed_lists(warehouse),
-            unique_columns(warehouse),
-            join_keys(warehouse),
+            checks.row_rules(warehouse.table, [*REQUIRED_RULES, *ACCEPTED_RULES]),
+            checks.key_rules(warehouse.table, [*UNIQUE_RULES, *JOIN_KEY_RULES, *GRAIN_RULES]),
             references(warehouse),
             one_team_per_batter_game(warehouse.mart_batter_game_stats),
             one_team_per_pitcher_game(warehouse.mart_pitcher_game_stats),
-            composite_grains(warehouse),
             batter_recoverable(warehouse),
             pitcher_recoverable(warehouse),
             traded,

@@ -18,9 +18,10 @@ from fungo.functions.numeric import rounded
 from fungo.functions.pitch import club_batting, club_pitching
 from fungo.operators import rollups, staging
 from fungo.operators.checks import stack
+from fungo.operators.id_sets import distinct_counts
 from fungo.operators.profile import coverage
 from fungo.plans import explores, ingestion, profiles, quality, reports
-from fungo.plans.stored import StoredFacts
+from fungo.plans.stored import COUNTED, StoredFacts, StoredLayers, stored_sets
 from fungo.plans.warehouse import FACTS, MARTS, Warehouse, register
 from fungo.session import fresh_folder
 from fungo.sources import landing, raw_zone
@@ -45,7 +46,12 @@ def _from_pitches(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return _from_pitches(spark, sf_dir).with_stored(StoredFacts(spark, sf_dir))
+    return Warehouse(raw_zone.RawZone(spark, sf_dir), StoredFacts(spark, sf_dir), guarded=True)
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Everything stored: for rules and profiles, which look at tables that others have built."""
+    return _warehouse(spark, sf_dir).with_stored(StoredLayers(spark, sf_dir))
 
 
 def _table(name: str) -> None:
@@ -121,7 +127,12 @@ for _build in (
     ingestion.ingest_reference_refresh,
     ingestion.ingest_partitioned_landing,
     ingestion.ingest_row_audit,
+    ingestion.ingest_merge,
+    ingestion.ingest_merge_audit,
+    ingestion.ingest_schema_drift,
     ingestion.ingest_incremental_files,
+    ingestion.ingest_refresh_deletions,
+    ingestion.ingest_refresh_season,
     ingestion.registry_shard_scan,
     ingestion.registry_shape,
     ingestion.registry_id_coerce,
@@ -131,6 +142,60 @@ for _build in (
     query(_build)
 
 
+# reports from season totals that were kept up date by date
+
+
+@query
+def incremental_batter_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _warehouse(spark, sf_dir)
+    lines = ingestion.late_files(spark, sf_dir).batter_totals.lines()
+    return reports.batter_season_of(
+        lines, warehouse.player_lookup, warehouse.dim_team, warehouse.dim_roster_status
+    )
+
+
+@query
+def incremental_pitcher_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _warehouse(spark, sf_dir)
+    lines = ingestion.late_files(spark, sf_dir).pitcher_totals.lines()
+    return reports.pitcher_season_of(lines, warehouse.dim_team, warehouse.dim_roster_status)
+
+
+@query
+def incremental_pitch_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _warehouse(spark, sf_dir)
+    mix = rollups.mix_of_totals(ingestion.late_files(spark, sf_dir).pitcher_totals.sums())
+    return reports.pitch_mix_of(mix, warehouse.dim_team, warehouse.dim_roster_status)
+
+
+@query
+def incremental_season_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.combined_batting(ingestion.late_files(spark, sf_dir).batter_totals.lines())
+
+
+@query
+def incremental_league_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = ingestion.late_files(spark, sf_dir).batter_totals.sums()
+    return rollups.league_of_totals(sums, rollups.BATTER_STINTS, rollups.LEAGUE_BATTING)
+
+
+@query
+def incremental_league_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = ingestion.late_files(spark, sf_dir).pitcher_totals.sums()
+    return rollups.league_of_totals(sums, rollups.PITCHER_STINTS, rollups.LEAGUE_PITCHING)
+
+
+@query
+def incremental_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_counts(spark.read.parquet(ingestion.late_files(spark, sf_dir).sets), COUNTED)
+
+
+@query
+def distinct_counts_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different players and games by day, month and season, from the stored sets."""
+    return distinct_counts(stored_sets(spark, sf_dir), COUNTED)
+
+
 @query
 def mart_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = register(spark, _warehouse(spark, sf_dir), fresh_folder(spark, "layers"))
@@ -412,48 +477,48 @@ def all_player_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_team_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.team_coverage(_warehouse(spark, sf_dir))
+    return profiles.team_coverage(_layers(spark, sf_dir))
 
 
 @query
 def profile_team_join_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = _warehouse(spark, sf_dir)
+    warehouse = _layers(spark, sf_dir)
     return profiles.team_join_integrity(warehouse.rpt_batter_season, warehouse.stg_mlb_rosters)
 
 
 @query
 def profile_unmatched_batters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.unmatched_batters(_warehouse(spark, sf_dir).rpt_batter_season)
+    return profiles.unmatched_batters(_layers(spark, sf_dir).rpt_batter_season)
 
 
 @query
 def profile_team_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.team_distribution(_warehouse(spark, sf_dir))
+    return profiles.team_distribution(_layers(spark, sf_dir))
 
 
 @query
 def profile_team_distribution_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.team_distribution_range(_warehouse(spark, sf_dir))
+    return profiles.team_distribution_range(_layers(spark, sf_dir))
 
 
 @query
 def profile_status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.status_distribution(_warehouse(spark, sf_dir).dim_roster_status)
+    return profiles.status_distribution(_layers(spark, sf_dir).dim_roster_status)
 
 
 @query
 def profile_status_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.status_attach(_warehouse(spark, sf_dir))
+    return profiles.status_attach(_layers(spark, sf_dir))
 
 
 @query
 def spot_name_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.name_like(_warehouse(spark, sf_dir).rpt_pitcher_season, "%p190%")
+    return profiles.name_like(_layers(spark, sf_dir).rpt_pitcher_season, "%p190%")
 
 
 @query
 def il60_without_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = _warehouse(spark, sf_dir)
+    warehouse = _layers(spark, sf_dir)
     return profiles.long_injured_without_stats(
         warehouse.dim_roster_status, warehouse.mart_batter_game_stats
     )
@@ -464,64 +529,70 @@ def il60_without_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.required_columns(_warehouse(spark, sf_dir))
+    return quality.required_columns(_layers(spark, sf_dir))
 
 
 @query
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unique_columns(_warehouse(spark, sf_dir))
+    return quality.unique_columns(_layers(spark, sf_dir))
 
 
 @query
 def dq_join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.join_keys(_warehouse(spark, sf_dir))
+    return quality.join_keys(_layers(spark, sf_dir))
 
 
 @query
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.closed_lists(_warehouse(spark, sf_dir))
+    return quality.closed_lists(_layers(spark, sf_dir))
 
 
 @query
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.references(_warehouse(spark, sf_dir))
+    return quality.references(_layers(spark, sf_dir))
 
 
 @query
 def dq_batter_team_per_game(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.one_team_per_batter_game(_warehouse(spark, sf_dir).mart_batter_game_stats)
+    return quality.one_team_per_batter_game(_layers(spark, sf_dir).mart_batter_game_stats)
 
 
 @query
 def dq_pitcher_team_per_game(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.one_team_per_pitcher_game(_warehouse(spark, sf_dir).mart_pitcher_game_stats)
+    return quality.one_team_per_pitcher_game(_layers(spark, sf_dir).mart_pitcher_game_stats)
 
 
 @query
 def dq_composite_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.composite_grains(_warehouse(spark, sf_dir))
+    return quality.composite_grains(_layers(spark, sf_dir))
 
 
 @query
 def dq_batter_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.batter_recoverable(_warehouse(spark, sf_dir))
+    return quality.batter_recoverable(_layers(spark, sf_dir))
 
 
 @query
 def dq_pitcher_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.pitcher_recoverable(_warehouse(spark, sf_dir))
+    return quality.pitcher_recoverable(_layers(spark, sf_dir))
 
 
 @query
 def dq_traded_nonvacuous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.traded_nonvacuous(_warehouse(spark, sf_dir))
+    return quality.traded_nonvacuous(_layers(spark, sf_dir))
 
 
 @query
 def dq_traded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.traded_counts(_warehouse(spark, sf_dir))
+    return quality.traded_counts(_layers(spark, sf_dir))
 
 
 @query
 def dq_grain_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.grain_guard(_warehouse(spark, sf_dir))
+    return quality.grain_guard(_layers(spark, sf_dir))
+
+
+@query
+def dq_full_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the suite, fused by table."""
+    return quality.full_suite(_layers(spark, sf_dir))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections import ChainMap
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +32,24 @@ REPORTING = (
 class Warehouse:
     """Staging, marts and reporting over five raw tables.
 
-    Every table is a lazy plan. ``stored`` supplies marts that are already written; the
-    reports then read those instead of aggregating the pitches again.
+    Every table is a lazy plan. ``stored`` supplies tables that are already written, those of any layer but
+    the pitches; what is built on them reads those instead of building them again. A ``guarded``
+    warehouse fails where a club, player or status that a report joins has two rows, instead of giving
+    the report's rows twice.
     """
 
     def __init__(
-        self, raw: Mapping[str, DataFrame], stored: Mapping[str, DataFrame] | None = None
+        self,
+        raw: Mapping[str, DataFrame],
+        stored: Mapping[str, DataFrame] | None = None,
+        guarded: bool = False,
     ) -> None:
         missing = set(RAW_SCHEMAS) - set(raw)
         if missing:
             raise KeyError(f"raw tables missing: {sorted(missing)}")
         self._raw = raw
         self._stored = {} if stored is None else stored
+        self._guarded = guarded
 
     def raw(self, name: str) -> DataFrame:
         """A raw table, checked against its declared columns and types."""
@@ -61,12 +68,15 @@ class Warehouse:
 
     def with_stored(self, written: Mapping[str, DataFrame]) -> Warehouse:
         """A warehouse that reads the given marts instead of building them."""
-        return Warehouse(self._raw, ChainMap(written, self._stored))
+        return Warehouse(self._raw, ChainMap(written, self._stored), self._guarded)
 
     @cached_property
     def player_lookup(self) -> DataFrame:
         return self.raw("player_lookup")
 
+    def _stored_or(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self._stored[name] if name in self._stored else build()
+
     # staging
 
     @cached_property
@@ -75,89 +85,148 @@ class Warehouse:
 
     @cached_property
     def stg_mlb_teams(self) -> DataFrame:
-        return staging.stage_teams(self.raw("mlb_teams"))
+        return self._stored_or(
+            "stg_mlb_teams", lambda: staging.stage_teams(self.raw("mlb_teams"))
+        )
 
     @cached_property
     def stg_mlb_rosters(self) -> DataFrame:
-        return staging.stage_rosters(self.raw("mlb_rosters"))
+        return self._stored_or(
+            "stg_mlb_rosters", lambda: staging.stage_rosters(self.raw("mlb_rosters"))
+        )
 
     @cached_property
     def stg_mlb_roster_status(self) -> DataFrame:
-        return staging.stage_roster_status(self.raw("mlb_roster_status"))
+        return self._stored_or(
+            "stg_mlb_roster_status", lambda: staging.stage_roster_status(self.raw("mlb_roster_status"))
+        )
 
     # marts
 
-    def _mart(self, name: str, build) -> DataFrame:
-        return self._stored[name] if name in self._stored else build()
-
     @cached_property
     def mart_batter_game_stats(self) -> DataFrame:
-        return self._mart(
+        return self._stored_or(
             "mart_batter_game_stats", lambda: game_facts.batter_games(self.stg_statcast_pitches)
         )
 
     @cached_property
     def mart_pitcher_game_stats(self) -> DataFrame:
-        return self._mart(
+        return self._stored_or(
             "mart_pitcher_game_stats", lambda: game_facts.pitcher_games(self.stg_statcast_pitches)
         )
 
     @cached_property
     def dim_team(self) -> DataFrame:
-        return self._mart("dim_team", lambda: attach.team_dimension(self.stg_mlb_teams))
+        return self._stored_or("dim_team", lambda: attach.team_dimension(self.stg_mlb_teams))
 
     @cached_property
     def dim_roster_status(self) -> DataFrame:
-        return self._mart(
+        return self._stored_or(
             "dim_roster_status",
             lambda: attach.status_dimension(self.stg_mlb_roster_status, self.dim_team),
         )
 
     # reporting
 
+    def _joined(self, name: str, key: str) -> DataFrame:
+        """A table as the reports join it."""
+        dim = self.table(name)
+        return attach.one_row_per_key(dim, key, name) if self._guarded else dim
+
+    @cached_property
+    def _clubs(self) -> DataFrame:
+        return self._joined("dim_team", "team_abbrev")
+
+    @cached_property
+    def _players(self) -> DataFrame:
+        return self._joined("player_lookup", "mlbam_id")
+
+    @cached_property
+    def _status(self) -> DataFrame:
+        return self._joined("dim_roster_status", "mlbam_id")
+
     @cached_property
     def rpt_league_batting_kpis(self) -> DataFrame:
-        return rollups.league_batting(self.mart_batter_game_stats)
+        return self._stored_or(
+            "rpt_league_batting_kpis", lambda: rollups.league_batting(self.mart_batter_game_stats)
+        )
 
     @cached_property
     def rpt_batter_season(self) -> DataFrame:
-        return reports.batter_season(
-            self.mart_batter_game_stats, self.player_lookup, self.dim_team, self.dim_roster_status
+        return self._stored_or(
+            "rpt_batter_season",
+            lambda: reports.batter_season(
+                self.mart_batter_game_stats, self._players, self._clubs, self._status
+            ),
         )
 
     @cached_property
     def rpt_batter_game(self) -> DataFrame:
-        return reports.batter_game(
-            self.mart_batter_game_stats, self.player_lookup, self.dim_team, self.dim_roster_status
+        return self._stored_or(
+            "rpt_batter_game",
+            lambda: reports.batter_game(
+                self.mart_batter_game_stats, self._players, self._clubs, self._status
+            ),
         )
 
     @cached_property
     def rpt_league_pitching_kpis(self) -> DataFrame:
-        return rollups.league_pitching(self.mart_pitcher_game_stats)
+        return self._stored_or(
+            "rpt_league_pitching_kpis", lambda: rollups.league_pitching(self.mart_pitcher_game_stats)
+        )
 
     @cached_property
     def rpt_pitcher_season(self) -> DataFrame:
-        return reports.pitcher_season(
-            self.mart_pitcher_game_stats, self.dim_team, self.dim_roster_status
+        return self._stored_or(
+            "rpt_pitcher_season",
+            lambda: reports.pitcher_season(
+                self.mart_pitcher_game_stats, self._clubs, self._status
+            ),
         )
 
     @cached_property
     def rpt_pitcher_pitch_mix(self) -> DataFrame:
-        return reports.pitch_mix(
-            self.mart_pitcher_game_stats, self.dim_team, self.dim_roster_status
+        return self._stored_or(
+            "rpt_pitcher_pitch_mix",
+            lambda: reports.pitch_mix(
+                self.mart_pitcher_game_stats, self._clubs, self._status
+            ),
         )
 
 
 def _save(df: DataFrame, database: str, name: str, location: str) -> DataFrame:
-    table = f"{database}.{name}"
-    writer = df.write.mode("overwrite").option("path", f"{location}/{database}/{name}")
+    """Write a new version of a table and point its name there in one step.
+
+    The name is a view of the newest version, so a reader keeps the version it began with and a write
+    that dies leaves the former one in place.
+    """
+    spark = df.sparkSession
+    version = f"{name}__{time.time_ns()}"
+    writer = df.write
     if name in FACTS:
         day = F.col("game_date")
         parted = df.withColumns({"year": F.year(day), "month": F.month(day)})
-        writer = parted.hint("rebalance", "year", "month").write.mode("overwrite")
-        writer = writer.option("path", f"{location}/{database}/{name}").partitionBy("year", "month")
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table).selectExpr(*df.columns)
+        writer = parted.hint("rebalance", "year", "month").write.partitionBy("year", "month")
+    writer.option("path", f"{location}/{database}/{version}").saveAsTable(f"{database}.{version}")
+    chosen = ", ".join(f"`{column}`" for column in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {chosen} FROM {database}.{version}")
+    return spark.table(f"{database}.{name}")
+
+
+def former_versions(spark: SparkSession, database: str, older_than_days: float) -> list[str]:
+    """Tables that are no longer the newest version of their name since so many days; they can be dropped."""
+    names = [row.name for row in spark.catalog.listTables(database) if "__" in row.name]
+    by_name: dict[str, list[tuple[int, str]]] = {}
+    for version in names:
+        name, _, at = version.rpartition("__")
+        by_name.setdefault(name, []).append((int(at), version))
+    limit = time.time_ns() - int(older_than_days * 86_400 * 10**9)
+    found = []
+    for versions in by_name.values():
+        versions.sort()
+        # A version is former since the next one was begun.
+        found += [version for (_, version), (next_at, _) in zip(versions, versions[1:]) if next_at < limit]
+    return sorted(found)
 
 
 def register(
@@ -170,9 +239,9 @@ def register(
     """Store the marts as tables and expose every layer to ``spark.sql``.
 
     Raw, staging and reporting tables become temporary views: ``raw_<source>`` and their own
-    names. The marts become tables ``marts.<name>`` below ``location``, the facts partitioned
-    by year and month of the game. A temporary view ends with its session and can not be qualified
-    by a database; the layers in ``saved`` (``staging``, ``reporting``) are also stored as tables
+    names. The marts are stored below ``location``, the facts partitioned by year and month of the game, and
+    ``marts.<name>`` stands for the newest version of each. A temporary view ends with its session and can not be qualified
+    by a database; the layers in ``saved`` (``staging``, ``reporting``) are also stored, as
     ``<layer>.<name>``. The returned warehouse reads the stored marts.
     """
     for name in config.source_names:

@@ -67,6 +67,31 @@ def test_repeated_join_keys_and_the_fanout_they_cause(spark):
     assert failing(quality.batter_recoverable(warehouse)) != {}
 
 
+@pytest.mark.parametrize(
+    "teams, players, status, key",
+    [
+        ([small.team(1, "HOM"), small.team(2, "AWY"), small.team(3, "AWY")], None, None, "dim_team.team_abbrev = AWY"),
+        (None, [{"mlbam_id": small.BATTER, "first_name": name} for name in "ab"], None, "player_lookup.mlbam_id = 10"),
+    ],
+)
+def test_guarded_reports_fail_on_a_repeated_key(spark, teams, players, status, key):
+    raw = small.raw_tables(spark, rows=traded_game(), teams=teams, players=players, status=status)
+    assert Warehouse(raw).rpt_batter_season.count() > Warehouse(small.raw_tables(spark, rows=traded_game())).rpt_batter_season.count()
+    guarded = Warehouse(raw, guarded=True)
+    for report in (guarded.rpt_batter_season, guarded.with_stored_marts().rpt_batter_game):
+        with pytest.raises(Exception, match=f"repeated key: {key}"):
+            report.collect()
+
+
+def test_guarded_reports_equal_others_and_bear_missing_keys(spark):
+    teams = [small.team(1, "HOM"), small.team(2, "AWY"), small.team(3, None), small.team(4, None)]
+    raw = small.raw_tables(spark, rows=traded_game(), teams=teams)
+    for name in ("rpt_batter_season", "rpt_batter_game", "rpt_pitcher_season", "rpt_pitcher_pitch_mix"):
+        plain, guarded = (Warehouse(raw, guarded=g).table(name) for g in (False, True))
+        assert plain.columns == guarded.columns
+        assert plain.exceptAll(guarded).count() == guarded.exceptAll(plain).count() == 0
+
+
 def test_values_outside_the_list(spark):
     rows = [*small.game(), small.pitch(8, 1, stand="S", type=None), small.pitch(8, 2, type="Q")]
     found = failing(quality.closed_lists(Warehouse(small.raw_tables(spark, rows=rows))))

@@ -110,3 +110,28 @@ def test_top_k_does_not_sort_everything(spark, sf_dir):
 def test_count_by_date_reads_two_columns(spark, sf_dir):
     text = plan(QUERIES["profile_pitches_by_date"](spark, sf_dir))
     assert "ReadSchema: struct<game_date:bigint,pitch_type:string>" in text
+
+
+def scans(text: str) -> int:
+    return len(re.findall(r"\nLocation: ", text))
+
+
+@pytest.mark.parametrize(
+    "name, tables, exchanges",
+    [
+        ("dq_not_null", 12, 12), ("dq_accepted_values", 2, 2), ("dq_unique", 5, 2), ("dq_join_keys", 2, 2),
+        ("dq_composite_grain", 3, 2), ("dq_relationships", 5, 7), ("profile_status_attach", 4, 4),
+        ("profile_team_coverage", 2, 2), ("profile_team_distribution", 3, 5),
+    ],
+)
+def test_rules_and_profiles_scan_each_table_once(spark, sf_dir, name, tables, exchanges):
+    frame = QUERIES[name](spark, sf_dir)
+    text = plan(frame)
+    assert scans(text) == tables
+    tree = text.split("\n\n")[0]
+    assert len(re.findall(r"[+:]- (?:\* )?Exchange", tree)) <= exchanges
+
+
+def test_the_suite_scans_row_rules_and_key_rules_once(spark, sf_dir):
+    """12 tables for rows, 8 for keys, 5 for references, 2 for clubs by game, 4 and 2 for totals and trades."""
+    assert scans(plan(QUERIES["dq_full_suite"](spark, sf_dir))) <= 12 + 8 + 5 + 2 + 4 + 2
