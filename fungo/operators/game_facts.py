@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fungo.functions import pitch
+from fungo.functions import pitch, short_text
 from fungo.functions.numeric import safe_divide
 
 GAME_KEYS = ("game_id", "game_date", "game_year", "home_team", "away_team")
@@ -20,7 +20,7 @@ class GameMetrics:
 
     ``appearances``: distinct plate appearances with at least one pitch that meets the test.
     ``counts``: pitches that meet the test. ``means`` and ``peaks``: average and maximum of a
-    value, nulls left out. ``codes``: single letters, by maximum. ``names``: text that does not vary
+    value, nulls left out. ``codes``: texts of a few letters, by maximum. ``names``: text that does not vary
     within a plate appearance, by maximum over the game.
     """
 
@@ -39,8 +39,9 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
     second is a plain conditional count: no row is copied per distinct expression. Both steps
     combine on the map side before they shuffle. Averages travel as sum and count.
 
-    The maximum of a text can not be kept in a hash table and would have every pitch sorted. Letters
-    are therefore compared by their code, and names are grouping keys until a game is a few rows.
+    The maximum of a text can not be kept in a hash table and would have every pitch sorted. Codes
+    are therefore compared as numbers of the same order, which hold seven bytes; a longer one fails
+    instead of being cut. Names are grouping keys until a game is a few rows.
     """
     named = pitches.withColumns(dict(metrics.names))
     per_appearance = named.groupBy(*keys, *metrics.names, "at_bat_number").agg(
@@ -50,7 +51,7 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
         *(F.sum(value).alias(f"{name}_sum") for name, value in metrics.means.items()),
         *(F.count(value).alias(f"{name}_n") for name, value in metrics.means.items()),
         *(F.max(value).alias(name) for name, value in metrics.peaks.items()),
-        *(F.max(F.ascii(value)).alias(name) for name, value in metrics.codes.items()),
+        *(F.max(short_text.to_code(value)).alias(name) for name, value in metrics.codes.items()),
     )
     numbered = F.col("at_bat_number").isNotNull()
     parts = [f"{name}_{part}" for name in metrics.means for part in ("sum", "n")]
@@ -69,16 +70,11 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
     return games.withColumns(
         {
             **{name: safe_divide(F.col(f"{name}_sum"), F.col(f"{name}_n")) for name in metrics.means},
-            **{name: _letter(F.col(name)) for name in metrics.codes},
+            **{name: short_text.to_text(F.col(name)) for name in metrics.codes},
         }
     )
 
 
-def _letter(code: Column) -> Column:
-    """The letter of a code; the empty text has code 0."""
-    return F.when(code == 0, F.lit("")).otherwise(F.char(code))
-
-
 def _when_in_play(value: str) -> Column:
     return F.when(pitch.in_play(), F.col(value))
 

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from fungo.functions import dates, labels, numeric
+from fungo.functions import dates, labels, numeric, short_text
 from fungo.sources import derived
 from tests import small
 
@@ -159,3 +159,16 @@ def test_range_bounds_enclose_the_days(spark):
     far = [(small.FIRST_DAY_NS + 2 * small.DAY_NS,), (small.FIRST_DAY_NS - small.DAY_NS,)]
     assert spark.createDataFrame(far, "ns bigint").where(test).count() == 0
     assert day + timedelta(days=1) == date(2026, 3, 28)
+
+
+def test_short_texts_keep_order_and_come_back_whole(spark):
+    texts = ["", "L", "R", "Left", "Right", "Ł", "LL", "L\0", "é", "1234567", "zzzzzzz", "\x7f"]
+    frame = spark.createDataFrame([(text,) for text in [*texts, None]], "text string")
+    coded = frame.select("text", short_text.to_code(F.col("text")).alias("code"))
+    rows = coded.select("text", "code", short_text.to_text(F.col("code")).alias("back")).collect()
+    assert all(row.text == row.back for row in rows)
+    known = [row for row in rows if row.text is not None]
+    by_code = [row.text for row in sorted(known, key=lambda row: row.code)]
+    assert by_code == sorted(texts, key=lambda text: text.encode())
+    with pytest.raises(Exception, match="longer than 7 bytes: Left-handed"):
+        spark.createDataFrame([("Left-handed",)], "text string").select(short_text.to_code(F.col("text"))).collect()

@@ -178,3 +178,11 @@ def test_mix_by_stint_weights_games_by_their_pitches(spark):
     assert len(mix) == 9
     assert (mix["four_seam"], mix["curveball"], mix["other"]) == (0.75, 0.25, 0.0)
     assert rollups.mix_long(games, "pitcher_id", "game_id").count() == 18
+
+
+@pytest.mark.parametrize("sides, expected", [(("Left", "L"), "Left"), (("", None), ""), (("Ł", "R"), "Ł")])
+def test_labels_come_back_whole(spark, sides, expected):
+    rows = [small.pitch(n, 1, stand=side, p_throws=side) for n, side in enumerate(sides)]
+    staged = staging.stage_pitches(small.pitches(spark, rows))
+    assert game_facts.batter_games(staged).first().batter_side == expected
+    assert game_facts.pitcher_games(staged).first().pitcher_throws == expected
