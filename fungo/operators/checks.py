@@ -92,8 +92,8 @@ def reference_rules(
 ) -> DataFrame:
     """Missing parents of all rules from one scan of each child and one of the parent.
 
-    Child rows are counted per value before the anti-join, so a value carried by a large part of the
-    rows is one row in the shuffle.
+    Child rows are counted per value before the join, so a value carried by a large part of the rows is
+    one row in the shuffle.
     """
     values = [
         tables(rule.table)
@@ -103,8 +103,10 @@ def reference_rules(
         .select(F.lit(rule.rule).alias("rule"), "value", "n")
         for rule in rules
     ]
-    orphans = stack(values).join(parent.select(F.col(field).alias("value")), "value", "left_anti")
-    return _with_all(orphans, [rule.rule for rule in rules])
+    # An anti-join would be moved below the union and read the parent once for each child.
+    known = parent.select(F.col(field).alias("value")).distinct().withColumn("known", F.lit(True))
+    joined = stack(values).join(known, "value", "left")
+    return _with_all(joined.where(F.col("known").isNull()), [rule.rule for rule in rules])
 
 
 def stack(results: Sequence[DataFrame]) -> DataFrame:
