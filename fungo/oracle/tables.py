@@ -10,6 +10,7 @@ from fungo.oracle.values import (
     INJURED_CODES,
     MIX_LABELS,
     NOT_AT_BAT_EVENTS,
+    PITCH_COLUMNS,
     PITCH_LABELS,
     STRIKEOUT_EVENTS,
     SWING_DESCRIPTIONS,
@@ -17,7 +18,6 @@ from fungo.oracle.values import (
     WALK_EVENTS,
     WHIFF_DESCRIPTIONS,
 )
-from fungo.schemas import PITCH_COLUMNS, PITCHES
 from fungo.sources import derived
 
 
@@ -53,9 +53,8 @@ TABLES["line_type"] = f"select *, {_columns(derived.TYPE_STEP)} from line_event"
 TABLES["raw_pitches"] = (
     "select "
     + ", ".join(
-        f"cast({derived.PITCH_STEP.get(field.name, 'null')} as {field.dataType.simpleString()})"
-        f" as {field.name}"
-        for field in PITCHES
+        f"cast({derived.PITCH_STEP.get(name, 'null')} as {kind}) as {name}"
+        for name, _, kind in PITCH_COLUMNS
     )
     + " from line_type"
 )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from fungo.config import Config
 from fungo.oracle import values
 from fungo.oracle.tables import BATTER_RATES, BATTER_TOTALS, DAY, PITCHER_RATES, PITCHER_TOTALS
 from fungo.oracle.tables import listed, mean, ratio, with_tables
@@ -11,10 +10,9 @@ from fungo.oracle.values import (
     MIX_LABELS,
     NULL_RATE_COLUMNS,
     NUMERIC_COLUMNS,
+    PITCH_COLUMNS,
     PITCHER_GAME_COLUMNS,
 )
-from fungo.plans import ingestion
-from fungo.schemas import PITCH_COLUMNS, PLAYER_LOOKUP, TEAMS
 
 _TEAM_STATUS = (
     "team_id, team_abbrev, team_name, league_name, division_name, availability,"
@@ -167,16 +165,16 @@ TEXTS["src_parquet_scan"] = _out(
 )
 TEXTS["preview_table"] = _out(
     f"""select game_pk, at_bat_number, pitch_number, batter, pitcher, pitch_type, events
-    from raw_pitches where {DAY} between date '{ingestion.PREVIEWED_DATES[0]}'
-        and date '{ingestion.PREVIEWED_DATES[1]}'
+    from raw_pitches where {DAY} between date '{values.PREVIEWED_DATES[0]}'
+        and date '{values.PREVIEWED_DATES[1]}'
     order by game_pk, at_bat_number, pitch_number limit 5"""
 )
-_first, _last = (f"date '{day}'" for day in ingestion.SELECTED_DATES)
+_first, _last = (f"date '{day}'" for day in values.SELECTED_DATES)
 TEXTS["date_range_select"] = _out(
     f"""select game_id, at_bat_number, pitch_number, game_date, batter_id, pitcher_id
     from pitches where game_date between {_first} and {_last}"""
 )
-_days = Config().chunk_size_days
+_days = values.CHUNK_DAYS
 TEXTS["date_chunks"] = _out(
     f"""select chunk_start, least(chunk_start + {_days - 1}, last_day) as chunk_end,
         count(game_date) as pitches
@@ -192,7 +190,7 @@ TEXTS["date_chunks"] = _out(
 TEXTS["chunk_union"] = _out(
     "select * from raw_pitches", _RAW_PITCH_DOUBLES
 )
-_until = f"date '{ingestion.FIRST_BATCH_UNTIL}'"
+_until = f"date '{values.FIRST_BATCH_UNTIL}'"
 TEXTS["ingest_append_vs_refresh"] = _out(
     f"""select mode, game_date, sum(copies)::bigint as n_rows,
         sum(copies * (batter * pitch_number + pitcher))::bigint as numbers,
@@ -295,15 +293,21 @@ TEXTS["registry_shape"] = _out(
         pro_played_first as mlb_debut_year, pro_played_last as mlb_last_year, birth_year
     from ({_REGISTRY}) where key_mlbam is not null"""
 )
-TEXTS["registry_id_coerce"] = _out(f"select {', '.join(PLAYER_LOOKUP.names)} from raw_players")
+TEXTS["registry_id_coerce"] = _out(f"select {', '.join(values.PLAYER_COLUMNS)} from raw_players")
 TEXTS["teams_json_flatten"] = _out(
     "select "
     + ", ".join(
         f"if(team_id % 2 = 0, {name}, null) as {name}" if name.startswith("division") else name
-        for name in TEAMS.names
+        for name in values.TEAM_COLUMNS
     )
     + " from raw_teams"
 )
+TEXTS["teams_json_delivered"] = _out(
+    """select team_id, team_name, if(team_id % 3 = 0, null, league_id) as league_id, league_name,
+        cast(null as varchar) as venue_name, team_id + 1800 as founded, location_name as city,
+        if(team_id % 3 = 0, 'n/a', cast(league_id as varchar)) as delivered_league
+    from raw_teams"""
+)
 TEXTS["rosters_json_flatten"] = _out(
     "select '40Man' as roster_type, * from raw_rosters"
     " union all select 'fullRoster', * from raw_status"

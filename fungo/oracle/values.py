@@ -100,3 +100,131 @@ GRAINS = (('rpt_batter_season', ('batter_id', 'batter_team')),
 JOIN_KEYS = (('dim_team', 'team_abbrev'), ('player_lookup', 'mlbam_id'))
 RECOVERED_BATTER_TOTALS = ('plate_appearances', 'at_bats', 'hits', 'home_runs', 'strikeouts', 'walks', 'batted_balls')
 RECOVERED_PITCHER_TOTALS = ('total_pitches', 'batters_faced', 'strikeouts', 'walks', 'hits_allowed', 'home_runs_allowed')
+
+# Raw pitch columns, their staged names and raw types.
+PITCH_COLUMNS = (
+    ("game_pk", "game_id", "bigint"),
+    ("game_date", "game_date", "bigint"),
+    ("game_year", "game_year", "bigint"),
+    ("game_type", "game_type", "string"),
+    ("at_bat_number", "at_bat_number", "bigint"),
+    ("pitch_number", "pitch_number", "bigint"),
+    ("batter", "batter_id", "bigint"),
+    ("pitcher", "pitcher_id", "bigint"),
+    ("player_name", "pitcher_name", "string"),
+    ("stand", "batter_side", "string"),
+    ("p_throws", "pitcher_throws", "string"),
+    ("age_bat", "age_bat", "bigint"),
+    ("age_pit", "age_pit", "bigint"),
+    ("home_team", "home_team", "string"),
+    ("away_team", "away_team", "string"),
+    ("inning", "inning", "bigint"),
+    ("inning_topbot", "inning_half", "string"),
+    ("outs_when_up", "outs_when_up", "bigint"),
+    ("balls", "balls", "bigint"),
+    ("strikes", "strikes", "bigint"),
+    ("on_1b", "on_1b", "bigint"),
+    ("on_2b", "on_2b", "bigint"),
+    ("on_3b", "on_3b", "bigint"),
+    ("home_score", "home_score", "bigint"),
+    ("away_score", "away_score", "bigint"),
+    ("bat_score", "bat_score", "bigint"),
+    ("fld_score", "fld_score", "bigint"),
+    ("post_home_score", "post_home_score", "bigint"),
+    ("post_away_score", "post_away_score", "bigint"),
+    ("post_bat_score", "post_bat_score", "bigint"),
+    ("post_fld_score", "post_fld_score", "bigint"),
+    ("home_score_diff", "home_score_diff", "bigint"),
+    ("bat_score_diff", "bat_score_diff", "bigint"),
+    ("home_win_exp", "home_win_exp", "double"),
+    ("bat_win_exp", "bat_win_exp", "double"),
+    ("delta_home_win_exp", "delta_home_win_exp", "double"),
+    ("delta_run_exp", "delta_run_exp", "double"),
+    ("delta_pitcher_run_exp", "delta_pitcher_run_exp", "double"),
+    ("pitch_type", "pitch_type", "string"),
+    ("pitch_name", "pitch_name", "string"),
+    ("release_speed", "pitch_velocity_mph", "double"),
+    ("effective_speed", "effective_velocity_mph", "double"),
+    ("release_spin_rate", "spin_rate_rpm", "double"),
+    ("spin_axis", "spin_axis", "double"),
+    ("release_extension", "extension_ft", "double"),
+    ("release_pos_x", "release_pos_x_ft", "double"),
+    ("release_pos_y", "release_pos_y_ft", "double"),
+    ("release_pos_z", "release_pos_z_ft", "double"),
+    ("pfx_x", "pfx_x", "double"),
+    ("pfx_z", "pfx_z", "double"),
+    ("plate_x", "plate_x", "double"),
+    ("plate_z", "plate_z", "double"),
+    ("zone", "zone", "bigint"),
+    ("vx0", "vx0", "double"),
+    ("vy0", "vy0", "double"),
+    ("vz0", "vz0", "double"),
+    ("ax", "ax", "double"),
+    ("ay", "ay", "double"),
+    ("az", "az", "double"),
+    ("api_break_z_with_gravity", "api_break_z_with_gravity", "double"),
+    ("api_break_x_arm", "api_break_x_arm", "double"),
+    ("api_break_x_batter_in", "api_break_x_batter_in", "double"),
+    ("arm_angle", "arm_angle", "double"),
+    ("sz_top", "sz_top", "double"),
+    ("sz_bot", "sz_bot", "double"),
+    ("if_fielding_alignment", "if_fielding_alignment", "string"),
+    ("of_fielding_alignment", "of_fielding_alignment", "string"),
+    ("type", "pitch_outcome_category", "string"),
+    ("description", "pitch_description", "string"),
+    ("des", "play_description", "string"),
+    ("events", "events", "string"),
+    ("bb_type", "batted_ball_type", "string"),
+    ("launch_speed", "exit_velocity_mph", "double"),
+    ("launch_angle", "launch_angle_deg", "string"),
+    ("hit_distance_sc", "hit_distance_ft", "double"),
+    ("hc_x", "hc_x", "double"),
+    ("hc_y", "hc_y", "double"),
+    ("hit_location", "hit_location", "bigint"),
+    ("launch_speed_angle", "launch_speed_angle", "bigint"),
+    ("bat_speed", "bat_speed", "double"),
+    ("swing_length", "swing_length", "double"),
+    ("attack_angle", "attack_angle", "double"),
+    ("attack_direction", "attack_direction", "double"),
+    ("swing_path_tilt", "swing_path_tilt", "double"),
+    ("intercept_ball_minus_batter_pos_x_inches", "intercept_ball_minus_batter_pos_x_inches", "double"),
+    ("intercept_ball_minus_batter_pos_y_inches", "intercept_ball_minus_batter_pos_y_inches", "double"),
+    ("hyper_speed", "hyper_speed", "double"),
+    ("estimated_ba_using_speedangle", "xba", "double"),
+    ("estimated_woba_using_speedangle", "xwoba", "double"),
+    ("estimated_slg_using_speedangle", "xslg", "double"),
+    ("woba_value", "woba_value", "double"),
+    ("woba_denom", "woba_denom", "double"),
+    ("babip_value", "babip_value", "double"),
+    ("iso_value", "iso_value", "double"),
+    ("fielder_2", "fielder_2", "bigint"),
+    ("fielder_3", "fielder_3", "bigint"),
+    ("fielder_4", "fielder_4", "bigint"),
+    ("fielder_5", "fielder_5", "bigint"),
+    ("fielder_6", "fielder_6", "bigint"),
+    ("fielder_7", "fielder_7", "bigint"),
+    ("fielder_8", "fielder_8", "bigint"),
+    ("fielder_9", "fielder_9", "bigint"),
+    ("n_thruorder_pitcher", "n_thruorder_pitcher", "bigint"),
+    ("n_priorpa_thisgame_player_at_bat", "n_priorpa_thisgame_player_at_bat", "bigint"),
+    ("pitcher_days_since_prev_game", "pitcher_days_since_prev_game", "bigint"),
+    ("batter_days_since_prev_game", "batter_days_since_prev_game", "bigint"),
+    ("pitcher_days_until_next_game", "pitcher_days_until_next_game", "bigint"),
+    ("batter_days_until_next_game", "batter_days_until_next_game", "bigint"),
+)
+
+# Columns of the registry and of the clubs.
+PLAYER_COLUMNS = (
+    "mlbam_id", "fangraphs_id", "bbref_id", "last_name", "first_name", "given_name", "mlb_debut_year",
+    "mlb_last_year", "birth_year",
+)
+TEAM_COLUMNS = (
+    "team_id", "team_name", "team_abbrev", "team_short_name", "location_name", "league_id", "league_name",
+    "division_id", "division_name", "venue_name",
+)
+
+# Dates and days of the ingestion queries.
+PREVIEWED_DATES = ("2026-04-01", "2026-04-30")
+SELECTED_DATES = ("2026-04-15", "2026-06-10")
+FIRST_BATCH_UNTIL = "2026-06-30"
+CHUNK_DAYS = 7

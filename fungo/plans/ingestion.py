@@ -341,6 +341,30 @@ def teams_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.flatten_teams(feeds.read_teams_feed(spark, path, lines=True))
 
 
+def teams_json_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clubs of a feed with a field that is not declared and ids of the wrong kind, nothing of it lost."""
+    teams = raw_zone.RawZone(spark, sf_dir)["mlb_teams"]
+    club = F.struct(
+        F.col("team_id").alias("id"),
+        F.col("team_name").alias("name"),
+        F.struct(
+            F.when(F.col("team_id") % 3 == 0, F.lit("n/a")).otherwise(F.col("league_id").cast("string")).alias("id"),
+            F.col("league_name").alias("name"),
+        ).alias("league"),
+        F.struct((F.col("team_id") + 1800).alias("year"), F.col("location_name").alias("city")).alias("founded"),
+    )
+    path = fresh_folder(spark, "teams-feed")
+    documents = teams.groupBy("division_name").agg(F.collect_list(club).alias("teams"))
+    documents.select("teams", F.lit("notice").alias("copyright")).write.json(path)
+    flat = feeds.flatten_teams_delivered(feeds.read_feed(spark, path, lines=True))
+    return flat.select(
+        "team_id", "team_name", "league_id", "league_name", "venue_name",
+        F.get_json_object("delivered", "$.founded.year").cast("bigint").alias("founded"),
+        F.get_json_object("delivered", "$.founded.city").alias("city"),
+        F.get_json_object("delivered", "$.league.id").alias("delivered_league"),
+    )
+
+
 def rosters_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both roster types, a nested document for each club, flattened again.
 

@@ -137,6 +137,7 @@ for _build in (
     ingestion.registry_shape,
     ingestion.registry_id_coerce,
     ingestion.teams_json_flatten,
+    ingestion.teams_json_delivered,
     ingestion.rosters_json_flatten,
 ):
     query(_build)

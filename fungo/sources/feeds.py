@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fungo.functions.numeric import to_number
 from fungo.schemas import (
@@ -133,3 +134,45 @@ def flatten_rosters(feed: DataFrame, roster_type: str = "40Man") -> DataFrame:
         .dropna(subset=["mlbam_id"])
         .to(ROSTERS)
     )
+
+
+# Feeds with everything that was delivered
+
+
+def read_feed(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Documents of any shape as one ``document`` each, beside the columns of their folders."""
+    reader = spark.read.option("singleVariantColumn", "document").option("multiLine", not lines)
+    return reader.json(path)
+
+
+def _elements(feed: DataFrame, field: str) -> DataFrame:
+    """A row for each element of an array in the documents: ``element`` and the folders' columns."""
+    folders = [name for name in feed.columns if name != "document"]
+    arrays = feed.select(*folders, F.try_variant_get("document", f"$.{field}", "variant").alias("elements"))
+    exploded = arrays.lateralJoin(feed.sparkSession.tvf.variant_explode(F.col("elements").outer()))
+    return exploded.select(*folders, F.col("value").alias("element"))
+
+
+def _with_delivered(elements: DataFrame, paths: dict[str, str], declared: StructType) -> DataFrame:
+    """The declared columns, null where a value is missing or of another kind, and ``delivered``: the whole
+    element as JSON, with every field that is not declared."""
+    columns = []
+    for name, path in paths.items():
+        if "." not in path:
+            columns.append(F.col(path).alias(name))
+            continue
+        kind = declared[name].dataType.simpleString()
+        columns.append(F.try_variant_get("element", f"$.{path.split('.', 1)[1]}", kind).alias(name))
+    return elements.select(*columns, F.to_json("element").alias("delivered"))
+
+
+def flatten_teams_delivered(feed: DataFrame) -> DataFrame:
+    """``flatten_teams`` of ``read_feed`` documents, with each club as it was delivered."""
+    return _with_delivered(_elements(feed, "teams"), TEAM_PATHS, TEAMS)
+
+
+def flatten_rosters_delivered(feed: DataFrame, roster_type: str = "40Man") -> DataFrame:
+    """``flatten_rosters`` of ``read_feed`` documents, with each spot as it was delivered."""
+    spots = _elements(feed.where(F.col("roster_type") == roster_type), "roster")
+    folder = spots.withColumn("team_id", F.col("team_id").cast("bigint"))
+    return _with_delivered(folder, ROSTER_PATHS, ROSTERS).dropna(subset=["mlbam_id"])

@@ -13,7 +13,7 @@ from fungo.config import Config
 from fungo.operators.game_facts import batter_games
 from fungo.operators.staging import stage_pitches, stage_roster_status, stage_rosters
 from fungo.plans.warehouse import Warehouse, former_versions, register
-from fungo.schemas import PITCHES, SchemaDrift
+from fungo.schemas import PITCHES, TEAMS, SchemaDrift
 from fungo.session import fresh_folder
 from fungo.sources import feeds, landing, loads
 from fungo.streaming.incremental import ingest_new_files
@@ -146,6 +146,37 @@ def test_roster_feed(spark, tmp_path):
     assert [(r.mlbam_id, r.status_code) for r in full] == [(7, "A"), (8, None)]
 
 
+def test_feeds_keep_what_is_not_declared(spark, tmp_path):
+    clubs = [
+        {"id": 1, "name": "One", "league": {"id": "x", "name": "AL"}, "founded": 1901, "colors": ["red", None]},
+        {"id": 2, "division": None},
+    ]
+    (tmp_path / "a.json").write_text(json.dumps({"teams": clubs, "copyright": "c"}, indent=1))
+    (tmp_path / "b.json").write_text(json.dumps({"teams": []}))
+    (tmp_path / "c.json").write_text(json.dumps({"other": 1}))
+    flat = feeds.flatten_teams_delivered(feeds.read_feed(spark, str(tmp_path)))
+    assert flat.columns == [*TEAMS.names, "delivered"] and flat.drop("delivered").schema == TEAMS
+    rows = {r.team_id: r for r in flat.collect() if r.delivered}
+    assert (rows[1].league_name, rows[1].league_id, rows[2].division_id) == ("AL", None, None)
+    assert [json.loads(rows[n].delivered) for n in (1, 2)] == clubs
+
+
+def test_delivered_rosters_equal_the_declared_ones(spark, tmp_path):
+    spots = [
+        {"person": {"id": 7, "fullName": "Bo"}, "position": {"code": "7"}, "status": None, "note": {"a": [1]}},
+        {"person": None, "jerseyNumber": "1"},
+    ]
+    for kind, club in (("40Man", 1), ("40Man", 2), ("fullRoster", 1)):
+        folder = tmp_path / f"roster_type={kind}" / f"team_id={club}"
+        folder.mkdir(parents=True)
+        (folder / "r.json").write_text(json.dumps({"roster": spots if club == 1 else []}))
+    for kind in ("40Man", "fullRoster"):
+        plain = feeds.flatten_rosters(feeds.read_roster_feed(spark, str(tmp_path)), kind)
+        whole = feeds.flatten_rosters_delivered(feeds.read_feed(spark, str(tmp_path)), kind)
+        assert whole.drop("delivered").collect() == plain.collect()
+        assert [json.loads(r.delivered)["note"] for r in whole.collect()] == [{"a": [1]}]
+
+
 def test_one_club_and_one_status_per_player(spark):
     rosters = [small.spot(1, 5), small.spot(1, 3), small.spot(2, 9)]
     status = [
