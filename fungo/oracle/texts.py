@@ -557,6 +557,14 @@ TEXTS["all_player_ids"] = _out(
         union select pitcher_id from pitcher_games
     ) left join named on mlbam_id = player_id where player_id is not null"""
 )
+TEXTS["profile_date_gaps"] = _out(
+    """select batter_team, last_date, next_date, next_date - last_date - 1 as days_between
+    from (
+        select batter_team, game_date as last_date,
+            lead(game_date) over (partition by batter_team order by game_date) as next_date
+        from (select distinct batter_team, game_date from batter_games where game_date is not null)
+    ) where next_date - last_date > 1"""
+)
 TEXTS["profile_team_coverage"] = _out(
     " union all ".join(
         f"select '{role}' as role, count(*) as total_players, count(team_id) as with_team,"

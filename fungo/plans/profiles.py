@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fungo.functions import labels
@@ -245,6 +245,21 @@ def pitches_by_date(pitches: DataFrame) -> DataFrame:
     return pitches.groupBy("game_date").agg(_rows().alias("pitch_count")).orderBy("game_date")
 
 
+def date_gaps(games: DataFrame, *keys: str) -> DataFrame:
+    """Stretches of days without a game between two days with one, for each of ``keys``.
+
+    Days are made distinct before they are ordered, so a window holds the days of a calendar.
+    """
+    days = games.where(F.col("game_date").isNotNull()).select(*keys, "game_date").distinct()
+    following = F.lead("game_date").over(Window.partitionBy(*keys).orderBy("game_date"))
+    gaps = days.withColumn("next_date", following).withColumn(
+        "days_between", F.datediff("next_date", "game_date").cast("bigint") - 1
+    )
+    return gaps.where(F.col("days_between") > 0).select(
+        *keys, F.col("game_date").alias("last_date"), "next_date", "days_between"
+    )
+
+
 def team_coverage(warehouse: Warehouse) -> DataFrame:
     matched = F.count_if(F.col("team_id").isNotNull())
     measures = {

@@ -431,6 +431,12 @@ _pitch_profile("profile_null_rates", profiles.null_rate_columns)
 _pitch_profile("profile_pitches_by_date", profiles.pitches_by_date)
 
 
+@query
+def profile_date_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which a club had no game, between two on which it had."""
+    return profiles.date_gaps(_warehouse(spark, sf_dir).mart_batter_game_stats, "batter_team")
+
+
 @query
 def profile_batter_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.batter_overview(_warehouse(spark, sf_dir).mart_batter_game_stats)

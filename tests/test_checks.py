@@ -165,3 +165,12 @@ def test_lookup_that_repeats_a_player_does_not_multiply_totals(spark):
     )
     rows = {r.name: (r.x, r.mean) for r in explore.summarize(["name"]).collect()}
     assert rows == {"a": (6.0, 3.0), "b": (6.0, 6.0)}
+
+
+def test_date_gaps(spark):
+    days = [("A", "2026-04-01"), ("A", "2026-04-01"), ("A", "2026-04-02"), ("A", "2026-04-05"), ("B", "2026-04-03"), (None, None)]
+    games = spark.createDataFrame(days, "club string, day string").selectExpr("club", "date(day) as game_date")
+    (gap,) = profiles.date_gaps(games, "club").collect()
+    assert (gap.club, str(gap.last_date), str(gap.next_date), gap.days_between) == ("A", "2026-04-02", "2026-04-05", 2)
+    whole = [(str(g.last_date), g.days_between) for g in profiles.date_gaps(games).collect()]
+    assert whole == [("2026-04-03", 1)]
