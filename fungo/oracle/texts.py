@@ -248,6 +248,11 @@ TEXTS["ingest_refresh_deletions"] = _out(
     where game_date <= date '2026-04-30' and game_date <> date '2026-04-15'""",
     _BATTER_DOUBLES,
 )
+TEXTS["batter_stints_in_range"] = _out(
+    f"""select batter_id, batter_team, count(distinct game_id) as games, {BATTER_TOTALS}, {BATTER_RATES}
+    from batter_games where game_date between {_first} and {_last} group by batter_id, batter_team""",
+    _BATTER_SEASON_DOUBLES,
+)
 TEXTS["ingest_refresh_season"] = _out(
     f"""select batter_id, batter_team, count(distinct game_id) as games, {BATTER_TOTALS}, {BATTER_RATES}
     from batter_games where game_date between date '2026-04-09' and date '2026-04-30'

@@ -143,6 +143,13 @@ for _build in (
     query(_build)
 
 
+@query
+def batter_stints_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season lines of a range of dates; the stored fact is read in the folders of its months only."""
+    games = StoredFacts(spark, sf_dir, ingestion.SELECTED_DATES)["mart_batter_game_stats"]
+    return rollups.batter_stints(games)
+
+
 # reports from season totals that were kept up date by date
 
 

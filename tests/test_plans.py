@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 
 import __spark_entry__ as contract
+from fungo.plans.stored import StoredFacts
 from fungo.plans.warehouse import Warehouse
 from fungo.sources.raw_zone import RawZone
 
@@ -86,6 +87,15 @@ def test_bounded_zone_prunes_every_table(spark, sf_dir):
     assert any("year" in found and "month" in found for found in filters)
 
 
+def test_range_over_a_stored_fact_prunes_folders(spark, sf_dir):
+    frame = QUERIES["batter_stints_in_range"](spark, sf_dir)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]\n", plan(frame))[0]
+    assert "year" in filters and "month" in filters
+    stored = StoredFacts(spark, sf_dir, (date(2026, 5, 1), date(2026, 5, 31)))["mart_batter_game_stats"]
+    tree = stored._jdf.queryExecution().executedPlan()
+    assert stored.count() and "month" in tree.toString()
+
+
 def test_date_range_prunes_folders(spark, sf_dir):
     text = plan(QUERIES["date_range_select"](spark, sf_dir))
     filters = re.findall(r"PartitionFilters: \[(.*?)\]\n", text)[0]
