@@ -19,6 +19,7 @@ from fungo.sources.loads import Load
 from fungo.plans.stored import sets_of
 from fungo.streaming.incremental import (
     change_set,
+    ingest_new_files,
     ingest_new_loads,
     on_dates,
     refresh_mart,
@@ -143,12 +144,14 @@ def new_ingestion(spark: SparkSession) -> Ingested:
     )
 
 
-def bring_up_to_date(spark: SparkSession, state: Ingested) -> None:
-    """Take every load published since the last time into the facts, and these into season totals and sets."""
-    sides = (
-        (state.batter_mart, batter_games, state.batter_totals),
-        (state.pitcher_mart, pitcher_games, state.pitcher_totals),
-    )
+def bring_up_to_date(spark: SparkSession, state: Ingested, batting_only: bool = False) -> None:
+    """Take every load published since the last time into the facts, and these into season totals and sets.
+
+    ``batting_only`` keeps up the batters' fact and season; it has to be so from the first load on.
+    """
+    sides = [(state.batter_mart, batter_games, state.batter_totals)]
+    if not batting_only:
+        sides.append((state.pitcher_mart, pitcher_games, state.pitcher_totals))
     # A date is gone as long as one of them holds it, so a run that stopped half way is completed.
     tables = [table for mart, _, totals in sides for table in (mart, totals.by_date)] + [state.sets]
 
@@ -159,7 +162,8 @@ def bring_up_to_date(spark: SparkSession, state: Ingested) -> None:
             refresh_mart(spark, state.zone, mart, build, changes)
             games.append(spark.read.parquet(mart).where(on_dates("game_date", changes.changed)))
             totals.refresh(games[-1], changes, number)
-        write_dates(sets_of(*games), state.sets, changes)
+        if not batting_only:
+            write_dates(sets_of(*games), state.sets, changes)
 
     ingest_new_loads(spark, state.zone, state.progress, refresh)
 
@@ -195,10 +199,10 @@ def ingest_refresh_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = ns_to_date(F.col("game_date"))
     state = new_ingestion(spark)
     landing.land_pitches(pitches.where(day <= F.lit(REFRESHED_UNTIL + timedelta(days=14))), state.zone)
-    bring_up_to_date(spark, state)
+    ingest_new_files(spark, state.zone, state.batter_mart, state.progress, batter_games)
     kept = (day <= F.lit(REFRESHED_UNTIL)) & (day != F.lit(WITHDRAWN_DATE))
     landing.land_pitches(pitches.where(kept), state.zone, "full-refresh")
-    bring_up_to_date(spark, state)
+    ingest_new_files(spark, state.zone, state.batter_mart, state.progress, batter_games)
     return spark.read.parquet(state.batter_mart).select(*BATTER_GAME_COLUMNS)
 
 
@@ -210,12 +214,12 @@ def ingest_refresh_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = pitches.where(day <= F.lit(REFRESHED_UNTIL))
     withdrawn = day == F.lit(WITHDRAWN_DATE)
     landing.land_pitches(first, state.zone)
-    bring_up_to_date(spark, state)
+    bring_up_to_date(spark, state, batting_only=True)
     kept = first.where(~withdrawn & (day > F.lit(WITHDRAWN_DATE - timedelta(days=7))))
     landing.land_pitches(kept, state.zone, "full-refresh")
-    bring_up_to_date(spark, state)
+    bring_up_to_date(spark, state, batting_only=True)
     landing.land_pitches(first.where(withdrawn), state.zone)
-    bring_up_to_date(spark, state)
+    bring_up_to_date(spark, state, batting_only=True)
     return state.batter_totals.lines()
 
 
