@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -58,11 +59,9 @@ def test_families_first(spark):
     }
 
 
-def test_sample_is_bounded(spark, monkeypatch):
-    sizes = []
-    monkeypatch.setattr(l, "_fit", lambda rows, label, a, b: sizes.append(rows.count()) or l.Duel(a, b, np.zeros(l.SIZE), 1.0))
-    l.learn(spark.createDataFrame(table(spark), SCHEMA), per_language=10)
-    assert max(sizes) <= 40
+def test_sample_is_bounded(spark):
+    sample = l.sample_vectors(spark.createDataFrame(table(spark), SCHEMA), per_language=10)
+    assert {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()} == dict.fromkeys(SYLLABLES, 10)
 
 
 def test_one_or_no_language(spark):
@@ -79,3 +78,93 @@ def test_columns_of_the_same_name_are_replaced(spark):
     found = l.predict(frame, l.learn(frame))
     assert sorted(found.columns) == sorted([*frame.columns, "lang_pred"])
     assert dict(found.dtypes)["score"] == "double"
+
+
+def test_the_machine_is_the_minimum_of_its_loss():
+    rng = np.random.default_rng(3)
+    signs = np.where(np.arange(90) % 3 == 0, 1.0, -1.0)
+    for width in (4, 200):
+        rows = rng.normal(size=(90, width)) + signs[:, None] * 0.3
+        weights = l.fit(rows, signs, penalty=0.01)
+        full = np.hstack([rows, np.ones((90, 1))])
+        slack = np.maximum(0, 1 - signs * (full @ weights))
+        gradient = 0.01 * 90 * weights - full.T @ (signs * slack)
+        assert np.abs(gradient).max() < 1e-4
+
+
+def plain_trigrams(text):
+    """Share of each hashed trigram, byte by byte."""
+    codes = [32]
+    for byte in text.encode("utf-8"):
+        if 65 <= byte <= 90:
+            codes.append(byte + 32)
+        else:
+            codes.append(byte if byte >= 128 or 97 <= byte <= 122 else 32)
+    codes.append(32)
+    counts = [0] * l.SIZE
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        if b != 32:
+            counts[((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> (32 - l.BITS)] += 1
+    return [(n / max(1, sum(counts))) ** 0.5 for n in counts]
+
+
+def plain_winner(names, duels, vector):
+    votes, sums, least = {n: 0 for n in names}, {n: 0.0 for n in names}, {n: None for n in names}
+    for duel in duels:
+        margin = sum(w * x for w, x in zip(duel.weights, vector)) + duel.intercept
+        for name, own in ((duel.first, margin), (duel.second, -margin)):
+            votes[name] += own > 0
+            sums[name] += own
+            least[name] = own if least[name] is None else min(least[name], own)
+    best = sorted(names, key=lambda n: (-votes[n], -sums[n], n))[0]
+    return best, 1.0 if len(names) == 1 else 1 / (1 + math.exp(-2 * least[best]))
+
+
+def test_predictions_equal_a_plain_recomputation(spark):
+    rows = table(spark, 200, 5) + [(500, "Ünï 7 \n\tThe THE", "en", "s", 1), (501, "12", "en", "s", 1), (502, "x", "de", "s", 1)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    model = l.learn(frame)
+    for r in l.predict(frame, model).collect():
+        if not any(ch.isalpha() for ch in r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        vector = plain_trigrams(r.text)
+        family, sure = plain_winner(list(model.families), model.family_duels, vector)
+        langs = list(model.families[family])
+        lang, surer = plain_winner(langs, model.language_duels[family], vector)
+        assert r.lang_pred == lang and abs(r.score - min(sure, surer)) < 1e-9
+
+
+def made_up(labels, families, n, seed=2):
+    """Texts of languages no table lists; those of one family share most of their syllables."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    syllable = lambda: "".join(rng.choices(letters, k=3))
+    common = [[syllable() for _ in range(12)] for _ in range(families)]
+    own = [common[k % families] + [syllable() for _ in range(6)] for k in range(labels)]
+    return [
+        (i, " ".join("".join(rng.choices(own[i % labels], k=3)) for _ in range(40)), f"q{i % labels:02d}", "s", 1)
+        for i in range(n)
+    ]
+
+
+def test_unlisted_languages_find_families(spark):
+    rows = made_up(12, 3, 600)
+    model = l.learn(spark.createDataFrame(rows, SCHEMA))
+    expected = {tuple(f"q{k:02d}" for k in range(start, 12, 3)) for start in range(3)}
+    assert set(model.families.values()) == expected
+    assert len(model.family_duels) == 3 and all(len(d) == 6 for d in model.language_duels.values())
+    found = l.identify(spark.createDataFrame(rows, SCHEMA)).where("held_out").collect()
+    assert np.mean([r.lang_pred == f"q{r.doc_id % 12:02d}" for r in found]) > 0.95
+
+
+def test_listed_families_take_in_but_never_join():
+    east, west, north = np.eye(3)
+    centres = {"de": east, "fr": east + 0.01 * west, "xa": east + 0.02 * west, "xb": north, "xc": north + 0.1 * west}
+    centres = {name: c / np.linalg.norm(c) for name, c in centres.items()}
+    groups = l.group_languages(l.FAMILIES, centres)
+    assert "xa" in groups["germanic"] + groups["romance"] and groups["xb"] == ("xb", "xc")
+    assert len(groups) == 3
+    assert l.group_languages({}, {}) == {}
+    assert l.group_languages({}, {"a": east}) == {"a": ("a",)}
+    assert l.group_languages({}, {"a": east, "b": west}) == {"a": ("a",), "b": ("b",)}
