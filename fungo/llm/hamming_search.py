@@ -3,8 +3,15 @@
 A 64-bit code is cut into m segments. If two codes differ in at most r m + j bits, then they differ in at
 most r bits in some segment, or in fewer in all but the first j + 1; so after segments have been searched
 to radius r, and the first j + 1 of them in the last step, every code within r m + j is found. Each
-round widens the search of the queries that are not done, compares whole codes in the join, and
-keeps only what the radius covers; a query is done when that holds its k-th neighbour.
+round adds the patterns of the next radius, in one segment at a time where a step is dear, for the queries
+that are not done. A pair of codes is taken by the first step that meets it and compared once; the best of
+each query are carried on, and their worst distance bounds what a later round lets through. A query is
+done when the distance that is covered holds its k-th neighbour.
+
+There are about 64 / log2(n) segments for n codes, so that a pattern meets a code or so and the share of
+the pairs that is compared falls as the table grows. Wide segments have many patterns of a large
+radius: queries still open when a step would have more than ``MOST_MASKS`` start anew on ``FINE_SEGMENTS``
+narrow ones, which are searched to the end.
 
 Codes and queries are distinct codes with their least ids, k + 1 at most, so a vector with a third of all
 rows is one code, and a common query is searched once. Rounds are written to the shared folder.
@@ -16,6 +23,7 @@ vectors gives them all. The query itself is not its own neighbour.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,12 +33,12 @@ from fungo.session import materialize
 
 CODE_BITS = 64
 K = 10
-SEGMENTS = 5
-LEAST_SEGMENTS = 4
-# Radii searched in all segments before a round ends. Then a radius is added segment by segment, as most
-# codes have their neighbours there and each step of distance doubles what is covered; then whole radii
-# again, for the few outliers.
-FIRST_RADII, STEPWISE_RADIUS = (1, 2, 3), 4
+LEAST_SEGMENTS, FINE_SEGMENTS, MOST_SEGMENTS = 3, 5, 8
+# Most patterns that a step of the first search gives a query.
+MOST_MASKS = 8192
+# Steps are cheap up to the first radius and go together; most codes have their neighbours within the next
+# two, where each step costs about as much as all before it; then whole radii again, for the few outliers.
+CHEAP_RADII, STEPWISE_RADII = (1, 2), (3, 4)
 
 
 def sign_code(embedding: Column) -> Column:
@@ -54,13 +62,13 @@ def _segment(code: Column, start: int, width: int) -> Column:
     return F.shiftrightunsigned(code, start).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _masks(spark: SparkSession, segments: int) -> DataFrame:
-    """Every pattern of each segment's bits: two to the width, whatever the data."""
+def _masks(spark: SparkSession, segments: int, before: list[int], radii: list[int]) -> DataFrame:
+    """The patterns of each segment's bits that these radii add to those before."""
     parts = [
-        spark.range(1 << w).select(
-            F.lit(s).alias("m_segment"), F.col("id").alias("mask"), F.bit_count("id").alias("weight")
-        )
+        spark.range(1 << w).select(F.lit(s).alias("m_segment"), F.col("id").alias("mask"))
+        .where(F.bit_count("id").between(before[s] + 1, radii[s]))
         for s, (_, w) in enumerate(_segment_bounds(segments))
+        if radii[s] > before[s]
     ]
     return reduce(DataFrame.unionAll, parts)
 
@@ -78,77 +86,116 @@ def _members(codes: DataFrame, keep: int) -> DataFrame:
 
 
 def _cut(codes: DataFrame, column: str, segments: int) -> DataFrame:
-    """A row for each segment of each code: ``column``, ``segment``, ``value``."""
+    """A row for each segment of each code, with all its columns: ``segment``, ``value``."""
     entries = [
         F.struct(F.lit(s).alias("segment"), _segment(F.col(column), a, w).alias("value"))
         for s, (a, w) in enumerate(_segment_bounds(segments))
     ]
-    return codes.select(column, F.inline(F.array(*entries)))
+    return codes.select("*", F.inline(F.array(*entries)))
 
 
-def _probes(queries: DataFrame, masks: DataFrame, radii: list[int]) -> DataFrame:
+def _probes(queries: DataFrame, masks: DataFrame, segments: int) -> DataFrame:
     """Every value that a query searches in each segment."""
-    radius = F.get(F.array(*[F.lit(r) for r in radii]), F.col("m_segment"))
-    wanted = F.broadcast(masks.where(F.col("weight") <= radius))
-    own = _cut(queries, "query", len(radii))
-    probed = own.join(wanted, F.col("segment") == F.col("m_segment"))
+    probed = _cut(queries, "query", segments).join(F.broadcast(masks), F.col("segment") == F.col("m_segment"))
     value = F.col("value").bitwiseXOR(F.col("mask"))
-    return probed.select("query", F.col("segment").alias("q_segment"), value.alias("q_value"))
+    return probed.select("query", "limit", F.col("segment").alias("q_segment"), value.alias("q_value"))
+
+
+def _first_meeting(segments: int) -> Column:
+    """Whether no other segment meets the pair at a lesser radius, or at this one before this segment."""
+    difference = F.col("query").bitwiseXOR(F.col("code"))
+    weights = [F.bit_count(_segment(difference, a, w)) for a, w in _segment_bounds(segments)]
+    order = [weight * segments + place for place, weight in enumerate(weights)]
+    return F.pmod(F.least(*order), F.lit(segments)) == F.col("segment")
 
 
 def _rounds(segments: int) -> list[tuple[list[int], int]]:
     """Radii by segment and the distance that is covered then, until every code is."""
-    rounds = [([r] * segments, r * segments + segments - 1) for r in FIRST_RADII]
-    for j in range(segments):
-        radii = [STEPWISE_RADIUS - (place > j) for place in range(segments)]
-        rounds.append((radii, STEPWISE_RADIUS * segments + j))
-    while rounds[-1][1] < CODE_BITS:
-        radius = rounds[-1][0][0] + 1
-        rounds.append(([radius] * segments, radius * segments + segments - 1))
-    return rounds
+    rounds = [[r] * segments for r in CHEAP_RADII]
+    for radius in STEPWISE_RADII:
+        rounds += [[radius - (place > j) for place in range(segments)] for j in range(segments)]
+    while sum(rounds[-1]) + segments <= CODE_BITS:
+        rounds.append([rounds[-1][0] + 1] * segments)
+    return [(radii, sum(radii) + segments - 1) for radii in rounds]
+
+
+def segments_for(codes: int) -> int:
+    """Segments for a table of so many codes."""
+    fitting = round(CODE_BITS / math.log2(max(2, codes)))
+    return min(MOST_SEGMENTS, max(LEAST_SEGMENTS, fitting))
+
+
+def _search(
+    codes: DataFrame, queries: DataFrame, segments: int, keep: int, wanted: int, most_masks: int | None
+) -> tuple[list[DataFrame], DataFrame | None]:
+    """The ``keep`` nearest codes of each query that could be finished, and the open queries if there are any."""
+    spark = codes.sparkSession
+    index = materialize(_cut(codes, "code", segments), "segments")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy("distance", "least"))
+    width = max(w for _, w in _segment_bounds(segments))
+    active, best, done = queries.select("query", F.lit(CODE_BITS).alias("limit")), None, []
+    before = [-1] * segments
+    for radii, covered in _rounds(segments):
+        if most_masks is not None and math.comb(width, min(max(radii), width // 2)) > most_masks:
+            return done, active.select("query")
+        masks = _masks(spark, segments, before, radii)
+        distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
+        meeting = (
+            (F.col("q_segment") == F.col("segment"))
+            & (F.col("q_value") == F.col("value"))
+            & (distance <= F.col("limit"))
+            & _first_meeting(segments)
+        )
+        # A query becomes thousands of probes, which Spark does not foresee: it would broadcast them.
+        probes = _probes(active.repartition(tasks, "query"), masks, segments).hint("merge")
+        grown = [s for s in range(segments) if radii[s] > before[s]]
+        near = probes.join(index.where(F.col("segment").isin(grown)), meeting)
+        near = near.select("query", "code", "least", "ids", distance.alias("distance"))
+        pool = near if best is None else near.unionAll(best)
+        ranked = pool.withColumn("place", place).where(F.col("place") <= keep)
+        top = materialize(ranked, "nearest").drop("place")
+        held = F.sum(F.when(F.col("distance") <= covered, F.col("ids")).otherwise(0))
+        farthest = F.when(F.count("*") == keep, F.max("distance")).otherwise(CODE_BITS)
+        state = top.groupBy("query").agg((held >= wanted).alias("full"), farthest.alias("farthest"))
+        full = state.where("full").select("query")
+        done.append(top.join(full, "query", "left_semi"))
+        known = active.select("query").join(state, "query", "left")
+        still = known.where(~F.coalesce("full", F.lit(False)))
+        limit = F.coalesce("farthest", F.lit(CODE_BITS)).alias("limit")
+        active = materialize(still.select("query", limit), "open-queries")
+        if active.isEmpty():
+            return done, None
+        best = top.join(active.select("query"), "query", "left_semi")
+        before = radii
+    return done, None
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGMENTS
+    vectors: DataFrame, queries: DataFrame, k: int = K, segments: int | None = None
 ) -> DataFrame:
     """``query_id``, ``rank``, ``neighbor_id``, ``distance`` for the rows of ``queries``.
 
     Both tables have ``id`` and ``code``, as ``coded`` gives them; a query finds every other id.
-    ``segments`` is best near 64 / log2 of the number of codes.
+    ``segments`` follows the number of codes unless it is given.
     """
-    if segments < LEAST_SEGMENTS:
+    if segments is not None and segments < LEAST_SEGMENTS:
         raise ValueError(f"at least {LEAST_SEGMENTS} segments")
     members = materialize(_members(vectors, k + 1), "codes")
     asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct()
     asked = materialize(asked, "queries")
-    index = materialize(_cut(members.select("code").distinct(), "code", segments), "segments")
-    masks = _masks(vectors.sparkSession, segments)
-    active = asked.select("query").distinct()
+    codes = members.groupBy("code").agg(F.min("id").alias("least"), F.count("*").alias("ids"))
+    codes = materialize(codes, "distinct-codes")
     # With no more than this many ids in all, a query can not find k + 1.
     wanted = min(k + 1, members.count())
-    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = None
-    for radii, covered in _rounds(segments):
-        difference = F.col("query").bitwiseXOR(F.col("code"))
-        meeting = (
-            (F.col("q_segment") == F.col("segment"))
-            & (F.col("q_value") == F.col("value"))
-            & (F.bit_count(difference) <= covered)
-        )
-        # A query becomes thousands of probes, which Spark does not foresee: it would broadcast them.
-        probes = _probes(active.repartition(tasks, "query"), masks, radii).hint("merge")
-        near = probes.join(index, meeting).select("query", "code").distinct()
-        ids = near.join(members, "code").withColumn("distance", F.bit_count(difference))
-        best = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
-        top = ids.withColumn("place", best).where(F.col("place") <= k + 1)
-        top = materialize(top.select("query", "id", "distance", "place"), "nearest")
-        full = top.where(F.col("place") == wanted).select("query")
-        done = top.join(full, "query", "left_semi")
-        found = done if found is None else found.unionAll(done)
-        active = materialize(active.join(full, "query", "left_anti"), "open-queries")
-        if active.isEmpty():
-            break
-    pairs = asked.join(found, "query").where(F.col("query_id") != F.col("id"))
+    segments = segments or segments_for(codes.count())
+    distinct = asked.select("query").distinct()
+    narrow = segments >= FINE_SEGMENTS
+    found, left = _search(codes, distinct, segments, k + 1, wanted, None if narrow else MOST_MASKS)
+    if left is not None:
+        found += _search(codes, left, FINE_SEGMENTS, k + 1, wanted, None)[0]
+    near = reduce(DataFrame.unionAll, found).select("query", "code", "distance")
+    pairs = asked.join(near.join(members, "code"), "query").where(F.col("query_id") != F.col("id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
     ranked = pairs.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.select(
