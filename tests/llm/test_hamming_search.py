@@ -64,17 +64,6 @@ def test_rounds_cover_every_distance():
         assert h._rounds(segments)[-1][1] >= 64
 
 
-def test_open_queries_go_on_with_narrow_segments(spark, monkeypatch):
-    monkeypatch.setattr(h, "MOST_MASKS", 500)
-    rng = random.Random(9)
-    centre = [rng.gauss(0, 1) for _ in range(64)]
-    rows = [(i, [x + rng.gauss(0, 0.1) for x in centre]) for i in range(40)]
-    rows += [(100 + i, [rng.gauss(0, 1) for _ in range(64)]) for i in range(20)]
-    codes = h.coded(spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA))
-    found = h.nearest(codes, codes.where("id % 10 = 0"), 4, 4).collect()
-    assert sorted(map(tuple, found)) == plain_nearest(rows, [r for r in rows if r[0] % 10 == 0], 4)
-
-
 def test_a_third_of_all_vectors_equal(spark):
     rng = random.Random(4)
     same = [rng.gauss(0, 1) for _ in range(64)]
@@ -82,16 +71,3 @@ def test_a_third_of_all_vectors_equal(spark):
     codes = h.coded(spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA))
     found = h.nearest(codes, codes.where("id % 20 = 0")).collect()
     assert sorted(map(tuple, found)) == plain_nearest(rows, [r for r in rows if r[0] % 20 == 0], 10)
-
-
-def test_a_pair_is_met_by_one_step_only(spark):
-    rng = random.Random(6)
-    pairs = [(rng.getrandbits(64) - 2**63, rng.getrandbits(64) - 2**63) for _ in range(20)]
-    rows = [(query, code, s) for query, code in pairs for s in range(5)]
-    frame = spark.createDataFrame(rows, "query long, code long, segment int")
-    counts = frame.where(h._first_meeting(5)).groupBy("query", "code").count().collect()
-    assert len(counts) == 20 and all(r["count"] == 1 for r in counts)
-
-
-def test_segments_follow_the_number_of_codes():
-    assert [h.segments_for(n) for n in (0, 2_000, 10_000, 200_000, 10**9)] == [8, 6, 5, 4, 3]
