@@ -276,23 +276,21 @@ def learn(
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, which replace columns of the same name."""
+    """``docs`` with ``lang_pred`` and ``score``, which replace columns of the same name.
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                model.predict(text) if letter and text else (UNKNOWN, 0.0)
-                for text, letter in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist())
-            ]
-            columns = [*batch.columns[:-1], pa.array([f[0] for f in found]), pa.array([f[1] for f in found])]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "score"])
+    Texts are handed to Python a hundred at a time: an Arrow batch of ten thousand whole texts is held
+    several times over by each task.
+    """
+
+    @F.udf("lang_pred string, score double", useArrow=False)
+    def judge(text: str | None, letter: bool) -> tuple[str, float]:
+        return model.predict(text) if letter and text else (UNKNOWN, 0.0)
 
     kept = [name for name in docs.columns if name not in ("lang_pred", "score")]
-    at, last = kept.index("text"), len(kept)
-    (letter,) = free_names(docs, "letter")
-    marked = docs.select(*kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letter))
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    return marked.mapInArrow(judge, schema)
+    (judged,) = free_names(docs, "judged")
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    marked = docs.select(*kept, judge("text", letter).alias(judged))
+    return marked.select(*kept, f"{judged}.lang_pred", f"{judged}.score")
 
 
 def fold(doc_id: str = "doc_id"):

@@ -168,3 +168,9 @@ def test_listed_families_take_in_but_never_join():
     assert l.group_languages({}, {}) == {}
     assert l.group_languages({}, {"a": east}) == {"a": ("a",)}
     assert l.group_languages({}, {"a": east, "b": west}) == {"a": ("a",), "b": ("b",)}
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    frame = spark.createDataFrame(table(spark, 40), SCHEMA)
+    plan = l.predict(frame, l.learn(frame))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython") == 1 and "MapInArrow" not in plan
