@@ -16,6 +16,8 @@ from fungo.session import materialize
 
 PLATE = ("game_pk", "at_bat_number")
 PITCH_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+# Rows of a plate appearance that one task ranks.
+MOST_AT_ONCE = 100_000
 # Parts of one slice, and more slices than a line number can have.
 SLICE_PARTS, SLICE_SPAN = 2048, 1 << 40
 
@@ -233,41 +235,57 @@ def _extend(df: DataFrame, step: Mapping[str, str]) -> DataFrame:
 def _number_pitches(lines: DataFrame) -> DataFrame:
     """Add ``pitch_number`` and ``n_pitch`` within each plate appearance.
 
-    The order inside a plate appearance is first cut into slices, by line number and part
-    range, so that even one holding a third of all rows is ranked by many tasks: each slice
-    is numbered alone and shifted by the sizes of the slices before it.
+    A plate appearance is ranked by one task, unless it has more than ``MOST_AT_ONCE`` rows. The order
+    inside such a one, which may hold a third of all rows, is cut into slices by line number and part
+    range: each slice is numbered alone and shifted by the sizes of the slices before it.
+
+    All rows move once, with nothing but their own columns and the key; the slices' sizes are those of the large
+    plate appearances only, and these are so few (at most one for ``MOST_AT_ONCE`` rows) that
+    every task can have them. Lines without an order, a line number or a part count, but are no pitch.
     """
+    lines = lines.where(F.col("game_pk").isNotNull())
     part_slice = F.floor(F.col("l_partkey") / F.lit(SLICE_PARTS)).cast("long")
     sliced = lines.withColumn("slice", F.col("l_linenumber").cast("long") * SLICE_SPAN + part_slice)
-    cell = (*PLATE, "slice")
+    large = lines.groupBy(*PLATE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_AT_ONCE)
+    marked = sliced.join(F.broadcast(large.select(*PLATE, F.lit(True).alias("large"))), list(PLATE), "left")
+    # Null for a plate appearance that is not cut.
+    cut = marked.withColumn("cut", F.when(F.col("large"), F.col("slice"))).drop("large")
+    cell = (*PLATE, "cut")
 
     plate = Window.partitionBy(*PLATE)
     before = plate.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        sliced.groupBy(*cell)
+        sliced.join(F.broadcast(large.select(*PLATE)), list(PLATE), "left_semi")
+        .groupBy(*PLATE, "slice")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
-            *cell,
+            *PLATE,
+            F.col("slice").alias("cut"),
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"),
-            F.sum("n").over(plate).alias("n_pitch"),
+            F.sum("n").over(plate).alias("n_plate"),
         )
     )
-    place = F.row_number().over(Window.partitionBy(*cell).orderBy(*PITCH_ORDER))
+    within = Window.partitionBy(*cell)
     return (
-        sliced.withColumn("place", place)
-        .join(shifts, list(cell))
-        .withColumn("pitch_number", F.col("place") + F.col("shift"))
-        .drop("slice", "place", "shift")
+        cut.withColumn("place", F.row_number().over(within.orderBy("slice", *PITCH_ORDER)))
+        .withColumn("n_cell", F.count(F.lit(1)).over(within))
+        .where(F.col("slice").isNotNull())
+        .join(shifts, list(cell), "left")
+        .withColumn("pitch_number", F.col("place") + F.coalesce("shift", F.lit(0)))
+        .withColumn("n_pitch", F.coalesce("n_plate", "n_cell"))
+        .drop("slice", "cut", "place", "n_cell", "shift", "n_plate")
     )
 
 
 def pitches(lineitem: DataFrame) -> DataFrame:
     """The raw pitch table; columns without a source in ``lineitem`` are typed nulls."""
     lines = lineitem.select(*LINE_COLUMNS)
-    for step in (GAME_STEP, CLUB_STEP, SIDE_STEP):
-        lines = _extend(lines, step)
-    lines = _number_pitches(lines)
-    for step in (EVENT_STEP, TYPE_STEP):
+    plates = lines
+    for step in (GAME_STEP, CLUB_STEP):
+        plates = _extend(plates, step)
+    # The other steps' columns are made from the lines again once these are numbered.
+    lines = _number_pitches(plates.select(*LINE_COLUMNS, *PLATE)).drop(*PLATE)
+    for step in (GAME_STEP, CLUB_STEP, SIDE_STEP, EVENT_STEP, TYPE_STEP):
         lines = _extend(lines, step)
     return lines.select(
         *(

@@ -23,6 +23,7 @@ from fungo.schemas import (
     reconciled,
     widened,
 )
+from fungo.session import write_by_month
 from fungo.sources import loads
 from fungo.sources.loads import Load, Month
 
@@ -69,15 +70,10 @@ def with_partition_columns(raw_pitches: DataFrame) -> DataFrame:
 def write_months(raw_pitches: DataFrame, path: str) -> None:
     """Write pitches as a new table ``year=YYYY/month=M`` at ``path``.
 
-    The rebalance hint lets adaptive execution cut a large month into several files of even
-    size and join small ones, so neither a hot month nor many tiny files come out.
+    The rows, a hundred columns wide, are written where they lie: each task adds one file to each of its
+    months, so a hot month is in as many files as there are tasks and no row is shuffled or sorted for it.
     """
-    (
-        with_partition_columns(nan_to_null(raw_pitches))
-        .hint("rebalance", "year", "month")
-        .write.partitionBy("year", "month")
-        .parquet(path)
-    )
+    write_by_month(with_partition_columns(nan_to_null(raw_pitches)), path)
 
 
 def land_pitches(raw_pitches: DataFrame, path: str, mode: str = loads.APPEND) -> LoadAudit:

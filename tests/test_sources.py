@@ -15,7 +15,7 @@ from fungo.operators.staging import stage_pitches, stage_roster_status, stage_ro
 from fungo.plans.warehouse import Warehouse, former_versions, register
 from fungo.schemas import PITCHES, TEAMS, SchemaDrift
 from fungo.session import fresh_folder
-from fungo.sources import feeds, landing, loads
+from fungo.sources import derived, feeds, landing, loads
 from fungo.streaming.incremental import ingest_new_files
 from tests import small
 
@@ -446,3 +446,45 @@ def test_registry_shards_are_read_by_name(spark, tmp_path):
     (tmp_path / "2.csv").write_text("key_person\nx\n")
     with pytest.raises(SchemaDrift, match="key_mlbam"):
         feeds.read_registry(spark, [*paths, str(tmp_path / "2.csv")])
+
+
+LINES = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_linestatus string"
+)
+
+
+@pytest.mark.parametrize("most", [2, 40, 100_000])
+def test_pitches_are_numbered_alike_whether_cut_or_not(spark, monkeypatch, most):
+    """A large plate appearance is numbered by slices, others at once; lines without a place count, and go."""
+    monkeypatch.setattr(derived, "MOST_AT_ONCE", most)
+    rows = [(k % 3, 7919 * k % 20_000, k, 1 + k % 7, float(k), 1.0, 0.0, "OF"[k % 5 == 0]) for k in range(300)]
+    rows += [(0, None, 1, 1, 1.0, 1.0, 0.0, "O"), (1, 5, 1, None, 1.0, 1.0, 0.0, "O"), (None, 5, 1, 1, 1.0, 1.0, 0.0, "O")]
+    found = derived.pitches(spark.createDataFrame(rows, LINES)).select(
+        "at_bat_number", "pitch_number", "events", "release_speed"
+    )
+    expected = []
+    for at_bat, order, status in ((2 * k + 1 + (s == "F"), k, s) for k in range(3) for s in "OF"):
+        own = [r for r in rows if r[0] == order and r[7] == status]
+        first = [r for r in own if r[1] is None or r[3] is None]
+        rest = sorted((r for r in own if r not in first), key=lambda r: (r[3], r[1], r[2], r[5]))
+        for place, row in enumerate(rest, start=len(first) + 1):
+            speed = None if row[2] % 29 == 0 else 80 + row[4] * 0.375
+            expected.append((at_bat, place, place == len(own), speed))
+    got = [(r.at_bat_number, r.pitch_number, r.events is not None, r.release_speed) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_landing_writes_rows_where_they_lie(spark):
+    """Every task adds a file to its months: the wide rows are neither shuffled nor sorted for the write."""
+    days = [small.FIRST_DAY_NS + k * small.DAY_NS for k in range(40)]
+    rows = small.pitches(spark, [small.pitch(k, 1, game_date=day) for k, day in enumerate(days)])
+    path = fresh_folder(spark, "test")
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    assert landing.land_pitches(rows.repartition(3), path).rows_loaded == 40
+    assert spark.conf.get(key, None) == before
+    stored = landing.read_landed(spark, path)
+    april = [f for f in stored.inputFiles() if "/month=4/" in f]
+    assert len(april) == 3
+    assert sorted(r.game_date for r in stored.collect()) == days
