@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fungo.operators.id_sets import day_sets
 from fungo.plans.warehouse import FACTS, REPORTING, STAGING, Warehouse
+from fungo.session import write_by_month
 from fungo.sources.landing import month_number
 from fungo.sources.raw_zone import RawZone, zone_of
 
@@ -43,8 +44,7 @@ class StoredFacts(Mapping):
         path = f"{zone_of(self._spark, self._sf_dir)}/facts/{name}"
         if path not in _WRITTEN:
             fact = Warehouse(RawZone(self._spark, self._sf_dir)).table(name)
-            parted = with_months(fact).hint("rebalance", "year", "month")
-            parted.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+            write_by_month(with_months(fact), path, "overwrite")
             _WRITTEN.add(path)
         return path
 

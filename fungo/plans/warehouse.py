@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fungo.config import Config
 from fungo.operators import attach, game_facts, rollups, staging
 from fungo.plans import reports
-from fungo.session import materialize
+from fungo.session import materialize, open_folders
 from fungo.schemas import RAW_SCHEMAS, conform
 
 STAGING = ("stg_statcast_pitches", "stg_mlb_teams", "stg_mlb_rosters", "stg_mlb_roster_status")
@@ -205,9 +205,9 @@ def _save(df: DataFrame, database: str, name: str, location: str) -> DataFrame:
     writer = df.write
     if name in FACTS:
         day = F.col("game_date")
-        parted = df.withColumns({"year": F.year(day), "month": F.month(day)})
-        writer = parted.hint("rebalance", "year", "month").write.partitionBy("year", "month")
-    writer.option("path", f"{location}/{database}/{version}").saveAsTable(f"{database}.{version}")
+        writer = df.withColumns({"year": F.year(day), "month": F.month(day)}).write.partitionBy("year", "month")
+    with open_folders(spark):
+        writer.option("path", f"{location}/{database}/{version}").saveAsTable(f"{database}.{version}")
     chosen = ", ".join(f"`{column}`" for column in df.columns)
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {chosen} FROM {database}.{version}")
     return spark.table(f"{database}.{name}")
