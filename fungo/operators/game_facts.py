@@ -32,39 +32,80 @@ class GameMetrics:
     names: Mapping[str, Column] = field(default_factory=dict)
 
 
+# Plate appearances of a game that are bits of two words: those numbered 0 to 127.
+WORD, NEAR = 64, 128
+
+
 def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) -> DataFrame:
-    """Aggregate pitches to ``keys`` in two steps, by way of the plate appearance.
+    """Aggregate pitches to ``keys`` in one step that combines on the map side.
 
-    A plate appearance is one row after the first step, so counting distinct ones in the
-    second is a plain conditional count: no row is copied per distinct expression. Both steps
-    combine on the map side before they shuffle. Averages travel as sum and count.
+    A plate appearance is a bit, and the different ones of a game are words of bits: words joined by OR count
+    none twice, however its pitches lie, so no row travels for each appearance and none is copied
+    per distinct expression. ``NEAR`` numbers, more than a game has, are two words of the one aggregate.
+    Others, if there are any, come to it as counts, by way of a row for each ``WORD`` of them, which keeps
+    a hot game with any number of appearances from one task. Averages travel as sum and count.
 
     The maximum of a text can not be kept in a hash table and would have every pitch sorted. Codes
     are therefore compared as numbers of the same order, which hold seven bytes; a longer one fails
     instead of being cut. Names are grouping keys until a game is a few rows.
     """
     named = pitches.withColumns(dict(metrics.names))
-    per_appearance = named.groupBy(*keys, *metrics.names, "at_bat_number").agg(
-        F.count(F.lit(1)).alias("total_pitches"),
-        *(F.max(test).alias(name) for name, test in metrics.appearances.items()),
-        *(F.count_if(test).alias(name) for name, test in metrics.counts.items()),
-        *(F.sum(value).alias(f"{name}_sum") for name, value in metrics.means.items()),
-        *(F.count(value).alias(f"{name}_n") for name, value in metrics.means.items()),
-        *(F.max(value).alias(name) for name, value in metrics.peaks.items()),
-        *(F.max(short_text.to_code(value)).alias(name) for name, value in metrics.codes.items()),
+    groups = (*keys, *metrics.names)
+    number = F.col("at_bat_number")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(WORD - 1).cast("int"))
+    near = number.between(0, NEAR - 1)
+    of_word = {"low": near & (number < WORD), "high": near & (number >= WORD)}
+    words = {
+        f"{name}_{word}": F.when(test & inside, bit)
+        for name, test in metrics.appearances.items()
+        for word, inside in of_word.items()
+    }
+    parts = {
+        "total_pitches": F.lit(1).cast("bigint"),
+        **{name: F.when(test, 1).otherwise(0).cast("bigint") for name, test in metrics.counts.items()},
+        **{f"{name}_sum": value for name, value in metrics.means.items()},
+        **{f"{name}_n": value.isNotNull().cast("bigint") for name, value in metrics.means.items()},
+    }
+    peaks = {
+        **metrics.peaks,
+        **{name: short_text.to_code(value) for name, value in metrics.codes.items()},
+    }
+    # A pitch without a number counts for everything but the appearances.
+    single = named.where(F.coalesce(near, F.lit(True))).select(
+        *groups,
+        *(value.alias(name) for name, value in {**parts, **peaks, **words}.items()),
+        *(F.lit(0).cast("bigint").alias(name) for name in metrics.appearances),
+    )
+    counted = (
+        named.where(~near)
+        .groupBy(*groups, F.shiftright(number, 6).alias("word"))
+        .agg(
+            *(F.sum(value).alias(name) for name, value in parts.items()),
+            *(F.max(value).alias(name) for name, value in peaks.items()),
+            *(F.bit_or(F.when(test, bit)).alias(name) for name, test in metrics.appearances.items()),
+        )
+        .withColumns(
+            {
+                **{name: F.lit(None).cast("bigint") for name in words},
+                **{name: _bits(name) for name in metrics.appearances},
+            }
+        )
+        .select(*single.columns)
     )
-    numbered = F.col("at_bat_number").isNotNull()
-    parts = [f"{name}_{part}" for name in metrics.means for part in ("sum", "n")]
-    sums = ("total_pitches", *metrics.counts, *parts)
-    peaks = (*metrics.peaks, *metrics.codes)
-    games = per_appearance.groupBy(*keys, *metrics.names).agg(
-        *(F.count_if(numbered & F.col(name)).alias(name) for name in metrics.appearances),
-        *(F.sum(name).alias(name) for name in sums),
+    games = single.unionAll(counted).groupBy(*groups).agg(
+        *(F.sum(name).alias(name) for name in (*parts, *metrics.appearances)),
         *(F.max(name).alias(name) for name in peaks),
+        *(F.bit_or(name).alias(name) for name in words),
     )
+    games = games.withColumns(
+        {
+            name: F.col(name) + _bits(f"{name}_low") + _bits(f"{name}_high")
+            for name in metrics.appearances
+        }
+    ).drop(*words)
     if metrics.names:
         games = games.groupBy(*keys).agg(
-            *(F.sum(name).alias(name) for name in (*metrics.appearances, *sums)),
+            *(F.sum(name).alias(name) for name in (*metrics.appearances, *parts)),
             *(F.max(name).alias(name) for name in (*peaks, *metrics.names)),
         )
     return games.withColumns(
@@ -75,6 +116,11 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
     )
 
 
+def _bits(name: str) -> Column:
+    """How many plate appearances a word has; a missing one has none."""
+    return F.coalesce(F.bit_count(name), F.lit(0)).cast("bigint")
+
+
 def _when_in_play(value: str) -> Column:
     return F.when(pitch.in_play(), F.col(value))
 

@@ -186,3 +186,29 @@ def test_labels_come_back_whole(spark, sides, expected):
     staged = staging.stage_pitches(small.pitches(spark, rows))
     assert game_facts.batter_games(staged).first().batter_side == expected
     assert game_facts.pitcher_games(staged).first().pitcher_throws == expected
+
+
+def test_plate_appearances_of_any_number_count_once(spark):
+    numbers = (-1, -1, 0, 1, 63, 64, 64, 127, 128, 128, 191, 192, 1_000_000, None)
+    rows = [
+        small.pitch(number, n, events="single" if n % 2 else "walk", description="foul")
+        for number in numbers
+        for n in (1, 2, 3)
+    ]
+    staged = staging.stage_pitches(small.pitches(spark, rows)).repartition(5)
+    different = len(set(numbers) - {None})
+    batter = _one(game_facts.batter_games(staged), batter_id=small.BATTER)
+    assert (batter["plate_appearances"], batter["singles"], batter["walks"]) == (different,) * 3
+    assert (batter["total_pitches"], batter["swings"], batter["home_runs"]) == (len(rows), len(rows), 0)
+    pitcher = _one(game_facts.pitcher_games(staged), pitcher_id=small.PITCHER)
+    assert (pitcher["batters_faced"], pitcher["hits_allowed"]) == (different, different)
+    assert (pitcher["total_pitches"], pitcher["avg_pitch_velocity_mph"]) == (len(rows), 90.0)
+
+
+def test_pitches_of_usual_numbers_move_once(spark):
+    """A row for each plate appearance is shuffled only for numbers that no usual game has."""
+    staged = staging.stage_pitches(small.pitches(spark, small.game()))
+    plan = game_facts.batter_games(staged)._jdf.queryExecution().executedPlan().toString()
+    # The two are the step of unusual numbers and the one step of all games.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "at_bat_number#" not in "".join(line for line in plan.splitlines() if "Exchange hash" in line)
