@@ -52,17 +52,21 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
     named = pitches.withColumns(dict(metrics.names))
     groups = (*keys, *metrics.names)
     number = F.col("at_bat_number")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(WORD - 1).cast("int"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    bit = F.call_function("shiftleft", one, number.bitwiseAND(WORD - 1).cast("int"))
     near = number.between(0, NEAR - 1)
-    of_word = {"low": near & (number < WORD), "high": near & (number >= WORD)}
+    # Tests and bits are made once, before they meet: the code of the step has to stay so small that the JVM
+    # compiles it.
+    seen = {f"{name}_seen": test for name, test in metrics.appearances.items()}
+    bits = {"low": F.when(number < WORD, bit), "high": F.when(number >= WORD, bit)}
     words = {
-        f"{name}_{word}": F.when(test & inside, bit)
-        for name, test in metrics.appearances.items()
-        for word, inside in of_word.items()
+        f"{name}_{word}": F.when(F.col(f"{name}_seen"), F.col(word))
+        for name in metrics.appearances
+        for word in bits
     }
     parts = {
-        "total_pitches": F.lit(1).cast("bigint"),
-        **{name: F.when(test, 1).otherwise(0).cast("bigint") for name, test in metrics.counts.items()},
+        "total_pitches": one,
+        **{name: F.when(test, one).otherwise(none) for name, test in metrics.counts.items()},
         **{f"{name}_sum": value for name, value in metrics.means.items()},
         **{f"{name}_n": value.isNotNull().cast("bigint") for name, value in metrics.means.items()},
     }
@@ -71,10 +75,10 @@ def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) ->
         **{name: short_text.to_code(value) for name, value in metrics.codes.items()},
     }
     # A pitch without a number counts for everything but the appearances.
-    single = named.where(F.coalesce(near, F.lit(True))).select(
+    single = named.where(F.coalesce(near, F.lit(True))).withColumns({**seen, **bits}).select(
         *groups,
         *(value.alias(name) for name, value in {**parts, **peaks, **words}.items()),
-        *(F.lit(0).cast("bigint").alias(name) for name in metrics.appearances),
+        *(none.alias(name) for name in metrics.appearances),
     )
     counted = (
         named.where(~near)

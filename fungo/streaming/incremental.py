@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +34,33 @@ class ChangeSet:
 
 
 def on_dates(column: str, dates: Sequence[date | None]) -> Column:
-    """Whether a date is one of ``dates``; a plain list, so that partitions are pruned by it."""
-    dated = F.col(column).isin([day for day in dates if day is not None])
+    """Whether a date is one of ``dates``; plain ranges and a plain list, so that partitions are pruned by it.
+
+    Days in a row, as loads bring them, are one range: a list of a season's days is so much code that the
+    compiler of the JVM leaves everything in the same step alone.
+    """
+    dated, single = F.lit(False), []
+    for first, last in _runs(sorted({day for day in dates if day is not None})):
+        if first == last:
+            single.append(first)
+        else:
+            dated = dated | F.col(column).between(F.lit(first), F.lit(last))
+    dated = dated | F.col(column).isin(single)
     missing = F.col(column).isNull() if None in dates else F.lit(False)
     return F.coalesce(dated, F.lit(False)) | missing
 
 
+def _runs(days: Sequence[date]) -> list[tuple[date, date]]:
+    """First and last of each run of consecutive days."""
+    runs: list[tuple[date, date]] = []
+    for day in days:
+        if runs and day - runs[-1][1] == timedelta(days=1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs
+
+
 def _dates(landed: DataFrame) -> set[date | None]:
     """Distinct dates of the pitches that staging keeps; two columns are read."""
     staged = stage_pitches(landed.drop("year", "month"))

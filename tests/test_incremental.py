@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 
 import pytest
@@ -12,7 +13,7 @@ from fungo.operators.game_facts import batter_games, pitcher_games
 from fungo.operators.staging import stage_pitches
 from fungo.plans import ingestion
 from fungo.sources import landing, versions
-from fungo.streaming.incremental import ChangeSet, ingest_new_files
+from fungo.streaming.incremental import ChangeSet, ingest_new_files, on_dates
 from fungo.functions.numeric import rounded
 from fungo.session import fresh_folder
 from fungo.streaming.season_totals import SeasonTotals
@@ -176,3 +177,16 @@ def test_only_touched_dates_are_taken_off_and_touched_stints_read_again(spark):
     assert "LeftSemi" in text and "LeftAnti" in text
     assert "PartitionFilters" in text and "game_date" in text
     assert after.where(F.col("n_games") <= 0).count() == 0
+
+
+def test_days_in_a_row_are_ranges(spark):
+    """A list of all days of a season is more code than the JVM compiles together with the facts."""
+    first = datetime.date(2026, 3, 27)
+    days = [first + datetime.timedelta(days=n) for n in (*range(150), 152, 154, 155)]
+    held = [first + datetime.timedelta(days=n) for n in range(-3, 160)]
+    rows = spark.createDataFrame([(day,) for day in (*held, None)], "day date")
+    for chosen in (days, [*days, None], [], [None], days[-3:]):
+        found = {row.day for row in rows.where(on_dates("day", chosen)).collect()}
+        assert found == set(chosen)
+    plan = rows.where(on_dates("day", days))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 1000
