@@ -32,86 +32,55 @@ class GameMetrics:
     names: Mapping[str, Column] = field(default_factory=dict)
 
 
-# Plate appearances of a game that are bits of two words: those numbered 0 to 127.
-WORD, NEAR = 64, 128
+# Plate appearances of a game that share a row, as bits of two words; more than a usual game has.
+WORD, TOGETHER_BITS = 64, 7
 
 
 def game_facts(pitches: DataFrame, keys: Sequence[str], metrics: GameMetrics) -> DataFrame:
-    """Aggregate pitches to ``keys`` in one step that combines on the map side.
+    """Aggregate pitches to ``keys`` in two steps, by way of the plate appearances in words of bits.
 
     A plate appearance is a bit, and the different ones of a game are words of bits: words joined by OR count
     none twice, however its pitches lie, so no row travels for each appearance and none is copied
-    per distinct expression. ``NEAR`` numbers, more than a game has, are two words of the one aggregate.
-    Others, if there are any, come to it as counts, by way of a row for each ``WORD`` of them, which keeps
-    a hot game with any number of appearances from one task. Averages travel as sum and count.
+    per distinct expression. The first step has a row for each 128 numbers, one for a usual game; a hot game
+    with any number of them is many rows. Both steps combine on the map side before they shuffle.
+    Averages travel as sum and count.
 
     The maximum of a text can not be kept in a hash table and would have every pitch sorted. Codes
     are therefore compared as numbers of the same order, which hold seven bytes; a longer one fails
     instead of being cut. Names are grouping keys until a game is a few rows.
     """
-    named = pitches.withColumns(dict(metrics.names))
-    groups = (*keys, *metrics.names)
     number = F.col("at_bat_number")
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    bit = F.call_function("shiftleft", one, number.bitwiseAND(WORD - 1).cast("int"))
-    near = number.between(0, NEAR - 1)
+    position = number.bitwiseAND((1 << TOGETHER_BITS) - 1)
+    one = F.lit(1).cast("bigint")
+    bit = F.call_function("shiftleft", one, position.bitwiseAND(WORD - 1).cast("int"))
     # Tests and bits are made once, before they meet: the code of the step has to stay so small that the JVM
-    # compiles it.
+    # compiles it. A pitch without a number has no bit.
     seen = {f"{name}_seen": test for name, test in metrics.appearances.items()}
-    bits = {"low": F.when(number < WORD, bit), "high": F.when(number >= WORD, bit)}
-    words = {
-        f"{name}_{word}": F.when(F.col(f"{name}_seen"), F.col(word))
-        for name in metrics.appearances
-        for word in bits
-    }
-    parts = {
-        "total_pitches": one,
-        **{name: F.when(test, one).otherwise(none) for name, test in metrics.counts.items()},
-        **{f"{name}_sum": value for name, value in metrics.means.items()},
-        **{f"{name}_n": value.isNotNull().cast("bigint") for name, value in metrics.means.items()},
-    }
-    peaks = {
-        **metrics.peaks,
-        **{name: short_text.to_code(value) for name, value in metrics.codes.items()},
-    }
-    # A pitch without a number counts for everything but the appearances.
-    single = named.where(F.coalesce(near, F.lit(True))).withColumns({**seen, **bits}).select(
-        *groups,
-        *(value.alias(name) for name, value in {**parts, **peaks, **words}.items()),
-        *(none.alias(name) for name in metrics.appearances),
-    )
-    counted = (
-        named.where(~near)
-        .groupBy(*groups, F.shiftright(number, 6).alias("word"))
-        .agg(
-            *(F.sum(value).alias(name) for name, value in parts.items()),
-            *(F.max(value).alias(name) for name, value in peaks.items()),
-            *(F.bit_or(F.when(test, bit)).alias(name) for name, test in metrics.appearances.items()),
-        )
-        .withColumns(
-            {
-                **{name: F.lit(None).cast("bigint") for name in words},
-                **{name: _bits(name) for name in metrics.appearances},
-            }
-        )
-        .select(*single.columns)
-    )
-    games = single.unionAll(counted).groupBy(*groups).agg(
-        *(F.sum(name).alias(name) for name in (*parts, *metrics.appearances)),
-        *(F.max(name).alias(name) for name in peaks),
-        *(F.bit_or(name).alias(name) for name in words),
-    )
-    games = games.withColumns(
-        {
-            name: F.col(name) + _bits(f"{name}_low") + _bits(f"{name}_high")
+    bits = {"low": F.when(position < WORD, bit), "high": F.when(position >= WORD, bit)}
+    words = [f"{name}_{word}" for name in metrics.appearances for word in bits]
+    named = pitches.withColumns(dict(metrics.names)).withColumns({**seen, **bits})
+    together = F.shiftright(number, TOGETHER_BITS).alias("together")
+    per_words = named.groupBy(*keys, *metrics.names, together).agg(
+        F.count(F.lit(1)).alias("total_pitches"),
+        *(F.count_if(test).alias(name) for name, test in metrics.counts.items()),
+        *(F.sum(value).alias(f"{name}_sum") for name, value in metrics.means.items()),
+        *(F.count(value).alias(f"{name}_n") for name, value in metrics.means.items()),
+        *(F.max(value).alias(name) for name, value in metrics.peaks.items()),
+        *(F.max(short_text.to_code(value)).alias(name) for name, value in metrics.codes.items()),
+        *(
+            F.bit_or(F.when(F.col(f"{name}_seen"), F.col(word))).alias(f"{name}_{word}")
             for name in metrics.appearances
-        }
+            for word in bits
+        ),
+    )
+    counted = per_words.withColumns(
+        {name: _bits(f"{name}_low") + _bits(f"{name}_high") for name in metrics.appearances}
     ).drop(*words)
-    if metrics.names:
-        games = games.groupBy(*keys).agg(
-            *(F.sum(name).alias(name) for name in (*metrics.appearances, *parts)),
-            *(F.max(name).alias(name) for name in (*peaks, *metrics.names)),
-        )
+    parts = [f"{name}_{part}" for name in metrics.means for part in ("sum", "n")]
+    games = counted.groupBy(*keys).agg(
+        *(F.sum(name).alias(name) for name in (*metrics.appearances, "total_pitches", *metrics.counts, *parts)),
+        *(F.max(name).alias(name) for name in (*metrics.peaks, *metrics.codes, *metrics.names)),
+    )
     return games.withColumns(
         {
             **{name: safe_divide(F.col(f"{name}_sum"), F.col(f"{name}_n")) for name in metrics.means},

@@ -205,10 +205,10 @@ def test_plate_appearances_of_any_number_count_once(spark):
     assert (pitcher["total_pitches"], pitcher["avg_pitch_velocity_mph"]) == (len(rows), 90.0)
 
 
-def test_pitches_of_usual_numbers_move_once(spark):
-    """A row for each plate appearance is shuffled only for numbers that no usual game has."""
+def test_no_row_is_shuffled_for_a_plate_appearance(spark):
     staged = staging.stage_pitches(small.pitches(spark, small.game()))
-    plan = game_facts.batter_games(staged)._jdf.queryExecution().executedPlan().toString()
-    # The two are the step of unusual numbers and the one step of all games.
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "at_bat_number#" not in "".join(line for line in plan.splitlines() if "Exchange hash" in line)
+    for build in (game_facts.batter_games, game_facts.pitcher_games):
+        plan = build(staged)._jdf.queryExecution().executedPlan().toString()
+        shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert len(shuffles) == 2
+        assert not any("at_bat_number#" in line for line in shuffles)
