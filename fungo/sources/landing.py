@@ -255,5 +255,9 @@ def union_chunks(chunks: list[DataFrame]) -> DataFrame:
 
 
 def without_repeats(raw_pitches: DataFrame) -> DataFrame:
-    """Opt-in: one row per pitch key. Appending a range twice otherwise counts it twice."""
-    return raw_pitches.dropDuplicates(list(PITCH_KEY))
+    """Opt-in: one row per pitch key. Appending a range twice otherwise counts it twice.
+
+    The rows are moved before they are sorted by key: the files of a load are dense, and a task that sorted
+    the rows of its share of them, to find the few repeats in it, would run out of memory and spill.
+    """
+    return raw_pitches.repartition(*PITCH_KEY).dropDuplicates(list(PITCH_KEY))

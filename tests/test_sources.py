@@ -422,6 +422,17 @@ def test_a_merge_keeps_rows_without_a_key_and_columns_of_both_sides(spark):
     assert sorted((r.at_bat_number or 0, r.extra) for r in rows) == [(0, "1"), (0, "1"), (0, "x"), (0, "x"), (1, "1")]
 
 
+def test_rows_move_before_repeats_are_sorted_out(spark):
+    path = fresh_folder(spark, "test")
+    for _ in range(2):
+        landing.land_pitches(small.pitches(spark, on_day(10, 1, 2, 3)), path)
+    once = landing.without_repeats(landing.read_landed(spark, path)).select("game_date", "batter", "home_team")
+    steps = once._jdf.queryExecution().executedPlan().toString().split("Scan parquet")[0]
+    # The tree has the scan last: nothing is sorted or joined below the only move of the rows.
+    assert steps.count("Exchange") == 1 and "Sort" not in steps.split("Exchange")[1]
+    assert once.count() == 3
+
+
 def test_a_merge_into_nothing_and_of_nothing(spark):
     path = fresh_folder(spark, "test")
     assert landing.land_pitches(small.pitches(spark, []), path, "merge").rows_loaded == 0
