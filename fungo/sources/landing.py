@@ -23,11 +23,13 @@ from fungo.schemas import (
     reconciled,
     widened,
 )
-from fungo.session import write_by_month
+from fungo.session import materialize, write_by_month
 from fungo.sources import loads
 from fungo.sources.loads import Load, Month
 
 PITCH_KEY = ("game_pk", "at_bat_number", "pitch_number")
+# Keys of a merge that one task compares.
+KEYS_AT_ONCE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -83,7 +85,7 @@ def land_pitches(raw_pitches: DataFrame, path: str, mode: str = loads.APPEND) ->
     whose key is not there yet and replaces those whose key is: only the months that the load touches are
     written again, the folders of all others stay. An extract without rows publishes nothing, also
     under full refresh; so does one with a column whose type can not be brought together with that of
-    loads before. The extract runs once for an append or refresh; a merge also reads its months.
+    loads before. The extract runs once for an append or refresh; a merge also reads its keys and months.
     """
     if mode not in loads.MODES:
         raise ValueError(f"mode must be one of {loads.MODES}, not {mode!r}")
@@ -98,16 +100,18 @@ def land_pitches(raw_pitches: DataFrame, path: str, mode: str = loads.APPEND) ->
         reconciled([*(load.other_columns for load, _ in counting), others])
     load_id = loads.new_load_id()
     seen = Observation()
-    rows = extract.observe(seen, F.count(F.lit(1)).alias("rows"))
     if mode == loads.MERGE:
-        rows = _merged(spark, path, rows, extract)
+        rows, extracted = _merged(spark, path, extract)
         others = _not_declared(rows)
+    else:
+        rows = extract.observe(seen, F.count(F.lit(1)).alias("rows"))
     write_months(rows, loads.load_folder(path, load_id))
     months = _rows_by_month(spark, path, load_id)
     written = sum(months.values())
     if not written:
         return LoadAudit(path, mode, 0, 0)
-    extracted = seen.get["rows"]
+    if mode != loads.MERGE:
+        extracted = seen.get["rows"]
     replaced = _replaced(spark, path, mode, before, load_id, months)
     held = sum(
         load.months[month]
@@ -142,29 +146,68 @@ def _replaced(
     return ()
 
 
-def _merged(spark: SparkSession, path: str, rows: DataFrame, extract: DataFrame) -> DataFrame:
-    """The stored rows of the months in ``extract`` with its ``rows``, one for each pitch key.
+def _dealt(keys: DataFrame, n_rows: int) -> DataFrame:
+    """``keys`` moved together by pitch key, so many rows to a task whatever the session's number of partitions."""
+    return keys.repartition(1 + n_rows // KEYS_AT_ONCE, *PITCH_KEY)
+
+
+def _once(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """One of ``rows`` for each pitch key, that with the least hash over all its columns.
+
+    ``keys`` are the keys of these rows, all of them full, already dealt. Only rows whose key comes more than
+    once are ranked, all others stay where they lie.
+    """
+    several = keys.groupBy(*PITCH_KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(*PITCH_KEY)
+    several = materialize(several, "merge-repeats")
+    if several.isEmpty():
+        return rows
+    # The text of a row, as a hash takes neither maps nor variants.
+    content = F.xxhash64(F.to_json(F.struct(*(f"`{name}`" for name in rows.columns))))
+    rank, key = "merge_rank", list(PITCH_KEY)
+    # Taken before the join, which puts the key first: the hash depends on the order of the columns.
+    ranked = rows.withColumn("merge_content", content).join(several, key, "left_semi")
+    least = Window.partitionBy(*PITCH_KEY).orderBy("merge_content")
+    ranked = ranked.withColumn(rank, F.row_number().over(least)).where(F.col(rank) == 1)
+    return rows.join(several, key, "left_anti").unionByName(ranked.drop(rank, "merge_content"))
+
+
+def _merged(spark: SparkSession, path: str, extract: DataFrame) -> tuple[DataFrame, int]:
+    """The stored rows of the months in ``extract`` with its rows, one for each pitch key, and the number of its rows.
 
     A delivered row goes before a stored one, and of several delivered ones that with the least hash over
     all its columns, so the same rows give the same table in any order. Rows without a full key can not be told
     apart and stay.
+
+    What is decided, is decided on keys alone. Delivered rows are written where they lie; of the stored ones
+    only those months are read in which a key is left that was not delivered.
     """
-    touched = months_of(with_partition_columns(extract.select("game_date")))
-    stored = read_landed(spark, path, every_column=True).where(in_months(touched)).drop("year", "month")
-    together = reconciled([stored.schema, extract.schema])
-    mark, rank = "merge_delivered", "merge_rank"
-    both = widened(nan_to_null(rows), together).withColumn(mark, F.lit(0)).unionAll(
-        widened(stored, together).withColumn(mark, F.lit(1))
-    )
-    # The text of a row, as a hash takes neither maps nor variants.
-    content = F.xxhash64(F.to_json(F.struct(*(f"`{name}`" for name in together.names))))
+    keys = with_partition_columns(extract.select("game_date", *PITCH_KEY)).drop("game_date")
+    keys = materialize(keys, "merge-keys")
+    n_extracted = keys.count()
+    touched = months_of(keys)
+    stored = read_landed(spark, path, every_column=True).where(in_months(touched))
+    together = reconciled([stored.drop("year", "month").schema, extract.schema])
     keyed = F.lit(True)
     for name in PITCH_KEY:
         keyed = keyed & F.col(name).isNotNull()
-    # Rows without a full key are spread by their content instead of meeting under the key of nulls.
-    first = Window.partitionBy(*PITCH_KEY, F.when(~keyed, content)).orderBy(mark, content)
-    ranked = both.withColumn(rank, F.row_number().over(first))
-    return ranked.where((F.col(rank) == 1) | ~keyed).drop(mark, rank)
+
+    n_rows = n_extracted + stored.count()
+    taken = _dealt(keys.where(keyed).select(*PITCH_KEY), n_rows)
+    delivered = widened(nan_to_null(extract), together)
+    merged = _once(delivered.where(keyed), taken).unionByName(delivered.where(~keyed))
+
+    def left(rows: DataFrame, of_keys: DataFrame) -> DataFrame:
+        return rows.join(of_keys, list(PITCH_KEY), "left_anti")
+
+    held = _dealt(stored.where(keyed).select(*PITCH_KEY, "year", "month"), n_rows)
+    months_left = months_of(left(held, taken))
+    if months_left:
+        some = stored.where(in_months(months_left) & keyed)
+        kept = widened(left(some, keys.select(*PITCH_KEY)).drop("year", "month"), together)
+        kept_keys = left(_dealt(some.select(*PITCH_KEY), n_rows), taken)
+        merged = merged.unionByName(_once(kept, kept_keys))
+    nameless = widened(stored.where(~keyed).drop("year", "month"), together)
+    return merged.unionByName(nameless), n_extracted
 
 
 def land_table(df: DataFrame, path: str, mode: str = loads.REFRESH) -> LoadAudit:

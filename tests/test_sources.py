@@ -422,6 +422,36 @@ def test_a_merge_keeps_rows_without_a_key_and_columns_of_both_sides(spark):
     assert sorted((r.at_bat_number or 0, r.extra) for r in rows) == [(0, "1"), (0, "1"), (0, "x"), (0, "x"), (1, "1")]
 
 
+def test_a_merge_keeps_one_of_stored_and_one_of_delivered_repeats(spark):
+    path = fresh_folder(spark, "test")
+    first = on_day(10, 1, 2, 3, events="single") + on_day(40, 7, 8, events="single")
+    for rows in (first, on_day(10, 2, events="walk"), on_day(40, 7, events="walk")):
+        landing.land_pitches(small.pitches(spark, rows), path)
+    delivered = on_day(10, 3, 4, events="double") + on_day(11, 4, events="triple") + on_day(41, 8, events="double")
+    audit = landing.land_pitches(small.pitches(spark, delivered), path, "merge")
+    assert (audit.rows_extracted, audit.rows_loaded) == (4, -1)
+    found = {r.at_bat_number: r.events for r in landing.read_landed(spark, path).collect()}
+    assert landing.read_landed(spark, path).count() == len(found) == 6
+    assert (found[1], found[3], found[8]) == ("single", "double", "double")
+    assert {found[2], found[7]} <= {"single", "walk"} and found[4] in ("double", "triple")
+
+
+def test_a_merge_moves_no_row_that_it_only_replaces(spark, monkeypatch):
+    path, plans = fresh_folder(spark, "test"), []
+    written = landing.write_months
+
+    def seen(rows, folder):
+        plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        written(rows, folder)
+
+    monkeypatch.setattr(landing, "write_months", seen)
+    rows = small.pitches(spark, on_day(10, 1, 2, 3))
+    landing.land_pitches(rows, path)
+    landing.land_pitches(rows, path, "merge")
+    assert not any(step in plans[-1] for step in ("Exchange", "Sort", "Window", "Join"))
+    assert landing.read_landed(spark, path).count() == 3
+
+
 def test_rows_move_before_repeats_are_sorted_out(spark):
     path = fresh_folder(spark, "test")
     for _ in range(2):
