@@ -1,9 +1,13 @@
-"""Sets of ids as bitmaps, stored by day and joined together for any longer time.
+"""Sets of ids as words of bits, stored by day and joined together for any longer time.
 
 A number of different players or games does not add up over days, but the sets do: the ids of a day are
-bits of fixed buckets, and the set of a month is its days' bitmaps joined by OR. A distinct count at any grain
-is then a sum over a few small bitmaps and needs no pass over the facts, and a day that changes is
+bits of words, 64 ids to a word, and the set of a month is its days' words joined by OR. A distinct count at any
+grain is then a sum over the words and needs no pass over the facts, and a day that changes is
 built again by itself.
+
+A word is a number, so a hash table keeps it and joins words before they are shuffled. The ids of a day lie
+far apart when games are many: a set costs at most a row of two numbers for an id, where a bitmap of fixed length
+would cost its whole length for each of them.
 """
 
 from __future__ import annotations
@@ -13,17 +17,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SUBJECT, BUCKET, BITMAP = "subject", "bucket", "bitmap"
+SUBJECT, WORD, BITS = "subject", "word", "bits"
+# A word holds 64 ids: so many bits of an id are its place in the word.
+PLACE_BITS = 6
 
 # Grains from the finest; the season is the whole table.
 GRAINS = ("day", "month", "season")
 
 
 def day_sets(facts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """``subject``, ``game_date``, ``bucket``, ``bitmap`` of the ids of each subject.
+    """``subject``, ``game_date``, ``word``, ``bits`` of the ids of each subject.
 
     ``facts`` gives for each subject a fact table and its id column. A table is scanned once for all its
-    subjects; its ids are made distinct before they become bits, on the map side first.
+    subjects; its ids become bits, and bits words, on the map side first.
     """
     by_table: dict[int, tuple[DataFrame, list]] = {}
     for subject, (fact, column) in facts.items():
@@ -37,9 +43,12 @@ def day_sets(facts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     together = parts[0]
     for part in parts[1:]:
         together = together.unionAll(part)
-    ids = together.where(F.col("id").isNotNull()).distinct()
-    return ids.groupBy(SUBJECT, "game_date", F.bitmap_bucket_number("id").alias(BUCKET)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias(BITMAP)
+    place = F.col("id").bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    return (
+        together.where(F.col("id").isNotNull())
+        .groupBy(SUBJECT, "game_date", F.shiftright("id", PLACE_BITS).alias(WORD))
+        .agg(F.bit_or(bit).alias(BITS))
     )
 
 
@@ -63,12 +72,12 @@ def distinct_counts(sets: DataFrame, counted: Mapping[str, Sequence[str]]) -> Da
             )
         )
     )
-    finer = sets.select("game_date", BUCKET, BITMAP, chosen.alias("counted")).where("counted is not null")
+    finer = sets.select("game_date", WORD, BITS, chosen.alias("counted")).where("counted is not null")
     results = []
     for grain in GRAINS:
         start = _start_of(grain)
-        finer = finer.groupBy("counted", start.alias("game_date"), BUCKET).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))
-        sizes = finer.groupBy("counted", "game_date").agg(F.sum(F.bitmap_count(BITMAP)).alias("n"))
+        finer = finer.groupBy("counted", start.alias("game_date"), WORD).agg(F.bit_or(BITS).alias(BITS))
+        sizes = finer.groupBy("counted", "game_date").agg(F.sum(F.bit_count(BITS)).alias("n"))
         results.append(
             sizes.select(F.lit(grain).alias("grain"), F.col("game_date").alias("starts_on"), "counted", "n")
         )

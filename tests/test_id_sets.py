@@ -50,3 +50,26 @@ def test_one_scan_for_the_subjects_of_a_table(spark):
     sets = day_sets({"batter": (frame, "id"), "pitcher": (frame, "other")})
     assert sets._jdf.queryExecution().executedPlan().toString().count(" Range (") == 1
     assert {(r.counted, r.n) for r in distinct_counts(sets, COUNTED).collect()} == {("batters", 5), ("players", 6)}
+
+
+def test_a_set_of_ids_far_apart_is_a_short_row_for_each(spark):
+    """Games of a day lie far apart; their set may not cost a bitmap of thousands of bytes for each."""
+    frame = spark.range(300).selectExpr("date'2026-04-01' as game_date", "id * 40000 - 2000000 as id")
+    sets = day_sets({"game": (frame, "id")})
+    assert all(field.dataType.simpleString() in ("string", "date", "bigint") for field in sets.schema)
+    assert sets.count() == 300
+    assert "SortAggregate" not in sets._jdf.queryExecution().executedPlan().toString()
+    counts = distinct_counts(sets, {"games": ("game",)})
+    assert {(r.grain, r.n) for r in counts.collect()} == {(grain, 300) for grain in GRAINS}
+
+
+def test_words_join_ids_that_lie_together(spark):
+    frame = spark.range(-64, 128).selectExpr("date'2026-04-01' as game_date", "id").unionAll(
+        spark.range(-64, 128, 3).selectExpr("date'2026-04-02' as game_date", "id")
+    )
+    sets = day_sets({"game": (frame, "id")})
+    assert sets.count() == 6
+    found = {(r.grain, str(r.starts_on)): r.n for r in distinct_counts(sets, {"games": ("game",)}).collect()}
+    assert found == {
+        ("day", "2026-04-01"): 192, ("day", "2026-04-02"): 64, ("month", "2026-04-01"): 192, ("season", "None"): 192
+    }
