@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 SECOND_NS = 1_000_000_000
 DAY_S = 86_400
+# No count of nanoseconds in 64 bits has so many seconds; below it a half is added without loss.
+LARGEST_S = 1 << 40
 
 TIME_GRAINS = ("date", "week", "month", "quarter", "year")
 
 
 def ns_to_date(nanoseconds: Column) -> Column:
     """Date of an epoch count in nanoseconds, rounded to the nearest second first."""
-    seconds = F.round(nanoseconds / F.lit(SECOND_NS)).try_cast("bigint")
+    exact = nanoseconds / F.lit(SECOND_NS)
+    size = F.abs(exact)
+    # Halves go away from zero, as in F.round, which makes a decimal number of every value. What is no number is its.
+    whole = F.floor(size + F.lit(0.5))
+    nearest = F.when(exact < 0, -whole).otherwise(whole)
+    seconds = F.when(size < F.lit(float(LARGEST_S)), nearest).otherwise(F.round(exact).try_cast("bigint"))
     return F.date_from_unix_date(F.floor(seconds / F.lit(DAY_S)).cast("int"))
 
 

@@ -43,7 +43,8 @@ def _doubles(df: DataFrame) -> list[str]:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by null in every double column."""
-    return df.withColumns({name: F.when(~F.isnan(name), F.col(name)) for name in _doubles(df)})
+    nothing = F.lit(None).cast("double")
+    return df.withColumns({name: F.nanvl(F.col(name), nothing) for name in _doubles(df)})
 
 
 def settled(value: Column, places: int) -> Column:

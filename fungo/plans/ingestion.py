@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,7 @@ from fungo.sources import feeds, landing, raw_zone
 from fungo.sources.loads import Load
 from fungo.plans.stored import sets_of
 from fungo.streaming.incremental import (
+    Build,
     change_set,
     ingest_new_files,
     ingest_new_loads,
@@ -27,6 +32,8 @@ from fungo.streaming.incremental import (
 )
 from fungo.streaming.season_totals import SeasonTotals
 
+Result = TypeVar("Result")
+
 SELECTED_DATES = (date(2026, 4, 15), date(2026, 6, 10))
 PREVIEWED_DATES = (date(2026, 4, 1), date(2026, 4, 30))
 FIRST_BATCH_UNTIL = date(2026, 6, 30)
@@ -147,7 +154,9 @@ def new_ingestion(spark: SparkSession) -> Ingested:
 def bring_up_to_date(spark: SparkSession, state: Ingested, batting_only: bool = False) -> None:
     """Take every load published since the last time into the facts, and these into season totals and sets.
 
-    ``batting_only`` keeps up the batters' fact and season; it has to be so from the first load on.
+    ``batting_only`` keeps up the batters' fact and season; it has to be so from the first load on. Both facts are
+    brought up to date at once, and then both totals and the sets: each has steps of few tasks, in which the others
+    keep the executors at work.
     """
     sides = [(state.batter_mart, batter_games, state.batter_totals)]
     if not batting_only:
@@ -157,17 +166,27 @@ def bring_up_to_date(spark: SparkSession, state: Ingested, batting_only: bool =
 
     def refresh(new: Sequence[Load], number: int) -> None:
         changes = change_set(spark, state.zone, tables, new)
-        games = []
-        for mart, build, totals in sides:
+
+        def facts(mart: str, build: Build) -> DataFrame:
             refresh_mart(spark, state.zone, mart, build, changes)
-            games.append(spark.read.parquet(mart).where(on_dates("game_date", changes.changed)))
-            totals.refresh(games[-1], changes, number)
+            return spark.read.parquet(mart).where(on_dates("game_date", changes.changed))
+
+        games = _at_once(spark, [partial(facts, mart, build) for mart, build, _ in sides])
+        kept = [partial(totals.refresh, own, changes, number) for own, (_, _, totals) in zip(games, sides)]
         if not batting_only:
-            write_dates(sets_of(*games), state.sets, changes)
+            kept.append(lambda: write_dates(sets_of(*games), state.sets, changes))
+        _at_once(spark, kept)
 
     ingest_new_loads(spark, state.zone, state.progress, refresh)
 
 
+def _at_once(spark: SparkSession, steps: Sequence[Callable[[], Result]]) -> list[Result]:
+    """What the steps return, each run in a thread of its own; if one fails, the others end before its error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [one.result() for one in started]
+
+
 _LATE_FILES: dict[tuple[str, str], Ingested] = {}
 
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fungo.functions.dates import ns_to_date
 from fungo.schemas import PITCHES, PLAYER_LOOKUP, ROSTERS, TEAMS
 from fungo.session import materialize
 
@@ -18,6 +19,8 @@ PLATE = ("game_pk", "at_bat_number")
 PITCH_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 # Rows of a plate appearance that one task ranks.
 MOST_AT_ONCE = 100_000
+# Cells in which the lines of plate appearances are counted before those of one are.
+CELLS = 1 << 16
 # Parts of one slice, and more slices than a line number can have.
 SLICE_PARTS, SLICE_SPAN = 2048, 1 << 40
 
@@ -246,7 +249,7 @@ def _number_pitches(lines: DataFrame) -> DataFrame:
     lines = lines.where(F.col("game_pk").isNotNull())
     part_slice = F.floor(F.col("l_partkey") / F.lit(SLICE_PARTS)).cast("long")
     sliced = lines.withColumn("slice", F.col("l_linenumber").cast("long") * SLICE_SPAN + part_slice)
-    large = lines.groupBy(*PLATE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_AT_ONCE)
+    large = _large(lines)
     marked = sliced.join(F.broadcast(large.select(*PLATE, F.lit(True).alias("large"))), list(PLATE), "left")
     # Null for a plate appearance that is not cut.
     cut = marked.withColumn("cut", F.when(F.col("large"), F.col("slice"))).drop("large")
@@ -265,10 +268,11 @@ def _number_pitches(lines: DataFrame) -> DataFrame:
             F.sum("n").over(plate).alias("n_plate"),
         )
     )
-    within = Window.partitionBy(*cell)
+    # One order for both, so that the lines of a cell are kept and copied once.
+    within = Window.partitionBy(*cell).orderBy("slice", *PITCH_ORDER)
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        cut.withColumn("place", F.row_number().over(within.orderBy("slice", *PITCH_ORDER)))
-        .withColumn("n_cell", F.count(F.lit(1)).over(within))
+        cut.withColumns({"place": F.row_number().over(within), "n_cell": F.count(F.lit(1)).over(whole)})
         .where(F.col("slice").isNotNull())
         .join(shifts, list(cell), "left")
         .withColumn("pitch_number", F.col("place") + F.coalesce("shift", F.lit(0)))
@@ -277,6 +281,18 @@ def _number_pitches(lines: DataFrame) -> DataFrame:
     )
 
 
+def _large(lines: DataFrame) -> DataFrame:
+    """The plate appearances of more than ``MOST_AT_ONCE`` lines.
+
+    Lines are counted by cell first, on the map side, and plate appearances only in cells with so many lines:
+    usually none, and then no line moves for it.
+    """
+    cell = F.pmod(F.xxhash64(*PLATE), F.lit(CELLS)).alias("cell")
+    crowded = lines.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_AT_ONCE)
+    chosen = lines.select(*PLATE, cell).join(F.broadcast(crowded.select("cell")), "cell", "left_semi")
+    return chosen.groupBy(*PLATE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_AT_ONCE)
+
+
 def pitches(lineitem: DataFrame) -> DataFrame:
     """The raw pitch table; columns without a source in ``lineitem`` are typed nulls."""
     lines = lineitem.select(*LINE_COLUMNS)
@@ -285,11 +301,18 @@ def pitches(lineitem: DataFrame) -> DataFrame:
         plates = _extend(plates, step)
     # The other steps' columns are made from the lines again once these are numbered.
     lines = _number_pitches(plates.select(*LINE_COLUMNS, *PLATE)).drop(*PLATE)
-    for step in (GAME_STEP, CLUB_STEP, SIDE_STEP, EVENT_STEP, TYPE_STEP):
+    for step in (GAME_STEP, CLUB_STEP):
+        lines = _extend(lines, step)
+    # The landing has a file with a hundred column writers for each month: one month after the other, and while rows are
+    # narrow, so that a task does not go from writer to writer with every row.
+    lines = lines.withColumn("game_date", F.expr(PITCH_STEP["game_date"]))
+    lines = lines.sortWithinPartitions(F.trunc(ns_to_date(F.col("game_date")), "month"))
+    for step in (SIDE_STEP, EVENT_STEP, TYPE_STEP):
         lines = _extend(lines, step)
+    made = {**PITCH_STEP, "game_date": "game_date"}
     return lines.select(
         *(
-            F.expr(PITCH_STEP.get(field.name, "null")).cast(field.dataType).alias(field.name)
+            F.expr(made.get(field.name, "null")).cast(field.dataType).alias(field.name)
             for field in PITCHES
         )
     )

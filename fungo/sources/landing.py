@@ -69,13 +69,13 @@ def with_partition_columns(raw_pitches: DataFrame) -> DataFrame:
     return raw_pitches.withColumns({"year": F.year(day), "month": F.month(day)})
 
 
-def write_months(raw_pitches: DataFrame, path: str) -> None:
-    """Write pitches as a new table ``year=YYYY/month=M`` at ``path``.
+def write_months(pitches: DataFrame, path: str) -> None:
+    """Write pitches that have their partition columns as a new table ``year=YYYY/month=M`` at ``path``.
 
     The rows, a hundred columns wide, are written where they lie: each task adds one file to each of its
     months, so a hot month is in as many files as there are tasks and no row is shuffled or sorted for it.
     """
-    write_by_month(with_partition_columns(nan_to_null(raw_pitches)), path)
+    write_by_month(pitches, path)
 
 
 def land_pitches(raw_pitches: DataFrame, path: str, mode: str = loads.APPEND) -> LoadAudit:
@@ -104,7 +104,11 @@ def land_pitches(raw_pitches: DataFrame, path: str, mode: str = loads.APPEND) ->
         rows, extracted = _merged(spark, path, extract)
         others = _not_declared(rows)
     else:
-        rows = extract.observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows = extract
+    rows = with_partition_columns(nan_to_null(rows))
+    if mode != loads.MERGE:
+        # Counted last: what is between two steps over a hundred columns has every row copied once more.
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     write_months(rows, loads.load_folder(path, load_id))
     months = _rows_by_month(spark, path, load_id)
     written = sum(months.values())

@@ -172,3 +172,16 @@ def test_short_texts_keep_order_and_come_back_whole(spark):
     assert by_code == sorted(texts, key=lambda text: text.encode())
     with pytest.raises(Exception, match="longer than 7 bytes: Left-handed"):
         spark.createDataFrame([("Left-handed",)], "text string").select(short_text.to_code(F.col("text"))).collect()
+
+
+def test_dates_of_nanoseconds_are_those_of_the_nearest_second(spark):
+    """Halves go away from zero, as the rounding of a number does, for every count that 64 bits hold."""
+    day, half = 86_400 * 10**9, 5 * 10**8
+    edges = [k * day + shift for k in (0, 1, -1, 20_539, -20_539) for shift in (-half - 1, -half, -half + 1, -1, 0, 1, half)]
+    counts = [*edges, 2**63 - 1, -(2**63), 10**9 // 2 - 1, -(10**9) // 2, None]
+    rows = spark.createDataFrame([(n,) for n in counts], "n long")
+    by_number = F.floor(F.round(F.col("n") / F.lit(10**9)).try_cast("bigint") / F.lit(86_400)).cast("int")
+    wrong = rows.where(~dates.ns_to_date(F.col("n")).eqNullSafe(F.date_from_unix_date(by_number)))
+    assert wrong.collect() == []
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,), (1.5e9,)], "n double")
+    assert [str(r[0]) for r in odd.select(dates.ns_to_date(F.col("n"))).collect()] == ["None", "None", "None", "1970-01-01"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,31 @@ def test_days_in_a_row_are_ranges(spark):
         assert found == set(chosen)
     plan = rows.where(on_dates("day", days))._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < 1000
+
+
+def test_both_facts_are_brought_up_to_date_at_once(spark, monkeypatch):
+    """Each side waits for the other to begin; one after the other, the first would wait in vain."""
+    both, refresh_mart = threading.Barrier(2), ingestion.refresh_mart
+
+    def refresh(*arguments):
+        both.wait(timeout=60)
+        refresh_mart(*arguments)
+
+    monkeypatch.setattr(ingestion, "refresh_mart", refresh)
+    state = ingestion.new_ingestion(spark)
+    landing.land_pitches(small.pitches(spark, season(1, range(0, 3))), state.zone)
+    ingestion.bring_up_to_date(spark, state)
+    for mart, (build, _, _) in zip((state.batter_mart, state.pitcher_mart), SIDES):
+        assert same(full(spark, state.zone, build), spark.read.parquet(mart))
+
+
+def test_a_side_that_fails_fails_the_load_and_is_made_up_for(spark, monkeypatch):
+    state = ingestion.new_ingestion(spark)
+    landing.land_pitches(small.pitches(spark, season(1, range(0, 3))), state.zone)
+    with monkeypatch.context() as patch, pytest.raises(Exception, match="lost"):
+        patch.setattr(SeasonTotals, "refresh", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        ingestion.bring_up_to_date(spark, state)
+    ingestion.bring_up_to_date(spark, state)
+    for build, rollup, name in SIDES:
+        games = full(spark, state.zone, build)
+        assert same(rounded(rollup.lines(games)), rounded(getattr(state, name).lines()))

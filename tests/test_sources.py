@@ -529,3 +529,40 @@ def test_landing_writes_rows_where_they_lie(spark):
     april = [f for f in stored.inputFiles() if "/month=4/" in f]
     assert len(april) == 3
     assert sorted(r.game_date for r in stored.collect()) == days
+
+
+def wide_projections(frame) -> int:
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    return sum(line.lstrip(" +-:").startswith("Project") and "fielder_2" in line for line in plan.split("\n"))
+
+
+def test_landing_makes_a_wide_row_once(spark, monkeypatch):
+    """Types, missing values and months are settled in one projection; a second one would copy every wide row."""
+    written, plans = landing.write_months, []
+
+    def seen(rows, folder):
+        plans.append(wide_projections(rows))
+        written(rows, folder)
+
+    monkeypatch.setattr(landing, "write_months", seen)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        rows = [(k, k, k, 1 + k % 7, float(k), 1.0, 0.0, "O") for k in range(40)]
+        audit = landing.land_pitches(derived.pitches(spark.createDataFrame(rows, LINES)), fresh_folder(spark, "test"))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert (audit.rows_extracted, audit.rows_loaded, plans) == (40, 40, [1])
+
+
+def test_pitches_are_numbered_in_one_pass_and_only_crowded_cells_counted_by_plate(spark, monkeypatch):
+    rows = [(k % 9, k, k, 1 + k % 7, float(k), 1.0, 0.0, "OF"[k % 5 == 0]) for k in range(300)]
+    lines = spark.createDataFrame(rows, LINES)
+    steps = derived.pitches(lines)._jdf.queryExecution().sparkPlan().toString()
+    assert steps.count("Window [row_number") == 1 and "Window [count" not in steps
+    plates = lines.selectExpr("l_orderkey as game_pk", "l_linenumber as at_bat_number")
+    sizes = {(r.game_pk, r.at_bat_number): r["count"] for r in plates.groupBy("game_pk", "at_bat_number").count().collect()}
+    for most, cells in ((4, 1 << 16), (4, 2), (100_000, 2)):
+        monkeypatch.setattr(derived, "MOST_AT_ONCE", most)
+        monkeypatch.setattr(derived, "CELLS", cells)
+        found = {(r.game_pk, r.at_bat_number): r.n for r in derived._large(plates).collect()}
+        assert found == {plate: n for plate, n in sizes.items() if n > most}
